@@ -47,13 +47,24 @@ PATH_SEPARATOR = " > "
 SESSION = "session_unique_id"
 
 
+def path_expr(separator: str = PATH_SEPARATOR) -> Column:
+    """Event names joined in time order (``event_id`` breaks timestamp ties)."""
+    sep = separator.replace("'", "''")
+    return F.expr(f"listagg(event_name, '{sep}') WITHIN GROUP (ORDER BY event_timestamp, event_id)")
+
+
 def weight_expr(weights: dict[str, int], default: int = DEFAULT_WEIGHT) -> Column:
     return fold_cases([(F.col("event_name") == e, w) for e, w in weights.items()], default)
 
 
 def session_features(stg: DataFrame, weights: dict[str, int] | None = None,
-                     short_weights: dict[str, int] | None = None) -> DataFrame:
-    """One row per (session_unique_id, user_pseudo_id) of the staged rows."""
+                     short_weights: dict[str, int] | None = None, with_path: bool = False,
+                     separator: str = PATH_SEPARATOR) -> DataFrame:
+    """One row per (session_unique_id, user_pseudo_id) of the staged rows.
+
+    ``with_path`` adds the ordered path string (A03) to the same aggregate, for
+    the marts that need both the score and the path of a session.
+    """
     weights = SCORE_WEIGHTS if weights is None else weights
     short_weights = SHORT_SCORE_WEIGHTS if short_weights is None else short_weights
     ev = F.col("event_name")
@@ -78,6 +89,7 @@ def session_features(stg: DataFrame, weights: dict[str, int] | None = None,
         F.collect_set(F.when(ev == "view_item", F.col("item_category"))).alias("viewed_categories"),
         F.max(F.when(ev == "purchase", ts)).alias("purchased_at"),
         F.sum("item_revenue_calc").alias("total_revenue"),
+        *([path_expr(separator).alias("full_path")] if with_path else []),
     )
 
 
@@ -134,9 +146,8 @@ def session_paths(stg: DataFrame, separator: str = PATH_SEPARATOR) -> DataFrame:
     with the session; every other mart reads length and conversion from the
     bounded features instead of this aggregate.
     """
-    sep = separator.replace("'", "''")
     return stg.groupBy(SESSION).agg(
-        F.expr(f"listagg(event_name, '{sep}') WITHIN GROUP (ORDER BY event_timestamp, event_id)").alias("full_path"),
+        path_expr(separator).alias("full_path"),
         F.count(F.lit(1)).alias("path_length"),
         F.max(flag(F.col("action_type") == "Purchase")).alias("is_converted"),
     )

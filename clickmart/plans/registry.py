@@ -140,3 +140,185 @@ register("kpi_summary", O.with_stg(
         "CAST(SUM(has_purchase) AS BIGINT) AS step5_purchase, "
         f"{O.rpct('SUM(has_purchase)', 'COUNT(*)')} AS pct_purchase FROM sess)")))(
     lambda spark, sf: funnel.kpi_summary(funnel.funnel_overall(sess(spark, sf))))
+
+
+# --------------------------------------------------------------- segments and statistics
+from clickmart.functions import stats as ST  # noqa: E402
+from clickmart.operators import basket, cart, friction, promo, scoring, segments, significance  # noqa: E402
+from clickmart.sources.binding import read_tables  # noqa: E402
+
+Z95 = ST.z_value(0.95)
+S = O.STG_CTE
+STYLE_BASE = O.ctes(S, O.STYLES_CTE)
+
+
+def styles(spark, sf):
+    return segments.browsing_style(sess(spark, sf))
+
+
+def _q(k):
+    return f"CAST(round(CAST(CAST(quantile_disc(total_items_viewed, {k / 100}) AS DOUBLE) AS DECIMAL(38, 12)), 3) AS DOUBLE)"
+
+
+register("session_browsing_style", STYLE_BASE +
+         "SELECT session_unique_id, distinct_categories_viewed, total_items_viewed, is_converted, browsing_style "
+         "FROM styles")(styles)
+
+register("browsing_style_summary", STYLE_BASE + (
+    "SELECT browsing_style, CAST(COUNT(session_unique_id) AS BIGINT) AS session_count, "
+    f"{O.rnd('COUNT(session_unique_id) * 100.0 / SUM(COUNT(session_unique_id)) OVER ()', 1)} AS session_share_percent, "
+    f"{O.rnd('AVG(total_items_viewed)', 3)} AS avg_items_viewed, "
+    + ", ".join(f"{_q(k)} AS item_viewed_p{k}" for k in segments.QUANTILES) + ", "
+    f"{O.rnd('AVG(is_converted) * 100.0', 3)} AS conversion_rate FROM styles GROUP BY 1"))(
+    lambda spark, sf: segments.browsing_style_summary(styles(spark, sf)))
+
+_DEPTH_CASE = ("CASE WHEN total_items_viewed < 12 THEN '{0}' WHEN total_items_viewed BETWEEN 12 AND 24 THEN '{1}' "
+               "WHEN total_items_viewed BETWEEN 25 AND 36 THEN '{2}' WHEN total_items_viewed > 36 THEN '{3}' "
+               "ELSE 'Others' END").format(*segments.DEPTH_SEGMENTS)
+_INTENSITY_CASE = ("CASE WHEN total_items_viewed <= 24 THEN '{0}' WHEN total_items_viewed BETWEEN 25 AND 36 THEN '{1}' "
+                   "WHEN total_items_viewed BETWEEN 37 AND 84 THEN '{2}' WHEN total_items_viewed > 84 THEN '{3}' "
+                   "ELSE 'Others' END").format(*segments.INTENSITY_SEGMENTS)
+_SHARE = O.rnd('COUNT(session_unique_id) * 100.0 / SUM(COUNT(session_unique_id)) OVER ()', 1)
+register("deep_specialists", STYLE_BASE + (
+    f"SELECT {_DEPTH_CASE} AS depth_segment, CAST(COUNT(session_unique_id) AS BIGINT) AS session_count, "
+    f"{_SHARE} AS share_percent, {O.rnd('AVG(total_items_viewed)', 1)} AS avg_views, "
+    f"{O.rnd('AVG(is_converted) * 100.0', 2)} AS conversion_rate "
+    f"FROM styles WHERE browsing_style = '{segments.DEEP}' GROUP BY 1"))(
+    lambda spark, sf: segments.deep_specialists(styles(spark, sf)))
+
+register("variety_seekers", STYLE_BASE + (
+    f"SELECT {_INTENSITY_CASE} AS intensity_segment, CAST(COUNT(session_unique_id) AS BIGINT) AS session_count, "
+    f"{_SHARE} AS share_percent, {O.rnd('AVG(total_items_viewed)', 1)} AS avg_total_views, "
+    f"{O.rnd('AVG(distinct_categories_viewed)', 1)} AS avg_categories, "
+    f"{O.rnd('AVG(is_converted) * 100.0', 2)} AS conversion_rate "
+    f"FROM styles WHERE browsing_style = '{segments.VARIETY}' GROUP BY 1"))(
+    lambda spark, sf: segments.variety_seekers(styles(spark, sf)))
+
+register("segment_coverage", O.with_stg(
+    "SELECT CAST(COUNT(CASE WHEN tiv > 0 THEN 1 END) AS BIGINT) AS segment_sessions, "
+    "CAST(COUNT(*) AS BIGINT) AS total_sessions, "
+    "CAST(COUNT(CASE WHEN tiv > 0 THEN 1 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) * 100.0 "
+    "AS coverage_percent FROM (SELECT session_unique_id, COUNT(CASE WHEN event_name = 'view_item' THEN item_name END) "
+    "AS tiv FROM stg GROUP BY 1)"))(
+    lambda spark, sf: segments.segment_coverage(sess(spark, sf)))
+
+
+def _seg_rows(kind):
+    """(Spark rows with a ``segment`` label, SQL of the same rows named seg_rows)."""
+    if kind == "style":
+        return (lambda spark, sf: styles(spark, sf).withColumnRenamed("browsing_style", "segment"),
+                "seg_rows AS (SELECT session_unique_id, is_converted, browsing_style AS segment FROM styles)")
+    if kind == "depth":
+        return (lambda spark, sf: segments.browsing_style(sess(spark, sf))
+                .filter(F.col("browsing_style") == segments.DEEP)
+                .withColumn("segment", segments.depth_bucket(F.col("total_items_viewed"))),
+                f"seg_rows AS (SELECT session_unique_id, is_converted, {_DEPTH_CASE} AS segment FROM styles "
+                f"WHERE browsing_style = '{segments.DEEP}')")
+    return (lambda spark, sf: segments.browsing_style(sess(spark, sf))
+            .filter(F.col("browsing_style") == segments.VARIETY)
+            .withColumn("segment", segments.intensity_bucket(F.col("total_items_viewed"))),
+            f"seg_rows AS (SELECT session_unique_id, is_converted, {_INTENSITY_CASE} AS segment FROM styles "
+            f"WHERE browsing_style = '{segments.VARIETY}')")
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+_COUNTS_SQL = ("seg_counts AS (SELECT segment, CAST(COUNT(session_unique_id) AS BIGINT) AS sessions, "
+               "CAST(SUM(is_converted) AS BIGINT) AS conversions FROM seg_rows GROUP BY 1)")
+
+
+def _ci_sql():
+    rate, low, high = O.wilson_sql("conversions", "sessions", Z95)
+    return (f"SELECT segment, sessions, {O.rnd('sessions * 100.0 / SUM(sessions) OVER ()', 1)} AS share_percent, "
+            f"conversions, {rate} AS cvr, {low} AS ci_low, {high} AS ci_high, "
+            f"({high}) - ({rate}) AS err_plus, ({rate}) - ({low}) AS err_minus FROM seg_counts")
+
+
+for _kind, _name in [("style", "segment_ci_table"), ("depth", "segment_ci_depth"),
+                     ("intensity", "segment_ci_intensity")]:
+    _rows, _rows_sql = _seg_rows(_kind)
+    register(_name, O.ctes(S, O.STYLES_CTE, _rows_sql, _COUNTS_SQL) + _ci_sql())(
+        (lambda rows: lambda spark, sf: significance.segment_ci_table(
+            significance.segment_counts(rows(spark, sf), "segment")))(_rows))
+
+
+def _compare_sql(pattern_a, pattern_b, regex, bands, default):
+    match = (lambda p: f"regexp_matches(segment, '{p}')") if regex else (lambda p: f"contains(segment, '{p}')")
+    pick = ("{s} AS (SELECT segment AS segment_{s}, sessions AS sessions_{s}, conversions AS conversions_{s}, "
+            "CAST(conversions AS DOUBLE) / CAST(sessions AS DOUBLE) AS rate_{s} FROM seg_counts WHERE {m} "
+            "ORDER BY segment LIMIT 1)")
+    ra, la, ha = O.wilson_sql("conversions_a", "sessions_a", Z95)
+    rb, lb, hb = O.wilson_sql("conversions_b", "sessions_b", Z95)
+    h = "abs(2.0 * asin(sqrt(rate_a)) - 2.0 * asin(sqrt(rate_b)))"
+    label = "CASE " + " ".join(f"WHEN {h} >= {O.dbl(t)} THEN '{lab}'" for t, lab in bands) + f" ELSE '{default}' END"
+    body = (f"SELECT segment_a, segment_b, sessions_a, conversions_a, {ra} AS cvr_a, {la} AS ci_low_a, "
+            f"{ha} AS ci_high_a, sessions_b, conversions_b, {rb} AS cvr_b, {lb} AS ci_low_b, {hb} AS ci_high_b, "
+            f"{O.chi2_2x2_sql('conversions_a', 'sessions_a', 'conversions_b', 'sessions_b')} AS chi2, "
+            f"{h} AS cohens_h, {label} AS effect_label, rate_a / NULLIF(rate_b, 0) AS rate_ratio, "
+            f"({la}) > ({hb}) AS ci_non_overlap FROM a CROSS JOIN b")
+    return [pick.format(s="a", m=match(pattern_a)), pick.format(s="b", m=match(pattern_b))], body
+
+
+_COMPARES = [
+    ("segment_compare", "style", "Variety", "Deep", False, ST.EFFECT_BANDS, ST.EFFECT_DEFAULT),
+    ("segment_compare_intensity", "intensity", "Super Heavy|85", "Light|24개 이하", True,
+     ST.EFFECT_BANDS_INTENSITY, ST.EFFECT_DEFAULT_INTENSITY),
+]
+for _name, _kind, _pa, _pb, _rx, _bands, _default in _COMPARES:
+    _rows, _rows_sql = _seg_rows(_kind)
+    _picks, _body = _compare_sql(_pa, _pb, _rx, _bands, _default)
+    register(_name, O.ctes(S, O.STYLES_CTE, _rows_sql, _COUNTS_SQL, *_picks) + _body)(
+        (lambda rows, pa, pb, rx, bands, default: lambda spark, sf: significance.segment_compare(
+            significance.segment_counts(rows(spark, sf), "segment"), pa, pb, rx,
+            bands=bands, default_label=default))(_rows, _pa, _pb, _rx, _bands, _default))
+
+_rows, _rows_sql = _seg_rows("style")
+_picks, _ = _compare_sql("Variety", "Deep", False, ST.EFFECT_BANDS, ST.EFFECT_DEFAULT)
+register("chi_square_2x2", O.ctes(S, O.STYLES_CTE, _rows_sql, _COUNTS_SQL, *_picks) + (
+    f"SELECT segment_a, segment_b, "
+    f"{O.chi2_2x2_sql('conversions_a', 'sessions_a', 'conversions_b', 'sessions_b')} AS chi2, 1 AS dof "
+    "FROM a CROSS JOIN b"))(
+    lambda spark, sf: significance.segment_compare(
+        significance.segment_counts(_seg_rows("style")[0](spark, sf), "segment"), "Variety", "Deep")
+    .select("segment_a", "segment_b", "chi2", F.lit(1).alias("dof")))
+
+
+def _kx2_sql():
+    e1 = "(CAST(sessions AS DOUBLE) * c1 / n)"
+    e2 = "(CAST(sessions AS DOUBLE) * c2 / n)"
+    d1 = f"abs(CAST(conversions AS DOUBLE) - {e1})"
+    d2 = f"abs(CAST(sessions - conversions AS DOUBLE) - {e2})"
+    d1y = f"CASE WHEN k = 2 THEN {d1} - least(0.5, {d1}) ELSE {d1} END"
+    d2y = f"CASE WHEN k = 2 THEN {d2} - least(0.5, {d2}) ELSE {d2} END"
+    term = f"(({d1y}) * ({d1y}) / NULLIF({e1}, 0) + ({d2y}) * ({d2y}) / NULLIF({e2}, 0))"
+    return ("tot AS (SELECT CAST(SUM(conversions) AS DOUBLE) AS c1, CAST(SUM(sessions - conversions) AS DOUBLE) AS c2, "
+            "CAST(SUM(sessions) AS DOUBLE) AS n, COUNT(*) AS k FROM seg_counts)",
+            "SELECT CASE WHEN MAX(CASE WHEN c1 = 0 OR c2 = 0 OR sessions = 0 THEN 1 ELSE 0 END) = 1 THEN NULL "
+            f"ELSE list_reduce(list({term} ORDER BY segment), lambda x, y: x + y) END AS chi2, "
+            "CAST(MAX(k) - 1 AS INTEGER) AS dof, CAST(MAX(k) AS INTEGER) AS segments "
+            "FROM seg_counts CROSS JOIN tot")
+
+
+for _kind, _name in [("depth", "chi_square_kx2_depth"), ("intensity", "chi_square_kx2_intensity")]:
+    _rows, _rows_sql = _seg_rows(_kind)
+    _tot, _body = _kx2_sql()
+    register(_name, O.ctes(S, O.STYLES_CTE, _rows_sql, _COUNTS_SQL, _tot) + _body)(
+        (lambda rows: lambda spark, sf: significance.chi_square_segments(
+            significance.segment_counts(rows(spark, sf), "segment")))(_rows))
+
+
+@register("chi_square_pvalues")
+def _chi_square_pvalues(spark, sf):
+    """Tail probabilities of the three tests (Arrow UDF on the final rows; no SQL oracle)."""
+    two = QUERIES["chi_square_2x2"](spark, sf).select(F.lit("style 2x2").alias("test"), "chi2", "dof")
+    depth = QUERIES["chi_square_kx2_depth"](spark, sf).select(F.lit("depth kx2").alias("test"), "chi2", "dof")
+    inten = QUERIES["chi_square_kx2_intensity"](spark, sf).select(F.lit("intensity kx2").alias("test"), "chi2", "dof")
+    return significance.with_p_value(two.unionByName(depth).unionByName(inten), "chi2", "dof")
+
+
+register("segment_lookup", STYLE_BASE + (
+    f"SELECT * FROM (SELECT {_DEPTH_CASE} AS depth_segment, CAST(COUNT(session_unique_id) AS BIGINT) AS session_count, "
+    f"{_SHARE} AS share_percent, {O.rnd('AVG(total_items_viewed)', 1)} AS avg_views, "
+    f"{O.rnd('AVG(is_converted) * 100.0', 2)} AS conversion_rate "
+    f"FROM styles WHERE browsing_style = '{segments.DEEP}' GROUP BY 1) WHERE contains(depth_segment, '12-24')"))(
+    lambda spark, sf: segments.segment_lookup(segments.deep_specialists(styles(spark, sf)), "depth_segment", "12-24"))
