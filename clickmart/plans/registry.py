@@ -322,3 +322,286 @@ register("segment_lookup", STYLE_BASE + (
     f"{O.rnd('AVG(is_converted) * 100.0', 2)} AS conversion_rate "
     f"FROM styles WHERE browsing_style = '{segments.DEEP}' GROUP BY 1) WHERE contains(depth_segment, '12-24')"))(
     lambda spark, sf: segments.segment_lookup(segments.deep_specialists(styles(spark, sf)), "depth_segment", "12-24"))
+
+
+# --------------------------------------------------------------- scoring
+def feats(spark, sf, **kw):
+    return sessions.session_features(stg(spark, sf), **kw)
+
+
+SC = O.SCORES_CTE
+register("engage_lift_score", O.ctes(S, SC) +
+         "SELECT session_unique_id, user_pseudo_id, engagement_score, engagement_grade FROM scores")(
+    lambda spark, sf: scoring.engage_lift_score(feats(spark, sf)))
+
+
+def _lift_sql():
+    cols = []
+    for out, flag_col in scoring.LIFT_ACTIONS:
+        cond = (f"CAST(COUNT(CASE WHEN {flag_col} = 1 AND has_purchase = 1 THEN 1 END) AS DOUBLE) / "
+                f"NULLIF(CAST(COUNT(CASE WHEN {flag_col} = 1 THEN 1 END) AS DOUBLE), 0)")
+        base = "CAST(SUM(has_purchase) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0)"
+        cols.append(f"{O.rnd(f'({cond}) / NULLIF({base}, 0)', 1)} AS {out}")
+    return "SELECT " + ", ".join(cols) + " FROM sess"
+
+
+register("lift_weight", O.with_stg(_lift_sql(), sessions=True))(
+    lambda spark, sf: scoring.lift_weight(sess(spark, sf)))
+
+register("lift_long", O.with_stg(
+    "SELECT e.event_name, "
+    "CAST(COUNT(DISTINCT CASE WHEN f.has_purchase = 1 THEN e.session_unique_id END) AS DOUBLE) / "
+    "CAST(COUNT(DISTINCT e.session_unique_id) AS DOUBLE) AS conditional_purchase_rate, "
+    "(CAST(COUNT(DISTINCT CASE WHEN f.has_purchase = 1 THEN e.session_unique_id END) AS DOUBLE) / "
+    "CAST(COUNT(DISTINCT e.session_unique_id) AS DOUBLE)) / NULLIF(MAX(b.base), 0) AS lift, "
+    f"{O.rnd('(CAST(COUNT(DISTINCT CASE WHEN f.has_purchase = 1 THEN e.session_unique_id END) AS DOUBLE) / CAST(COUNT(DISTINCT e.session_unique_id) AS DOUBLE)) / NULLIF(MAX(b.base), 0)', 0)} AS score_weight "
+    "FROM stg e JOIN sess f USING (session_unique_id) CROSS JOIN "
+    "(SELECT CAST(COUNT(DISTINCT CASE WHEN has_purchase = 1 THEN session_unique_id END) AS DOUBLE) / "
+    "CAST(COUNT(DISTINCT session_unique_id) AS DOUBLE) AS base FROM sess) b "
+    "WHERE e.event_name IN ('view_item', 'add_to_cart', 'begin_checkout', 'add_payment_info') GROUP BY 1",
+    sessions=True))(lambda spark, sf: scoring.lift_long(sess(spark, sf)))
+
+register("score_short", O.with_stg(
+    "SELECT session_unique_id, CAST(SUM(CASE WHEN event_name = 'view_item' THEN 5 WHEN event_name = 'add_to_cart' "
+    "THEN 12 WHEN event_name = 'begin_checkout' THEN 31 WHEN event_name = 'add_payment_info' THEN 47 ELSE 1 END) "
+    "AS BIGINT) AS engagement_score FROM stg GROUP BY 1"))(
+    lambda spark, sf: scoring.score_short(sess(spark, sf)))
+
+CORE_SQL = ("core AS (SELECT s.session_unique_id, s.user_pseudo_id, s.engagement_grade, s.engagement_score, "
+            "p.full_path, p.path_length, COALESCE(p.is_converted, 0) AS is_converted, "
+            "COALESCE(p.is_converted, 0) = 0 AS is_missed_opportunity "
+            "FROM scores s LEFT JOIN paths p ON s.session_unique_id = p.session_unique_id "
+            "WHERE s.engagement_grade IN ('High Intent', 'Medium Intent'))")
+register("core_sessions", O.ctes(S, SC, CORE_SQL) + "SELECT * FROM core")(
+    lambda spark, sf: scoring.core_sessions(feats(spark, sf, with_path=True)))
+
+# --------------------------------------------------------------- cart
+CART_SQL = (
+    "abandoned AS (SELECT session_unique_id FROM core WHERE is_missed_opportunity OR "
+    "(regexp_matches(full_path, 'add_to_cart') AND is_converted = 0)), "
+    "cart_items AS (SELECT e.session_unique_id, e.item_name, MIN(e.item_category) AS item_category, "
+    "e.item_revenue_calc AS potential_revenue FROM stg e JOIN abandoned s ON e.session_unique_id = s.session_unique_id "
+    "WHERE e.event_name = 'add_to_cart' GROUP BY 1, 2, 4), "
+    "cart AS (SELECT item_name, MAX(item_category) AS item_category, "
+    "CAST(COUNT(DISTINCT session_unique_id) AS BIGINT) AS abandoned_session_count, "
+    "SUM(potential_revenue) AS total_lost_revenue, "
+    f"{O.rnd('AVG(potential_revenue)', 0)} AS avg_lost_value "
+    "FROM cart_items GROUP BY 1 HAVING COUNT(DISTINCT session_unique_id) > 0)")
+CART_BASE = O.ctes(S, SC, CORE_SQL, CART_SQL)
+CART_CLEAN = "cart_clean AS (SELECT * FROM cart WHERE NOT COALESCE(contains(lower(item_name), 'rain shell'), false))"
+
+
+def cart_df(spark, sf):
+    s = stg(spark, sf)
+    f = sessions.session_features(s)
+    return cart.cart_abandon(s, cart.abandoned_sessions(f))
+
+
+def cart_clean(spark, sf):
+    return cart.exclude_items(cart_df(spark, sf))
+
+
+register("cart_abandon", CART_BASE + "SELECT * FROM cart")(cart_df)
+register("exclude_items", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) + "SELECT * FROM cart_clean")(cart_clean)
+
+_MAIN_CAT = ("CASE WHEN COALESCE(contains(item_category, 'Bags'), false) THEN 'Bags' "
+             "WHEN COALESCE(contains(item_category, 'Apparel') OR contains(item_category, 'Men''s') OR "
+             "contains(item_category, 'Women''s') OR contains(item_category, 'T-Shirts') OR "
+             "contains(item_category, 'Unisex'), false) THEN 'Apparel' "
+             "WHEN COALESCE(contains(item_category, 'Shop by Brand'), false) THEN 'Accessories' ELSE 'Other' END")
+register("main_category", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) +
+         f"SELECT item_name, item_category, {_MAIN_CAT} AS main_category FROM cart_clean")(
+    lambda spark, sf: cart_clean(spark, sf).select("item_name", "item_category",
+                                                   cart.main_category(F.col("item_category")).alias("main_category")))
+
+register("category_loss_rollup", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) + (
+    f"SELECT main_category, items, abandoned_sessions, lost_value, "
+    "lost_value / NULLIF(SUM(lost_value) OVER (), 0) * 100.0 AS loss_share_percent, "
+    "lost_value / NULLIF(CAST(abandoned_sessions AS DOUBLE), 0) AS loss_per_abandon FROM ("
+    f"SELECT {_MAIN_CAT} AS main_category, CAST(COUNT(*) AS BIGINT) AS items, "
+    "CAST(SUM(abandoned_session_count) AS BIGINT) AS abandoned_sessions, SUM(total_lost_revenue) AS lost_value "
+    "FROM cart_clean GROUP BY 1)"))(
+    lambda spark, sf: cart.category_loss_rollup(cart_clean(spark, sf)))
+
+register("category_filter_loss", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) + (
+    "SELECT category_items, category_lost, category_abandons, total_lost, "
+    "category_lost / NULLIF(total_lost, 0) * 100.0 AS loss_share_percent, "
+    "category_lost / NULLIF(CAST(category_abandons AS DOUBLE), 0) AS loss_per_abandon FROM ("
+    "SELECT CAST(COUNT(CASE WHEN h THEN 1 END) AS BIGINT) AS category_items, "
+    "SUM(CASE WHEN h THEN total_lost_revenue END) AS category_lost, "
+    "CAST(SUM(CASE WHEN h THEN abandoned_session_count END) AS BIGINT) AS category_abandons, "
+    "SUM(total_lost_revenue) AS total_lost FROM (SELECT *, COALESCE(contains(lower(item_category), 'bags'), false) AS h "
+    "FROM cart_clean))"))(
+    lambda spark, sf: cart.category_filter_loss(cart_clean(spark, sf)))
+
+register("cart_totals", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) +
+         "SELECT SUM(total_lost_revenue) AS total_lost, CAST(SUM(abandoned_session_count) AS BIGINT) AS total_abandons "
+         "FROM cart_clean")(lambda spark, sf: cart.cart_totals(cart_clean(spark, sf)))
+
+register("loss_count_correlation", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) +
+         f"SELECT {O.rnd('corr(avg_lost_value, abandoned_session_count)', 10)} AS pearson_r FROM cart_clean")(
+    lambda spark, sf: cart.loss_count_correlation(cart_clean(spark, sf))
+    .select(F.round("pearson_r", 10).alias("pearson_r")))
+
+for _by, _name in [("total_lost_revenue", "cart_top_n_value"), ("abandoned_session_count", "cart_top_n_sessions"),
+                   ("avg_lost_value", "cart_top_n_average")]:
+    register(_name, O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) +
+             f"SELECT * FROM cart_clean ORDER BY {_by} DESC, item_name ASC NULLS LAST LIMIT 10")(
+        (lambda by: lambda spark, sf: cart.cart_top_n(cart_clean(spark, sf), by, 10))(_by))
+
+register("category_top_n", O.ctes(S, SC, CORE_SQL, CART_SQL, CART_CLEAN) + (
+    "SELECT main_category, rank, item_name, substr(replace(item_name, 'Google ', ''), 1, 25) AS item_short, "
+    "abandoned_session_count, total_lost_revenue, "
+    "CASE WHEN avg_lost_value > 0 THEN CAST(trunc(avg_lost_value) AS BIGINT) "
+    "WHEN abandoned_session_count > 0 THEN CAST(trunc(total_lost_revenue / abandoned_session_count) AS BIGINT) "
+    "ELSE 0 END AS avg_lost_int, CAST(trunc(total_lost_revenue / 1000.0) AS BIGINT) AS lost_k FROM ("
+    f"SELECT *, {_MAIN_CAT} AS main_category, CAST(row_number() OVER (PARTITION BY {_MAIN_CAT} "
+    "ORDER BY total_lost_revenue DESC, item_name ASC NULLS LAST) AS INTEGER) AS rank FROM cart_clean) WHERE rank <= 2"))(
+    lambda spark, sf: cart.category_top_n(cart_clean(spark, sf), 2))
+
+# --------------------------------------------------------------- promotions
+PERF_SQL = ("perf AS (SELECT promotion_name, impressions, clicks, "
+            f"{O.rpct('clicks', 'impressions')} AS ctr_percent FROM ("
+            "SELECT promotion_name, CAST(COUNT(CASE WHEN event_name = 'view_promotion' THEN 1 END) AS BIGINT) AS impressions, "
+            "CAST(COUNT(CASE WHEN event_name = 'select_promotion' THEN 1 END) AS BIGINT) AS clicks "
+            "FROM stg WHERE promotion_name <> '(not set)' GROUP BY 1) WHERE impressions > 50)")
+register("promo_performance", O.ctes(S, PERF_SQL) + "SELECT * FROM perf")(
+    lambda spark, sf: promo.promo_performance(stg(spark, sf)))
+
+PQ_SQL = (
+    "pc AS (SELECT promotion_name, session_unique_id FROM stg WHERE event_name = 'select_promotion' "
+    "AND promotion_name <> '(not set)'), "
+    "pq AS (SELECT p.promotion_name, CAST(COUNT(DISTINCT p.session_unique_id) AS BIGINT) AS click_sessions, "
+    f"{O.rnd('AVG(s.engagement_score)', 1)} AS avg_session_score, "
+    "CAST(COUNT(CASE WHEN s.engagement_grade = 'High Intent' THEN 1 END) AS BIGINT) AS high_intent_session_count, "
+    f"{O.rpct('COUNT(CASE WHEN path.is_converted = 1 THEN 1 END)', 'COUNT(DISTINCT p.session_unique_id)')} AS promo_cvr "
+    "FROM pc p LEFT JOIN scores s ON p.session_unique_id = s.session_unique_id "
+    "LEFT JOIN paths path ON p.session_unique_id = path.session_unique_id GROUP BY 1), "
+    "quality AS (SELECT q.promotion_name, perf.ctr_percent, q.click_sessions, q.avg_session_score, "
+    "q.high_intent_session_count, q.promo_cvr, "
+    f"CASE WHEN perf.ctr_percent >= 5.0 AND q.avg_session_score >= 50 THEN '{promo.STAR}' "
+    f"WHEN perf.ctr_percent >= 5.0 AND q.avg_session_score < 50 THEN '{promo.CLICKBAIT}' "
+    f"WHEN perf.ctr_percent < 5.0 AND q.avg_session_score >= 50 THEN '{promo.HIDDEN_GEM}' "
+    f"ELSE '{promo.POOR}' END AS promo_status FROM pq q LEFT JOIN perf ON q.promotion_name = perf.promotion_name)")
+PQ_BASE = O.ctes(S, SC, PERF_SQL, PQ_SQL)
+
+
+def quality_df(spark, sf):
+    s = stg(spark, sf)
+    return promo.promo_quality(s, sessions.session_features(s), promo.promo_performance(s))
+
+
+register("promo_quality", PQ_BASE + "SELECT * FROM quality")(quality_df)
+register("promo_summary", PQ_BASE + (
+    "SELECT promotion_name, ctr_percent, promo_cvr, click_sessions, promo_status, "
+    "printf('%s<br>CVR: %.1f%%', promotion_name, promo_cvr) AS label FROM quality"))(
+    lambda spark, sf: promo.promo_summary(quality_df(spark, sf)))
+register("hidden_gems", PQ_BASE + (
+    "SELECT promotion_name, ctr_percent, avg_session_score, promo_cvr FROM quality "
+    "WHERE contains(promo_status, 'Hidden Gem') ORDER BY click_sessions DESC, promotion_name LIMIT 1"))(
+    lambda spark, sf: promo.hidden_gems(quality_df(spark, sf)))
+
+# --------------------------------------------------------------- friction / time
+def _friction_sql(grain):
+    w = "1" if grain == "event" else "1"
+    if grain == "event":
+        users = "COUNT(CASE WHEN s.engagement_grade = 'High Intent' THEN 1 END)"
+        convs = "COUNT(CASE WHEN s.engagement_grade = 'High Intent' AND p.is_converted = 1 THEN 1 END)"
+    else:
+        users = "COUNT(DISTINCT CASE WHEN s.engagement_grade = 'High Intent' THEN e.session_unique_id END)"
+        convs = ("COUNT(DISTINCT CASE WHEN s.engagement_grade = 'High Intent' AND p.is_converted = 1 "
+                 "THEN e.session_unique_id END)")
+    del w
+    return O.ctes(S, SC, (
+        "ds AS (SELECT e.device_category, CAST(COUNT(DISTINCT e.session_unique_id) AS BIGINT) AS total_sessions, "
+        f"CAST({users} AS BIGINT) AS high_intent_users, CAST({convs} AS BIGINT) AS high_intent_converters "
+        "FROM stg e JOIN scores s ON e.session_unique_id = s.session_unique_id "
+        "JOIN paths p ON e.session_unique_id = p.session_unique_id GROUP BY 1), "
+        "cv AS (SELECT *, CAST(high_intent_converters AS DOUBLE) / NULLIF(CAST(high_intent_users AS DOUBLE), 0) "
+        "AS high_intent_cvr FROM ds WHERE high_intent_users > 0)")) + (
+        "SELECT device_category, total_sessions, high_intent_users, "
+        f"{O.rpct('high_intent_users', 'total_sessions', 1)} AS high_intent_ratio, "
+        f"{O.rnd('high_intent_cvr * 100.0', 1)} AS high_intent_cvr_percent, "
+        f"{O.rnd('high_intent_cvr / NULLIF(MAX(CASE WHEN device_category = ' + chr(39) + 'desktop' + chr(39) + ' THEN high_intent_cvr END) OVER (), 0) * 100.0', 0)} "
+        "AS efficiency_index_vs_pc FROM cv")
+
+
+register("device_friction", _friction_sql("event"))(
+    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf)))
+register("device_friction_by_session", _friction_sql("session"))(
+    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf), grain="session"))
+
+_TB = ("CASE " + " ".join(f"WHEN m < {b} THEN '{lab}'" for b, lab in friction.TIME_BUCKETS)
+       + f" ELSE '{friction.TIME_BUCKET_LAST}' END")
+register("time_to_conversion", O.ctes(S, (
+    "ps AS (SELECT session_unique_id, MIN(event_timestamp) AS session_start_at, "
+    "MAX(CASE WHEN event_name = 'purchase' THEN event_timestamp END) AS purchased_at, "
+    "SUM(item_revenue_calc) AS total_revenue FROM stg GROUP BY 1 "
+    "HAVING MAX(CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END) = 1)")) + (
+    f"SELECT m AS minutes_to_buy, {_TB} AS time_bucket, CAST(COUNT(*) AS BIGINT) AS session_count, "
+    f"{O.rnd('AVG(total_revenue)', 1)} AS avg_order_value "
+    "FROM (SELECT date_sub('minute', session_start_at, purchased_at) AS m, total_revenue FROM ps) GROUP BY 1, 2"))(
+    lambda spark, sf: friction.time_to_conversion(sess(spark, sf)))
+
+# --------------------------------------------------------------- baskets
+TIER_SQL = (
+    "pstats AS (SELECT quantile_disc(item_price, 0.33) AS p33_cutoff, quantile_disc(item_price, 0.66) AS p66_cutoff "
+    "FROM stg WHERE event_name = 'view_item' AND item_price > 0), "
+    "pavg AS (SELECT item_name, AVG(item_price) AS avg_price FROM stg WHERE event_name = 'view_item' "
+    "AND item_price > 0 GROUP BY 1), "
+    "tiers AS (SELECT p.item_name, p.avg_price, CASE WHEN p.avg_price >= s.p66_cutoff THEN 'High' "
+    "WHEN p.avg_price >= s.p33_cutoff THEN 'Mid' ELSE 'Low' END AS price_tier, s.p33_cutoff, s.p66_cutoff "
+    "FROM pavg p CROSS JOIN pstats s)")
+register("price_tier", O.ctes(S, TIER_SQL) + "SELECT * FROM tiers")(
+    lambda spark, sf: basket.price_tier(stg(spark, sf)))
+register("price_tier_alt", O.ctes(S, TIER_SQL) + (
+    "SELECT p.item_name, p.avg_price, CASE WHEN p.avg_price < s.p33_cutoff THEN 'Low' "
+    "WHEN p.avg_price >= s.p66_cutoff THEN 'High' ELSE 'Mid' END AS price_tier, s.p33_cutoff, s.p66_cutoff "
+    "FROM pavg p CROSS JOIN pstats s"))(
+    lambda spark, sf: basket.price_tier(stg(spark, sf), alt_order=True))
+
+ASSOC_SQL = (
+    "pi AS (SELECT transaction_id, session_unique_id, item_name FROM stg WHERE event_name = 'purchase' "
+    "AND transaction_id IS NOT NULL), "
+    "assoc AS (SELECT a.session_unique_id, a.transaction_id, a.item_name AS product_A, b.item_name AS product_B "
+    "FROM pi a JOIN pi b ON a.transaction_id = b.transaction_id AND a.item_name < b.item_name)")
+register("product_association", O.ctes(S, ASSOC_SQL) + "SELECT * FROM assoc")(
+    lambda spark, sf: basket.product_association(stg(spark, sf)))
+
+
+def _bundle_sql(mid_name):
+    return O.ctes(S, SC, TIER_SQL, ASSOC_SQL, (
+        "pair_stats AS (SELECT p.product_A, p.product_B, p.transaction_id, s.engagement_score, s.engagement_grade "
+        "FROM assoc p LEFT JOIN scores s ON p.session_unique_id = s.session_unique_id)")) + (
+        f"SELECT ps.product_A, {O.rnd('pa.avg_price', 3)} AS price_A, pa.price_tier AS tier_A, ps.product_B, "
+        f"{O.rnd('pb.avg_price', 3)} AS price_B, pb.price_tier AS tier_B, "
+        "CAST(COUNT(DISTINCT ps.transaction_id) AS BIGINT) AS pair_sales_count, "
+        f"{O.rnd('AVG(ps.engagement_score)', 1)} AS avg_buyer_score, "
+        f"{O.rpct('COUNT(CASE WHEN ps.engagement_grade = ' + chr(39) + 'High Intent' + chr(39) + ' THEN 1 END)', 'COUNT(*)', 1)} "
+        "AS high_intent_ratio, "
+        "CASE WHEN (pa.price_tier = 'High' AND pb.price_tier = 'Low') OR (pa.price_tier = 'Low' AND pb.price_tier = 'High') "
+        f"OR (pa.price_tier = '{mid_name}' AND pb.price_tier = 'High') OR (pa.price_tier = 'High' AND pb.price_tier = '{mid_name}') "
+        f"THEN '{basket.ADD_ON}' WHEN pa.price_tier = 'High' AND pb.price_tier = 'High' THEN '{basket.PREMIUM}' "
+        f"WHEN pa.price_tier = 'Mid' AND pb.price_tier = 'Mid' THEN '{basket.VOLUME}' ELSE '{basket.GENERAL}' END "
+        "AS bundle_strategy_type FROM pair_stats ps LEFT JOIN tiers pa ON ps.product_A = pa.item_name "
+        "LEFT JOIN tiers pb ON ps.product_B = pb.item_name GROUP BY 1, 2, 3, 4, 5, 6, 10 "
+        "HAVING COUNT(DISTINCT ps.transaction_id) >= 3")
+
+
+def _bundle(mid_name):
+    def run(spark, sf):
+        s = stg(spark, sf)
+        return basket.bundle_strategy(s, sessions.session_features(s), mid_name=mid_name)
+    return run
+
+
+register("bundle_strategy", _bundle_sql(basket.REFERENCE_MID_NAME))(_bundle(basket.REFERENCE_MID_NAME))
+register("bundle_strategy_fixed", _bundle_sql(basket.MID))(_bundle(basket.MID))
+
+register("market_basket_orders", (
+    "WITH li AS (SELECT l.l_orderkey AS transaction_id, p.p_name AS item_name FROM lineitem l "
+    "JOIN part p ON l.l_partkey = p.p_partkey) "
+    "SELECT a.item_name AS product_A, b.item_name AS product_B, "
+    "CAST(COUNT(DISTINCT a.transaction_id) AS BIGINT) AS pair_orders, CAST(COUNT(*) AS BIGINT) AS pair_rows "
+    "FROM li a JOIN li b ON a.transaction_id = b.transaction_id AND a.item_name < b.item_name GROUP BY 1, 2"))(
+    lambda spark, sf: basket.order_pair_sales(**{k: v for k, v in read_tables(spark, sf, ("lineitem", "part")).items()}))
