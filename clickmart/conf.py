@@ -22,7 +22,12 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # collect_list/collect_set keep a per-task hash map of groups; the default
+    # switches to sort-based aggregation after only 128 keys.  4096 keys per
+    # task stays small (a bounded item array per key) and avoids that sort.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

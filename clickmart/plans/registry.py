@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickmart.operators import funnel, sessions
 from clickmart.operators.staging import staged_from_tables
+from clickmart.plans import materialize
 from clickmart.plans import oracle as O
+from clickmart.plans.materialize import source_signature
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,17 +30,35 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+SOURCE_TABLES = ("events", "lineitem", "part")
+
+
+def _signature(sf_dir: str) -> str:
+    return source_signature([f"{sf_dir}/{t}.parquet" for t in SOURCE_TABLES])
+
+
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged_from_tables(spark, sf_dir)
+    """The staged rows as a materialised table (partitioned by event_date)."""
+    return materialize.table(spark, "stg_events", _signature(sf_dir),
+                             lambda: staged_from_tables(spark, sf_dir), partition_by=["event_date"])
+
+
+def feats(spark: SparkSession, sf_dir: str, with_path: bool = False) -> DataFrame:
+    """The fused session aggregate (survey P1) as a materialised table."""
+    if with_path:
+        return sessions.session_features(stg(spark, sf_dir), with_path=True)
+    return materialize.table(spark, "session_features", _signature(sf_dir),
+                             lambda: sessions.session_features(stg(spark, sf_dir)))
 
 
 def sess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_level(sessions.session_features(stg(spark, sf_dir)))
+    return sessions.session_level(feats(spark, sf_dir))
 
 
 # --------------------------------------------------------------- staging / sessions
+# The staging model itself always runs in full: binding + flattening of the raw tables.
 register("stage_events", O.with_stg("SELECT * FROM stg"))(
-    lambda spark, sf: stg(spark, sf))
+    lambda spark, sf: staged_from_tables(spark, sf))
 
 register("session_funnel", O.with_stg(
     "SELECT session_unique_id, session_source, session_medium, session_campaign, device_category, "
@@ -325,9 +345,6 @@ register("segment_lookup", STYLE_BASE + (
 
 
 # --------------------------------------------------------------- scoring
-def feats(spark, sf, **kw):
-    return sessions.session_features(stg(spark, sf), **kw)
-
 
 SC = O.SCORES_CTE
 register("engage_lift_score", O.ctes(S, SC) +
@@ -392,9 +409,7 @@ CART_CLEAN = "cart_clean AS (SELECT * FROM cart WHERE NOT COALESCE(contains(lowe
 
 
 def cart_df(spark, sf):
-    s = stg(spark, sf)
-    f = sessions.session_features(s)
-    return cart.cart_abandon(s, cart.abandoned_sessions(f))
+    return cart.cart_abandon(stg(spark, sf), cart.abandoned_sessions(feats(spark, sf)))
 
 
 def cart_clean(spark, sf):
@@ -488,7 +503,7 @@ PQ_BASE = O.ctes(S, SC, PERF_SQL, PQ_SQL)
 
 def quality_df(spark, sf):
     s = stg(spark, sf)
-    return promo.promo_quality(s, sessions.session_features(s), promo.promo_performance(s))
+    return promo.promo_quality(s, feats(spark, sf), promo.promo_performance(s))
 
 
 register("promo_quality", PQ_BASE + "SELECT * FROM quality")(quality_df)
@@ -590,8 +605,7 @@ def _bundle_sql(mid_name):
 
 def _bundle(mid_name):
     def run(spark, sf):
-        s = stg(spark, sf)
-        return basket.bundle_strategy(s, sessions.session_features(s), mid_name=mid_name)
+        return basket.bundle_strategy(stg(spark, sf), feats(spark, sf), mid_name=mid_name)
     return run
 
 
