@@ -73,15 +73,18 @@ def weighted_pairs(lines: DataFrame, txn: str = "transaction_id", session: str |
 
 
 def product_association(stg: DataFrame) -> DataFrame:
-    """The reference's pair rows (session, transaction, A, B), one per line pair."""
+    """Item pairs (A < B) bought in the same transaction, per (session, transaction).
+
+    The reference repeats a pair row once per pair of lines (Q10); here each
+    distinct pair is one row and ``line_pairs`` says how many line pairs it
+    stands for (nA·nB), so a basket with repeated lines does not multiply rows."""
     pairs = weighted_pairs(_purchase_lines(stg))
-    # Re-expand the multiplicity only for this row-level output (w is nA·nB lines).
-    return pairs.select(SESSION, "transaction_id", "product_A", "product_B",
-                        F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))).alias("_r")).drop("_r")
+    return pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("w").alias("line_pairs"))
 
 
 def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None = None,
-                    min_sales: int = MIN_PAIR_SALES, mid_name: str = REFERENCE_MID_NAME) -> DataFrame:
+                    min_sales: int = MIN_PAIR_SALES, mid_name: str = REFERENCE_MID_NAME,
+                    scores: DataFrame | None = None) -> DataFrame:
     """Pairs sold in at least ``min_sales`` transactions with prices, tiers,
     buyer score, High-Intent share and bundle strategy.
 
@@ -89,8 +92,9 @@ def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None
     ``mid_name='Mid'`` is the corrected one."""
     tiers = price_tier(stg) if tiers is None else tiers
     pairs = weighted_pairs(_purchase_lines(stg))
-    scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score")) \
-        .filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
+    if scores is None:
+        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
+    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
     rows = pairs.join(scores, SESSION, "left")
     w = F.col("w")
     # Level 1: per (pair, transaction) — makes the distinct-transaction count a plain count.

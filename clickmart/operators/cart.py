@@ -24,13 +24,14 @@ GOOGLE_PREFIX = "Google "
 SHORT_NAME_LEN = 25
 
 
-def abandoned_sessions(features: DataFrame, keep_grades=CORE_GRADES) -> DataFrame:
+def abandoned_sessions(features: DataFrame, keep_grades=CORE_GRADES, scores: DataFrame | None = None) -> DataFrame:
     """Sessions of the core set (High/Medium grade) that did not convert.
 
     The reference also accepts 'path contains add_to_cart and not converted',
     which the first condition already implies (Q5), so the path string is not
     needed here."""
-    scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
+    if scores is None:
+        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
     conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
     core = scores.filter(F.col("engagement_grade").isin(*keep_grades)).join(conv, SESSION, "left")
     return core.filter(F.coalesce(F.col("has_purchase"), F.lit(0)) == 0).select(SESSION)

@@ -25,14 +25,15 @@ TIME_BUCKET_LAST = "60분 이상"
 
 
 def device_friction(stg: DataFrame, features: DataFrame, grain: str = "event",
-                    baseline: str = BASELINE_DEVICE) -> DataFrame:
+                    baseline: str = BASELINE_DEVICE, scores: DataFrame | None = None) -> DataFrame:
     """Sessions, High-Intent count, ratio %, High-Intent CVR %, index vs baseline = 100.
 
     ``grain='event'`` counts staged rows as the reference does (Q1);
     ``grain='session'`` counts sessions."""
     per = stg.groupBy("device_category", SESSION).agg(F.count(F.lit(1)).alias("n"))
-    scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score")) \
-        .filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_grade")
+    if scores is None:
+        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
+    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_grade")
     conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
     joined = per.join(scores, SESSION, "inner").join(conv, SESSION, "inner")
     w = F.col("n") if grain == "event" else F.lit(1).cast("bigint")

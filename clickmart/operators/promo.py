@@ -38,13 +38,15 @@ def promo_performance(stg: DataFrame, min_impressions: int = MIN_IMPRESSIONS) ->
 
 
 def promo_quality(stg: DataFrame, features: DataFrame, performance: DataFrame,
-                  ctr_cut: float = CTR_CUT, score_cut: float = SCORE_CUT) -> DataFrame:
+                  ctr_cut: float = CTR_CUT, score_cut: float = SCORE_CUT,
+                  scores: DataFrame | None = None) -> DataFrame:
     """Per clicked promotion: CTR, click sessions, row-weighted average score,
     High-Intent click rows, CVR % (converting click rows / click sessions, Q7), quadrant."""
     clicks = (stg.filter((F.col("event_name") == "select_promotion") & (F.col("promotion_name") != NOT_SET))
               .groupBy("promotion_name", SESSION).agg(F.count(F.lit(1)).alias("n")))
-    scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score")) \
-        .filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
+    if scores is None:
+        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
+    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
     conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
     joined = clicks.join(scores, SESSION, "left").join(conv, SESSION, "left")
     n = F.col("n")

@@ -45,9 +45,9 @@ def test_pairs_repeat_per_line_and_weights(spark):
             ev("2024-01-05 12:00:00", "purchase", gsid=4, txn=None, items=[item("A"), item("B")])]
     stg = staged(spark, rows)
     pairs = basket.product_association(stg)
-    got = sorted((r.transaction_id, r.product_A, r.product_B) for r in pairs.collect())
-    assert got == [("T1", "A", "B"), ("T1", "A", "B"), ("T2", "A", "B"), ("T2", "A", "C"), ("T2", "B", "C"),
-                   ("T3", "A", "B")]
+    got = sorted((r.transaction_id, r.product_A, r.product_B, r.line_pairs) for r in pairs.collect())
+    assert got == [("T1", "A", "B", 2), ("T2", "A", "B", 1), ("T2", "A", "C", 1), ("T2", "B", "C", 1),
+                   ("T3", "A", "B", 1)]
     feats = sessions.session_features(stg)
     b = basket.bundle_strategy(stg, feats).collect()
     assert [(r.product_A, r.product_B, r.pair_sales_count) for r in b] == [("A", "B", 3)]
