@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import fold_cases
-from clickmart.operators.scoring import engage_lift_score
+from clickmart.operators.scoring import graded_sessions
 from clickmart.operators.sessions import SESSION
 
 # Tier names, bundle labels.
@@ -92,10 +92,8 @@ def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None
     ``mid_name='Mid'`` is the corrected one."""
     tiers = price_tier(stg) if tiers is None else tiers
     pairs = weighted_pairs(_purchase_lines(stg))
-    if scores is None:
-        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
-    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
-    rows = pairs.join(scores, SESSION, "left")
+    graded = graded_sessions(features, scores).drop("has_purchase")
+    rows = pairs.join(graded, SESSION, "left")
     w = F.col("w")
     # Level 1: per (pair, transaction) — makes the distinct-transaction count a plain count.
     per_txn = rows.groupBy("product_A", "product_B", "transaction_id").agg(

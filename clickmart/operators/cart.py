@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import contains_ci, contains_cs, fold_cases, safe_div
-from clickmart.operators.scoring import CORE_GRADES, engage_lift_score
+from clickmart.operators.scoring import CORE_GRADES, graded_sessions
 from clickmart.operators.sessions import SESSION
 
 # Outlier item excluded by the dashboard; main-category rule.
@@ -30,10 +30,7 @@ def abandoned_sessions(features: DataFrame, keep_grades=CORE_GRADES, scores: Dat
     The reference also accepts 'path contains add_to_cart and not converted',
     which the first condition already implies (Q5), so the path string is not
     needed here."""
-    if scores is None:
-        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
-    conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
-    core = scores.filter(F.col("engagement_grade").isin(*keep_grades)).join(conv, SESSION, "left")
+    core = graded_sessions(features, scores).filter(F.col("engagement_grade").isin(*keep_grades))
     return core.filter(F.coalesce(F.col("has_purchase"), F.lit(0)) == 0).select(SESSION)
 
 

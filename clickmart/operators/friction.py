@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import fold_cases, pct, safe_div
-from clickmart.operators.scoring import engage_lift_score
+from clickmart.operators.scoring import graded_sessions
 from clickmart.operators.sessions import SESSION
 
 BASELINE_DEVICE = "desktop"
@@ -31,11 +31,7 @@ def device_friction(stg: DataFrame, features: DataFrame, grain: str = "event",
     ``grain='event'`` counts staged rows as the reference does (Q1);
     ``grain='session'`` counts sessions."""
     per = stg.groupBy("device_category", SESSION).agg(F.count(F.lit(1)).alias("n"))
-    if scores is None:
-        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
-    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_grade")
-    conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
-    joined = per.join(scores, SESSION, "inner").join(conv, SESSION, "inner")
+    joined = per.join(graded_sessions(features, scores), SESSION, "inner")
     w = F.col("n") if grain == "event" else F.lit(1).cast("bigint")
     high = F.col("engagement_grade") == HIGH
     stats = joined.groupBy("device_category").agg(

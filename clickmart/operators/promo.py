@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import fold_cases, pct
-from clickmart.operators.scoring import engage_lift_score
+from clickmart.operators.scoring import graded_sessions
 from clickmart.operators.sessions import SESSION
 from clickmart.operators.staging import NOT_SET
 
@@ -44,11 +44,7 @@ def promo_quality(stg: DataFrame, features: DataFrame, performance: DataFrame,
     High-Intent click rows, CVR % (converting click rows / click sessions, Q7), quadrant."""
     clicks = (stg.filter((F.col("event_name") == "select_promotion") & (F.col("promotion_name") != NOT_SET))
               .groupBy("promotion_name", SESSION).agg(F.count(F.lit(1)).alias("n")))
-    if scores is None:
-        scores = engage_lift_score(features.select(SESSION, "user_pseudo_id", "engagement_score"))
-    scores = scores.filter(F.col(SESSION).isNotNull()).select(SESSION, "engagement_score", "engagement_grade")
-    conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
-    joined = clicks.join(scores, SESSION, "left").join(conv, SESSION, "left")
+    joined = clicks.join(graded_sessions(features, scores), SESSION, "left")
     n = F.col("n")
     click_sessions = F.count(SESSION)
     q = joined.groupBy("promotion_name").agg(

@@ -64,11 +64,29 @@ def grade_expr(rank_col: str = "pct_rank", grades=GRADES, low: str = LOW_GRADE):
 
 
 def engage_lift_score(features: DataFrame, grades=GRADES, low: str = LOW_GRADE,
-                      score_col: str = "engagement_score") -> DataFrame:
-    """Score per (session, user), global percent rank (desc), grade."""
-    ranked = percent_rank_desc(features.select(SESSION, "user_pseudo_id", score_col), score_col)
+                      score_col: str = "engagement_score", keep=()) -> DataFrame:
+    """Score per (session, user), global percent rank (desc), grade.
+
+    ``keep`` carries further feature columns (e.g. ``has_purchase``) through
+    the ranking, so marts that need the grade and a session fact do not join
+    the features again."""
+    ranked = percent_rank_desc(features.select(SESSION, "user_pseudo_id", score_col, *keep), score_col)
     return ranked.select(SESSION, "user_pseudo_id", F.col(score_col).alias("engagement_score"),
-                         grade_expr("pct_rank", grades, low).alias("engagement_grade"))
+                         grade_expr("pct_rank", grades, low).alias("engagement_grade"), *keep)
+
+
+def graded_sessions(features: DataFrame, scores: DataFrame | None = None) -> DataFrame:
+    """Non-NULL sessions with score, grade and conversion flag (the facts the
+    marts join event rows to).  Uses ``scores`` when it already carries
+    ``has_purchase``; otherwise ranks ``features`` carrying it along."""
+    if scores is None or "has_purchase" not in scores.columns:
+        if scores is not None:
+            conv = features.filter(F.col(SESSION).isNotNull()).select(SESSION, "has_purchase")
+            scores = scores.join(conv, SESSION, "left")
+        else:
+            scores = engage_lift_score(features, keep=["has_purchase"])
+    return scores.filter(F.col(SESSION).isNotNull()).select(
+        SESSION, "engagement_score", "engagement_grade", "has_purchase")
 
 
 def lift_weight(sessions: DataFrame, digits: int = 1) -> DataFrame:

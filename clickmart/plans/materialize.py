@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickmart.conf import ensure_checkpoint_dir
 
 _LOCK = threading.RLock()
-_TABLES: dict[tuple[str, str], tuple[str, object, list[str]]] = {}
+_TABLES: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
 def source_signature(paths: Sequence[str]) -> str:
@@ -45,16 +45,21 @@ def table(spark: SparkSession, name: str, signature: str, build: Callable[[], Da
             base = ensure_checkpoint_dir(spark).rstrip("/")
             path = f"{base}/clickmart-tables/{name}-{signature}-{uuid.uuid4().hex[:8]}"
             df = build()
-            writer = df.write.mode("overwrite")
+            out = df
+            if partition_by:
+                # One file set per partition value at small scale; at large scale AQE
+                # splits a partition value that holds too much data (rebalance).
+                out = df.hint("rebalance", *partition_by)
+            writer = out.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
-            hit = (path, df.schema, df.columns)
+            # The written schema is given back explicitly: partition values keep
+            # their string type ('20240101' is a date label, not a number).  The
+            # read is kept, so the file listing happens once per table.
+            hit = (path, spark.read.schema(df.schema).parquet(path).select(*df.columns))
             _TABLES[key] = hit
-    path, schema, columns = hit
-    # The written schema is given back explicitly: partition values keep their
-    # string type ('20240101' is a date string, not a number).
-    return spark.read.schema(schema).parquet(path).select(*columns)
+    return hit[1]
 
 
 def forget(spark: SparkSession) -> None:

@@ -38,7 +38,7 @@ def _materialize(df: DataFrame, mode: str, name: str, run_id: str, partition_by=
         return df.checkpoint(eager=True)
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/clickmart-run-{run_id}/{name}"
-    w = df.write.mode("overwrite")
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -53,7 +53,9 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
                        partition_by=["event_date"] if materialize == "table" else ())
     feats = _materialize(sessions.session_features(stg), materialize, "session_features", run_id)
     sess = sessions.session_level(feats)
-    scores = _materialize(scoring.engage_lift_score(feats), materialize, "engage_lift_score", run_id)
+    graded = _materialize(scoring.engage_lift_score(feats, keep=["has_purchase"]), materialize,
+                          "engage_lift_score", run_id)
+    scores = graded
     styles = segments.browsing_style(sess)
     tiers = basket.price_tier(stg)
     perf = promo.promo_performance(stg)
@@ -68,7 +70,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "session_paths": sessions.session_paths(stg),
         "session_browsing_style": styles,
         "lift_weight": scoring.lift_weight(sess),
-        "engage_lift_score": scores,
+        "engage_lift_score": graded.drop("has_purchase"),
         "price_tier": tiers,
         "product_association": basket.product_association(stg),
         "promo_performance": perf,

@@ -63,7 +63,8 @@ def read_events(spark: SparkSession, path: str, start_date: str | None = None,
 
 def write_events(df: DataFrame, path: str) -> None:
     """Write (or re-write) daily shards: dynamic overwrite replaces only the dates present."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+    (df.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date").parquet(path))
 
 
 def write_staged(stg: DataFrame, path: str) -> None:
