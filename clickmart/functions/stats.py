@@ -137,19 +137,22 @@ def p_text(p: Column, threshold: float = P_TEXT_THRESHOLD, below: str = P_TEXT_B
 
 
 def chi_square_kx2(counts: DataFrame, segment_col: str, success_col: str, total_col: str,
-                   yates_if_dof1: bool = True) -> DataFrame:
-    """A28 χ² over k segments × (converted, not converted); one output row.
+                   yates_if_dof1: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """A28 χ² over k segments × (converted, not converted); one output row
+    (per ``by`` group when several tests are computed together).
 
     ``counts`` holds one row per segment (k is the number of segment labels).
-    Totals come from a one-row aggregate; terms are added in segment order with
-    a left fold, so the sum is deterministic."""
-    totals = counts.agg(
+    Totals come from a one-row aggregate per test; terms are added in segment
+    order with a left fold, so the sum is deterministic."""
+    by = tuple(by)
+    totals = counts.groupBy(*by).agg(
         F.sum(success_col).cast("double").alias("_c1"),
         F.sum(F.col(total_col) - F.col(success_col)).cast("double").alias("_c2"),
         F.sum(total_col).cast("double").alias("_n"),
         F.count(F.lit(1)).alias("_k"),
     )
-    cells = counts.crossJoin(F.broadcast(totals))  # one-row side: size bounded by construction
+    # One row per test: the side is bounded by construction, so it is broadcast.
+    cells = counts.join(F.broadcast(totals), list(by), "inner") if by else counts.crossJoin(F.broadcast(totals))
     row_n = F.col(total_col).cast("double")
     o1 = F.col(success_col).cast("double")
     o2 = (F.col(total_col) - F.col(success_col)).cast("double")
@@ -161,16 +164,17 @@ def chi_square_kx2(counts: DataFrame, segment_col: str, success_col: str, total_
         d1 = F.when(one, d1 - F.least(_d(0.5), d1)).otherwise(d1)
         d2 = F.when(one, d2 - F.least(_d(0.5), d2)).otherwise(d2)
     term = F.try_divide(d1 * d1, e1) + F.try_divide(d2 * d2, e2)
-    per_seg = cells.select(F.col(segment_col).alias("_seg"), term.alias("_term"), "_k",
-                           (F.col("_c1") == 0) | (F.col("_c2") == 0) | (F.col(total_col) == 0))
-    zero = per_seg.columns[-1]
-    out = per_seg.agg(
+    per_seg = cells.select(*by, F.col(segment_col).alias("_seg"), term.alias("_term"), "_k",
+                           ((F.col("_c1") == 0) | (F.col("_c2") == 0) | (F.col(total_col) == 0)).alias("_z"))
+    zero = "_z"
+    out = per_seg.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("_seg", "_term"))).alias("_terms"),
         F.max("_k").alias("_k"),
         F.max(F.col(zero).cast("int")).alias("_zero"),
     )
     chi2 = F.aggregate("_terms", _d(0.0), lambda acc, x: acc + x["_term"])
     return out.select(
+        *by,
         F.when(F.col("_zero") == 1, F.lit(None).cast("double")).otherwise(chi2).alias("chi2"),
         (F.col("_k") - 1).cast("int").alias("dof"),
         F.col("_k").cast("int").alias("segments"),

@@ -91,7 +91,16 @@ def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None
     ``mid_name='Medium'`` is the reference rule (never matches, Q2);
     ``mid_name='Mid'`` is the corrected one."""
     tiers = price_tier(stg) if tiers is None else tiers
-    pairs = weighted_pairs(_purchase_lines(stg))
+    lines = _purchase_lines(stg)
+    if min_sales > 1:
+        # Support pruning (exact): a pair is in at most as many transactions as
+        # each of its items, so items below ``min_sales`` cannot be in any
+        # reported pair.  This shrinks the self-join before pairs are formed.
+        frequent = (lines.select("transaction_id", "item_name").distinct()
+                    .groupBy("item_name").agg(F.count(F.lit(1)).alias("_txns"))
+                    .filter(F.col("_txns") >= min_sales).select("item_name"))
+        lines = lines.join(frequent, "item_name", "left_semi")
+    pairs = weighted_pairs(lines)
     graded = graded_sessions(features, scores).drop("has_purchase")
     rows = pairs.join(graded, SESSION, "left")
     w = F.col("w")

@@ -94,6 +94,6 @@ def with_p_value(df: DataFrame, chi2_col: str = "chi2", dof: int | str = 1) -> D
     return out.withColumn("p_text", stats.p_text(F.col("p_value")))
 
 
-def chi_square_segments(counts: DataFrame) -> DataFrame:
-    """k×2 χ² over all segments of ``counts``."""
-    return stats.chi_square_kx2(counts, SEG, "conversions", "sessions")
+def chi_square_segments(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """k×2 χ² over all segments of ``counts`` (per ``by`` group)."""
+    return stats.chi_square_kx2(counts, SEG, "conversions", "sessions", by=by)

@@ -329,11 +329,22 @@ for _kind, _name in [("depth", "chi_square_kx2_depth"), ("intensity", "chi_squar
 
 @register("chi_square_pvalues")
 def _chi_square_pvalues(spark, sf):
-    """Tail probabilities of the three tests (Arrow UDF on the final rows; no SQL oracle)."""
-    two = QUERIES["chi_square_2x2"](spark, sf).select(F.lit("style 2x2").alias("test"), "chi2", "dof")
-    depth = QUERIES["chi_square_kx2_depth"](spark, sf).select(F.lit("depth kx2").alias("test"), "chi2", "dof")
-    inten = QUERIES["chi_square_kx2_intensity"](spark, sf).select(F.lit("intensity kx2").alias("test"), "chi2", "dof")
-    return significance.with_p_value(two.unionByName(depth).unionByName(inten), "chi2", "dof")
+    """The three tests of the segment pages with their tail probabilities, from
+    one pass over the session styles (Arrow UDF on the final rows; no SQL oracle)."""
+    st = styles(spark, sf)
+    style, items = F.col("browsing_style"), F.col("total_items_viewed")
+    tagged = st.select("session_unique_id", "is_converted", F.explode(F.array(
+        F.struct(F.lit("style 2x2").alias("test"),
+                 F.when(style.contains("Variety") | style.contains("Deep"), style).alias("segment")),
+        F.struct(F.lit("depth kx2").alias("test"),
+                 F.when(style == segments.DEEP, segments.depth_bucket(items)).alias("segment")),
+        F.struct(F.lit("intensity kx2").alias("test"),
+                 F.when(style == segments.VARIETY, segments.intensity_bucket(items)).alias("segment")),
+    )).alias("t")).select("session_unique_id", "is_converted", "t.*").filter(F.col("segment").isNotNull())
+    counts = tagged.groupBy("test", F.col("segment")).agg(
+        F.count("session_unique_id").alias("sessions"),
+        F.sum("is_converted").cast("bigint").alias("conversions"))
+    return significance.with_p_value(significance.chi_square_segments(counts, by=("test",)), "chi2", "dof")
 
 
 register("segment_lookup", STYLE_BASE + (

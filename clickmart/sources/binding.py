@@ -2,10 +2,10 @@
 web-analytics event schema the staging model reads.
 
 The derivation uses integer arithmetic only, so Spark and the DuckDB oracle
-produce identical rows.  It is a Spark job in its own right: lineitems are
-joined to parts and folded into one bounded item array per order (one shuffle
-on the order key); the event table is then joined on that key, so only the
-event side moves again.
+produce identical rows.  It is a Spark job in its own right: item events are
+joined to their order's lines (both sides hash-partitioned on the order key)
+and the lines are folded into one bounded item array per event on that same
+partitioning, so building the nested rows adds no further exchange.
 """
 
 from __future__ import annotations
@@ -47,16 +47,11 @@ def _event_name(event_type: Column, k: Column) -> Column:
     )
 
 
-def order_baskets(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One row per order key with its lines (bounded: an order has at most a
-    handful of lines) joined to the part attributes the items need."""
+def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Order lines with the part attributes the items need."""
     lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     parts = part.select("p_partkey", "p_name", "p_brand", "p_type")
-    joined = lines.join(parts, lines.l_partkey == parts.p_partkey, "inner")
-    return joined.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct(
-            "l_linenumber", "p_partkey", "p_name", "p_brand", "p_type", "l_quantity"))).alias("lines")
-    )
+    return lines.join(parts, lines.l_partkey == parts.p_partkey, "inner").drop("l_partkey")
 
 
 def bind_events(events: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -75,8 +70,14 @@ def bind_events(events: DataFrame, lineitem: DataFrame, part: DataFrame) -> Data
         F.expr("(us div blen) * blen + (uid % 24) * 3600000000L + (us % blen) div stretch"),
     ).withColumn("event_name", _event_name(F.col("event_type"), F.col("k")))
 
-    baskets = order_baskets(lineitem, part)
-    ev = ev.join(baskets, ev.event_id == baskets.l_orderkey, "left")
+    lines = order_lines(lineitem, part)
+    flat = ev.join(lines, (ev.event_id == lines.l_orderkey) & ev.event_name.isin(*ITEM_EVENTS), "left")
+    line = F.struct("l_linenumber", "p_partkey", "p_name", "p_brand", "p_type", "l_quantity")
+    # An order has a bounded number of lines, so the per-event array is small.
+    ev = flat.groupBy("event_id").agg(
+        *[F.first(c).alias(c) for c in ["uid", "event_type", "value", "k", "ga_session_id", "ts_us", "event_name"]],
+        F.array_sort(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), line))).alias("lines"),
+    )
 
     k = F.col("k")
     mod4 = uid % 4
