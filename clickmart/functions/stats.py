@@ -175,7 +175,9 @@ def chi_square_kx2(counts: DataFrame, segment_col: str, success_col: str, total_
     chi2 = F.aggregate("_terms", _d(0.0), lambda acc, x: acc + x["_term"])
     return out.select(
         *by,
-        F.when(F.col("_zero") == 1, F.lit(None).cast("double")).otherwise(chi2).alias("chi2"),
+        # no segment at all, or a zero margin: undefined (NULL)
+        F.when((F.col("_zero") == 1) | F.col("_k").isNull(), F.lit(None).cast("double")).otherwise(chi2)
+        .alias("chi2"),
         (F.col("_k") - 1).cast("int").alias("dof"),
         F.col("_k").cast("int").alias("segments"),
     )
