@@ -131,26 +131,15 @@ def score_short(sessions: DataFrame) -> DataFrame:
     return sessions.select(SESSION, F.col("engagement_score_short").alias("engagement_score"))
 
 
-def core_sessions(features_with_path: DataFrame, grades=GRADES, low: str = LOW_GRADE,
+def core_sessions(features: DataFrame, paths: DataFrame, grades=GRADES, low: str = LOW_GRADE,
                   keep_grades=CORE_GRADES) -> DataFrame:
     """A10: High/Medium sessions with path, conversion (default 0) and missed-opportunity flag.
 
-    ``features_with_path`` is ``session_features(stg, with_path=True)``: the
-    path string is computed in the same aggregate as the score, so the score
-    and path tables need no join.  A NULL session never matches the path
-    table of the reference (join on NULL), hence its path columns are NULL.
-    """
-    ranked = percent_rank_desc(
-        features_with_path.select(SESSION, "user_pseudo_id", "engagement_score", "full_path",
-                                  "path_length", "has_purchase"), "engagement_score")
-    keyed = F.col(SESSION).isNotNull()
-    converted = F.when(keyed, F.col("has_purchase")).otherwise(F.lit(0))
-    return (ranked
-            .select(SESSION, "user_pseudo_id",
-                    grade_expr("pct_rank", grades, low).alias("engagement_grade"),
-                    "engagement_score",
-                    F.when(keyed, F.col("full_path")).alias("full_path"),
-                    F.when(keyed, F.col("path_length")).alias("path_length"),
-                    converted.alias("is_converted"),
-                    (converted == 0).alias("is_missed_opportunity"))
-            .filter(F.col("engagement_grade").isin(*keep_grades)))
+    ``paths`` is ``session_paths(stg)``; both sides are one row per session,
+    joined on the session (a NULL session never matches, as in the reference)."""
+    graded = engage_lift_score(features, grades, low).filter(F.col("engagement_grade").isin(*keep_grades))
+    joined = graded.join(paths, graded[SESSION] == paths[SESSION], "left").drop(paths[SESSION])
+    converted = F.coalesce(F.col("is_converted"), F.lit(0))
+    return joined.select(SESSION, "user_pseudo_id", "engagement_grade", "engagement_score", "full_path",
+                         "path_length", converted.alias("is_converted"),
+                         (converted == 0).alias("is_missed_opportunity"))

@@ -138,16 +138,26 @@ def session_funnel(stg: DataFrame = None, *, sessions: DataFrame | None = None)
     )
 
 
-def session_paths(stg: DataFrame, separator: str = PATH_SEPARATOR) -> DataFrame:
+def session_paths(stg: DataFrame, separator: str = PATH_SEPARATOR, piece: str = "hour") -> DataFrame:
     """Ordered event path per session, its length and conversion flag.
 
     Ties on the timestamp are broken by ``event_id`` so the string is
-    deterministic.  The path string is the one session output whose size grows
-    with the session; every other mart reads length and conversion from the
-    bounded features instead of this aggregate.
+    deterministic.  The path is built in two levels so that a very long (hot)
+    session is not sorted in one task: events are ordered and joined per
+    (session, ``piece`` of time) in parallel, then the pieces are joined in
+    time order.  Equal timestamps always share a piece, so the result equals a
+    single ordered aggregation; only the final string, the output value itself,
+    is assembled per session.
     """
-    return stg.groupBy(SESSION).agg(
-        path_expr(separator).alias("full_path"),
-        F.count(F.lit(1)).alias("path_length"),
-        F.max(flag(F.col("action_type") == "Purchase")).alias("is_converted"),
+    sep = separator.replace("'", "''")
+    ts = F.col("event_timestamp")
+    pieces = stg.groupBy(SESSION, F.date_trunc(piece, ts).alias("_piece")).agg(
+        path_expr(separator).alias("_path"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max(flag(F.col("action_type") == "Purchase")).alias("_conv"),
+    )
+    return pieces.groupBy(SESSION).agg(
+        F.expr(f"listagg(_path, '{sep}') WITHIN GROUP (ORDER BY _piece)").alias("full_path"),
+        F.sum("_n").alias("path_length"),
+        F.max("_conv").alias("is_converted"),
     )

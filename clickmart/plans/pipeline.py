@@ -53,6 +53,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
                        partition_by=["event_date"] if materialize == "table" else ())
     feats = _materialize(sessions.session_features(stg), materialize, "session_features", run_id)
     sess = sessions.session_level(feats)
+    paths = sessions.session_paths(stg)
     graded = _materialize(scoring.engage_lift_score(feats, keep=["has_purchase"]), materialize,
                           "engage_lift_score", run_id)
     scores = graded
@@ -67,14 +68,14 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
     out: dict[str, DataFrame] = {
         "stg_events": stg,
         "session_funnel": sessions.session_funnel(sessions=sess),
-        "session_paths": sessions.session_paths(stg),
+        "session_paths": paths,
         "session_browsing_style": styles,
         "lift_weight": scoring.lift_weight(sess),
         "engage_lift_score": graded.drop("has_purchase"),
         "price_tier": tiers,
         "product_association": basket.product_association(stg),
         "promo_performance": perf,
-        "core_sessions": scoring.core_sessions(sessions.session_features(stg, with_path=True)),
+        "core_sessions": scoring.core_sessions(feats, paths),
         "cart_abandon": carts,
         "browsing_style_summary": segments.browsing_style_summary(styles),
         "deep_specialists": segments.deep_specialists(styles),
