@@ -17,6 +17,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join partition even when that costs a shuffle afterwards
+    # (e.g. cart de-duplication reuses the semi-join's partitioning): with one
+    # key holding a third of the rows, the extra shuffle is far cheaper than a
+    # straggler task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
