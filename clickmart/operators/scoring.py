@@ -132,12 +132,16 @@ def score_short(sessions: DataFrame) -> DataFrame:
 
 
 def core_sessions(features: DataFrame, paths: DataFrame, grades=GRADES, low: str = LOW_GRADE,
-                  keep_grades=CORE_GRADES) -> DataFrame:
+                  keep_grades=CORE_GRADES, scores: DataFrame | None = None) -> DataFrame:
     """A10: High/Medium sessions with path, conversion (default 0) and missed-opportunity flag.
 
     ``paths`` is ``session_paths(stg)``; both sides are one row per session,
-    joined on the session (a NULL session never matches, as in the reference)."""
-    graded = engage_lift_score(features, grades, low).filter(F.col("engagement_grade").isin(*keep_grades))
+    joined on the session (a NULL session never matches, as in the reference).
+    ``scores`` (A06 output) is used when given instead of ranking ``features``."""
+    if scores is None:
+        scores = engage_lift_score(features, grades, low)
+    graded = scores.select(SESSION, "user_pseudo_id", "engagement_score", "engagement_grade") \
+        .filter(F.col("engagement_grade").isin(*keep_grades))
     joined = graded.join(paths, graded[SESSION] == paths[SESSION], "left").drop(paths[SESSION])
     converted = F.coalesce(F.col("is_converted"), F.lit(0))
     return joined.select(SESSION, "user_pseudo_id", "engagement_grade", "engagement_score", "full_path",

@@ -58,13 +58,11 @@ def weight_expr(weights: dict[str, int], default: int = DEFAULT_WEIGHT) -> Colum
 
 
 def session_features(stg: DataFrame, weights: dict[str, int] | None = None,
-                     short_weights: dict[str, int] | None = None, with_path: bool = False,
-                     separator: str = PATH_SEPARATOR) -> DataFrame:
+                     short_weights: dict[str, int] | None = None) -> DataFrame:
     """One row per (session_unique_id, user_pseudo_id) of the staged rows.
 
-    ``with_path`` adds the ordered path string (A03) to the same aggregate, for
-    the marts that need both the score and the path of a session.
-    """
+    The ordered path string is not part of it (``session_paths``): it is the
+    one session output whose size grows with the session."""
     weights = SCORE_WEIGHTS if weights is None else weights
     short_weights = SHORT_SCORE_WEIGHTS if short_weights is None else short_weights
     ev = F.col("event_name")
@@ -89,7 +87,6 @@ def session_features(stg: DataFrame, weights: dict[str, int] | None = None,
         F.collect_set(F.when(ev == "view_item", F.col("item_category"))).alias("viewed_categories"),
         F.max(F.when(ev == "purchase", ts)).alias("purchased_at"),
         F.sum("item_revenue_calc").alias("total_revenue"),
-        *([path_expr(separator).alias("full_path")] if with_path else []),
     )
 
 

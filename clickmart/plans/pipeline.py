@@ -75,7 +75,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "price_tier": tiers,
         "product_association": basket.product_association(stg),
         "promo_performance": perf,
-        "core_sessions": scoring.core_sessions(feats, paths),
+        "core_sessions": scoring.core_sessions(feats, paths, scores=graded),
         "cart_abandon": carts,
         "browsing_style_summary": segments.browsing_style_summary(styles),
         "deep_specialists": segments.deep_specialists(styles),

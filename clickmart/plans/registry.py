@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.operators import funnel, sessions
+from clickmart.operators import funnel, scoring, segments, sessions
 from clickmart.operators.staging import staged_from_tables
 from clickmart.plans import materialize
 from clickmart.plans import oracle as O
@@ -43,10 +43,8 @@ def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
                              lambda: staged_from_tables(spark, sf_dir), partition_by=["event_date"])
 
 
-def feats(spark: SparkSession, sf_dir: str, with_path: bool = False) -> DataFrame:
+def feats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fused session aggregate (survey P1) as a materialised table."""
-    if with_path:
-        return sessions.session_features(stg(spark, sf_dir), with_path=True)
     return materialize.table(spark, "session_features", _signature(sf_dir),
                              lambda: sessions.session_features(stg(spark, sf_dir)))
 
@@ -55,6 +53,18 @@ def sess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_level(feats(spark, sf_dir))
 
 
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A06 scores and grades (with the session's conversion flag) as a table."""
+    return materialize.table(spark, "engage_lift_score", _signature(sf_dir),
+                             lambda: scoring.engage_lift_score(feats(spark, sf_dir), keep=["has_purchase"]))
+
+
+def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A03 session paths as a table."""
+    return materialize.table(spark, "session_paths", _signature(sf_dir),
+                             lambda: sessions.session_paths(stg(spark, sf_dir)))
+
+
 # --------------------------------------------------------------- staging / sessions
 # The staging model itself always runs in full: binding + flattening of the raw tables.
 register("stage_events", O.with_stg("SELECT * FROM stg"))(
@@ -173,7 +183,9 @@ STYLE_BASE = O.ctes(S, O.STYLES_CTE)
 
 
 def styles(spark, sf):
-    return segments.browsing_style(sess(spark, sf))
+    """A04 browsing styles as a table (the segment marts and statistics read it)."""
+    return materialize.table(spark, "browsing_style", _signature(sf),
+                             lambda: segments.browsing_style(sess(spark, sf)))
 
 
 def _q(k):
@@ -182,7 +194,7 @@ def _q(k):
 
 register("session_browsing_style", STYLE_BASE +
          "SELECT session_unique_id, distinct_categories_viewed, total_items_viewed, is_converted, browsing_style "
-         "FROM styles")(styles)
+         "FROM styles")(lambda spark, sf: segments.browsing_style(sess(spark, sf)))
 
 register("browsing_style_summary", STYLE_BASE + (
     "SELECT browsing_style, CAST(COUNT(session_unique_id) AS BIGINT) AS session_count, "
@@ -401,7 +413,7 @@ CORE_SQL = ("core AS (SELECT s.session_unique_id, s.user_pseudo_id, s.engagement
             "FROM scores s LEFT JOIN paths p ON s.session_unique_id = p.session_unique_id "
             "WHERE s.engagement_grade IN ('High Intent', 'Medium Intent'))")
 register("core_sessions", O.ctes(S, SC, CORE_SQL) + "SELECT * FROM core")(
-    lambda spark, sf: scoring.core_sessions(feats(spark, sf), sessions.session_paths(stg(spark, sf))))
+    lambda spark, sf: scoring.core_sessions(feats(spark, sf), paths(spark, sf), scores=graded(spark, sf)))
 
 # --------------------------------------------------------------- cart
 CART_SQL = (
@@ -420,11 +432,16 @@ CART_CLEAN = "cart_clean AS (SELECT * FROM cart WHERE NOT COALESCE(contains(lowe
 
 
 def cart_df(spark, sf):
-    return cart.cart_abandon(stg(spark, sf), cart.abandoned_sessions(feats(spark, sf)))
+    return cart.cart_abandon(stg(spark, sf), cart.abandoned_sessions(feats(spark, sf), scores=graded(spark, sf)))
+
+
+def cart_mart(spark, sf):
+    """The cart mart as a table: the dashboard rollups (A38-A45) read the mart."""
+    return materialize.table(spark, "cart_abandon", _signature(sf), lambda: cart_df(spark, sf))
 
 
 def cart_clean(spark, sf):
-    return cart.exclude_items(cart_df(spark, sf))
+    return cart.exclude_items(cart_mart(spark, sf))
 
 
 register("cart_abandon", CART_BASE + "SELECT * FROM cart")(cart_df)
@@ -514,18 +531,23 @@ PQ_BASE = O.ctes(S, SC, PERF_SQL, PQ_SQL)
 
 def quality_df(spark, sf):
     s = stg(spark, sf)
-    return promo.promo_quality(s, feats(spark, sf), promo.promo_performance(s))
+    return promo.promo_quality(s, feats(spark, sf), promo.promo_performance(s), scores=graded(spark, sf))
+
+
+def quality_mart(spark, sf):
+    """The promotion mart as a table: the summary views (A46, A47) read the mart."""
+    return materialize.table(spark, "promo_quality", _signature(sf), lambda: quality_df(spark, sf))
 
 
 register("promo_quality", PQ_BASE + "SELECT * FROM quality")(quality_df)
 register("promo_summary", PQ_BASE + (
     "SELECT promotion_name, ctr_percent, promo_cvr, click_sessions, promo_status, "
     "printf('%s<br>CVR: %.1f%%', promotion_name, promo_cvr) AS label FROM quality"))(
-    lambda spark, sf: promo.promo_summary(quality_df(spark, sf)))
+    lambda spark, sf: promo.promo_summary(quality_mart(spark, sf)))
 register("hidden_gems", PQ_BASE + (
     "SELECT promotion_name, ctr_percent, avg_session_score, promo_cvr FROM quality "
     "WHERE contains(promo_status, 'Hidden Gem') ORDER BY click_sessions DESC, promotion_name LIMIT 1"))(
-    lambda spark, sf: promo.hidden_gems(quality_df(spark, sf)))
+    lambda spark, sf: promo.hidden_gems(quality_mart(spark, sf)))
 
 # --------------------------------------------------------------- friction / time
 def _friction_sql(grain):
@@ -553,9 +575,10 @@ def _friction_sql(grain):
 
 
 register("device_friction", _friction_sql("event"))(
-    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf)))
+    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf), scores=graded(spark, sf)))
 register("device_friction_by_session", _friction_sql("session"))(
-    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf), grain="session"))
+    lambda spark, sf: friction.device_friction(stg(spark, sf), feats(spark, sf), grain="session",
+                                               scores=graded(spark, sf)))
 
 _TB = ("CASE " + " ".join(f"WHEN m < {b} THEN '{lab}'" for b, lab in friction.TIME_BUCKETS)
        + f" ELSE '{friction.TIME_BUCKET_LAST}' END")
@@ -618,7 +641,7 @@ def _bundle_sql(mid_name):
 
 def _bundle(mid_name):
     def run(spark, sf):
-        return basket.bundle_strategy(stg(spark, sf), feats(spark, sf), mid_name=mid_name)
+        return basket.bundle_strategy(stg(spark, sf), feats(spark, sf), mid_name=mid_name, scores=graded(spark, sf))
     return run
 
 

@@ -10,6 +10,7 @@ import pytest
 
 from clickmart.operators import sessions as S
 from clickmart.operators.staging import stage_events
+from clickmart.plans import materialize
 from clickmart.plans import oracle as O
 from clickmart.plans import registry
 from fixtures import ev, frame, item
@@ -65,8 +66,9 @@ def make_events(seed: int, n: int = 420):
 def test_all_operators_match_sql_on_messy_fixture(spark, monkeypatch, seed):
     staged = stage_events(frame(spark, make_events(seed))).cache()
     monkeypatch.setattr(registry, "stg", lambda spark_, sf: staged)
-    monkeypatch.setattr(registry, "feats", lambda spark_, sf, with_path=False:
-                        S.session_features(staged, with_path=with_path))
+    monkeypatch.setattr(registry, "feats", lambda spark_, sf: S.session_features(staged))
+    # fixture models are built in place, not cached as tables under a source signature
+    monkeypatch.setattr(materialize, "table", lambda spark_, name, sig, build, partition_by=(): build())
     con = duckdb.connect()
     con.sql("SET TimeZone='UTC'")
     pdf = staged.toPandas()
