@@ -14,7 +14,7 @@ import math
 from statistics import NormalDist
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,14 +145,15 @@ def chi_square_kx2(counts: DataFrame, segment_col: str, success_col: str, total_
     Totals come from a one-row aggregate per test; terms are added in segment
     order with a left fold, so the sum is deterministic."""
     by = tuple(by)
-    totals = counts.groupBy(*by).agg(
-        F.sum(success_col).cast("double").alias("_c1"),
-        F.sum(F.col(total_col) - F.col(success_col)).cast("double").alias("_c2"),
-        F.sum(total_col).cast("double").alias("_n"),
-        F.count(F.lit(1)).alias("_k"),
+    # Totals over the segment rows of each test (k rows): a window, no join.
+    w = Window.partitionBy(*[F.col(c) for c in by]) if by else Window.partitionBy(F.lit(1))
+    cells = counts.select(
+        "*",
+        F.sum(success_col).over(w).cast("double").alias("_c1"),
+        F.sum(F.col(total_col) - F.col(success_col)).over(w).cast("double").alias("_c2"),
+        F.sum(total_col).over(w).cast("double").alias("_n"),
+        F.count(F.lit(1)).over(w).alias("_k"),
     )
-    # One row per test: the side is bounded by construction, so it is broadcast.
-    cells = counts.join(F.broadcast(totals), list(by), "inner") if by else counts.crossJoin(F.broadcast(totals))
     row_n = F.col(total_col).cast("double")
     o1 = F.col(success_col).cast("double")
     o2 = (F.col(total_col) - F.col(success_col)).cast("double")

@@ -55,10 +55,8 @@ def segment_ci_table(counts: DataFrame, confidence: float = 0.95) -> DataFrame:
               .withColumn("err_minus", F.col("cvr") - F.col("ci_low"))
 
 
-def _pick(counts: DataFrame, pattern: str, regex: bool, suffix: str) -> DataFrame:
-    cond = F.coalesce(F.col(SEG).rlike(pattern), F.lit(False)) if regex else contains_cs(F.col(SEG), pattern)
-    first = counts.filter(cond).orderBy(SEG).limit(1)  # the dashboard takes the first match
-    return first.select(*[F.col(c).alias(f"{c}_{suffix}") for c in first.columns])
+def _match(pattern: str, regex: bool):
+    return F.coalesce(F.col(SEG).rlike(pattern), F.lit(False)) if regex else contains_cs(F.col(SEG), pattern)
 
 
 def segment_compare(counts: DataFrame, pattern_a: str, pattern_b: str, regex: bool = False,
@@ -66,9 +64,13 @@ def segment_compare(counts: DataFrame, pattern_a: str, pattern_b: str, regex: bo
                     bands=stats.EFFECT_BANDS, default_label: str = stats.EFFECT_DEFAULT) -> DataFrame:
     """Two segments side by side: intervals, 2×2 χ², Cohen's h, label,
     rate ratio and interval overlap.  One row (none if a side is missing)."""
-    a = _pick(counts, pattern_a, regex, "a")
-    b = _pick(counts, pattern_b, regex, "b")
-    pair = a.crossJoin(b)  # 1 × 1 rows
+    # Both sides from one aggregate over the per-segment rows: the first label
+    # (in label order) matching each pattern, as the dashboard takes the first row.
+    cols = [SEG, "sessions", "conversions", "rate"]
+    row = counts.agg(F.min_by(F.struct(*cols), F.when(_match(pattern_a, regex), F.col(SEG))).alias("a"),
+                     F.min_by(F.struct(*cols), F.when(_match(pattern_b, regex), F.col(SEG))).alias("b"))
+    pair = row.filter(F.col("a").isNotNull() & F.col("b").isNotNull()).select(
+        *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in ("a", "b") for c in cols])
     wa = stats.wilson(F.col("conversions_a"), F.col("sessions_a"), confidence)
     wb = stats.wilson(F.col("conversions_b"), F.col("sessions_b"), confidence)
     h = stats.cohens_h(F.col("rate_a"), F.col("rate_b"))
