@@ -78,3 +78,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet.
+
+    Scan splits and shuffle partitions are sized to ``target_partition_bytes``
+    (256 MiB: a task's share fits comfortably in executor memory and spills
+    cleanly), with at least two waves of tasks per core.  AQE starts from that
+    partition count and coalesces or splits at run time.  At 100 TB on
+    1000 × 8 cores this gives ~400k shuffle partitions for the event-level
+    shuffles; session-level shuffles are coalesced by AQE.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

@@ -50,3 +50,11 @@ def test_scan_prunes_columns(spark):
     assert "ReadSchema" in s
     read = [line for line in s.splitlines() if "ReadSchema" in line]
     assert all("item_price" not in line for line in read)
+
+
+def test_scale_conf_sizes_partitions():
+    from clickmart.conf import scale_conf
+    c = scale_conf(100 * 10**12, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) > 300_000
+    small = scale_conf(10**9, 2, 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
