@@ -34,10 +34,17 @@ def abandoned_sessions(features: DataFrame, keep_grades=CORE_GRADES, scores: Dat
     return core.filter(F.coalesce(F.col("has_purchase"), F.lit(0)) == 0).select(SESSION)
 
 
-def cart_abandon(stg: DataFrame, abandoned: DataFrame) -> DataFrame:
-    """Per item: category, abandoned sessions, lost value, average lost value."""
+def cart_abandon(stg: DataFrame, abandoned: DataFrame, top_level_category: bool = False) -> DataFrame:
+    """Per item: category, abandoned sessions, lost value, average lost value.
+
+    ``top_level_category`` keeps only the first path segment of the category
+    (the alternative the reference's model suggests next to its MIN rule)."""
+    category = F.col("item_category")
+    if top_level_category:
+        category = F.get(F.split(category, "/"), 0)
     carts = (stg.filter(F.col("event_name") == "add_to_cart")
-             .select(SESSION, "item_name", "item_category", F.col("item_revenue_calc").alias("potential_revenue"))
+             .select(SESSION, "item_name", category.alias("item_category"),
+                     F.col("item_revenue_calc").alias("potential_revenue"))
              .join(abandoned, SESSION, "left_semi"))
     lines = carts.groupBy(SESSION, "item_name", "potential_revenue").agg(
         F.min("item_category").alias("item_category"))

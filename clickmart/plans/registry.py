@@ -339,6 +339,31 @@ for _kind, _name in [("depth", "chi_square_kx2_depth"), ("intensity", "chi_squar
             significance.segment_counts(rows(spark, sf), "segment")))(_rows))
 
 
+# Dashboard path (Q11): the statistics from the style mart's rounded rates,
+# conversions rebuilt as int(sessions * rate / 100).
+def _style_mart_counts(spark, sf):
+    return significance.mart_counts(segments.browsing_style_summary(styles(spark, sf)), "browsing_style")
+
+
+_MART_SQL = ("smart AS (SELECT browsing_style AS segment, CAST(COUNT(session_unique_id) AS BIGINT) AS sessions, "
+             f"{O.rnd('AVG(is_converted) * 100.0', 3)} AS cvr FROM styles GROUP BY 1), "
+             "seg_counts AS (SELECT segment, sessions, CAST(trunc(CAST(sessions AS DOUBLE) * cvr / 100.0) AS BIGINT) "
+             "AS conversions, cvr / 100.0 AS rate FROM smart)")
+register("segment_ci_from_mart", O.ctes(S, O.STYLES_CTE, _MART_SQL) + _ci_sql())(
+    lambda spark, sf: significance.segment_ci_table(_style_mart_counts(spark, sf)))
+
+
+def _compare_from_mart_sql():
+    picks, body = _compare_sql("Variety", "Deep", False, ST.EFFECT_BANDS, ST.EFFECT_DEFAULT)
+    picks = [p.replace("CAST(conversions AS DOUBLE) / CAST(sessions AS DOUBLE) AS rate_", "rate AS rate_")
+             for p in picks]
+    return O.ctes(S, O.STYLES_CTE, _MART_SQL, *picks) + body
+
+
+register("segment_compare_from_mart", _compare_from_mart_sql())(
+    lambda spark, sf: significance.segment_compare(_style_mart_counts(spark, sf), "Variety", "Deep"))
+
+
 @register("chi_square_pvalues")
 def _chi_square_pvalues(spark, sf):
     """The three tests of the segment pages with their tail probabilities, from

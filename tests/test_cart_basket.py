@@ -74,3 +74,11 @@ def test_price_tier_orders_agree(spark):
     assert a == b
     tiers = {r.item_name: r.price_tier for r in basket.price_tier(stg).collect()}
     assert tiers["I0"] == "Low" and tiers["I8"] == "High"
+
+
+def test_cart_top_level_category_option(spark):
+    rows = [ev("2024-01-05 10:00:00", "add_to_cart", gsid=1, items=[item("Bag", "Home/Bags/", 10.0, 1)])]
+    stg = staged(spark, rows)
+    ab = stg.select("session_unique_id").distinct()
+    assert cart.cart_abandon(stg, ab, top_level_category=True).collect()[0].item_category == "Home"
+    assert cart.cart_abandon(stg, ab).collect()[0].item_category == "Home/Bags/"
