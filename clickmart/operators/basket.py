@@ -46,8 +46,12 @@ def price_cutoffs(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66) ->
 def price_tier(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, alt_order: bool = False) -> DataFrame:
     """A07 (and A51 with ``alt_order``): average viewed price per item and its tier."""
     prices = _viewed_prices(stg).groupBy("item_name").agg(F.avg("item_price").alias("avg_price"))
-    # The cutoffs are a global aggregate: exactly one row, so broadcasting it is safe.
-    joined = prices.crossJoin(F.broadcast(price_cutoffs(stg, low_q, high_q)))
+    # The cutoffs are one global aggregate; as scalar subqueries they are
+    # computed once and used as constants (no join with the item rows).
+    cutoffs = price_cutoffs(stg, low_q, high_q)
+    joined = prices.select("item_name", "avg_price",
+                           cutoffs.select("p33_cutoff").scalar().alias("p33_cutoff"),
+                           cutoffs.select("p66_cutoff").scalar().alias("p66_cutoff"))
     p, lo, hi = F.col("avg_price"), F.col("p33_cutoff"), F.col("p66_cutoff")
     if alt_order:
         tier = fold_cases([(p < lo, LOW), (p >= hi, HIGH)], MID)
