@@ -241,12 +241,12 @@ def _seg_rows(kind):
         return (lambda spark, sf: styles(spark, sf).withColumnRenamed("browsing_style", "segment"),
                 "seg_rows AS (SELECT session_unique_id, is_converted, browsing_style AS segment FROM styles)")
     if kind == "depth":
-        return (lambda spark, sf: segments.browsing_style(sess(spark, sf))
+        return (lambda spark, sf: styles(spark, sf)
                 .filter(F.col("browsing_style") == segments.DEEP)
                 .withColumn("segment", segments.depth_bucket(F.col("total_items_viewed"))),
                 f"seg_rows AS (SELECT session_unique_id, is_converted, {_DEPTH_CASE} AS segment FROM styles "
                 f"WHERE browsing_style = '{segments.DEEP}')")
-    return (lambda spark, sf: segments.browsing_style(sess(spark, sf))
+    return (lambda spark, sf: styles(spark, sf)
             .filter(F.col("browsing_style") == segments.VARIETY)
             .withColumn("segment", segments.intensity_bucket(F.col("total_items_viewed"))),
             f"seg_rows AS (SELECT session_unique_id, is_converted, {_INTENSITY_CASE} AS segment FROM styles "
