@@ -86,25 +86,36 @@ def product_association(stg: DataFrame) -> DataFrame:
     return pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("w").alias("line_pairs"))
 
 
-def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None = None,
-                    min_sales: int = MIN_PAIR_SALES, mid_name: str = REFERENCE_MID_NAME,
-                    scores: DataFrame | None = None) -> DataFrame:
-    """Pairs sold in at least ``min_sales`` transactions with prices, tiers,
-    buyer score, High-Intent share and bundle strategy.
+def _frequent_pairs(stg: DataFrame, min_sales: int) -> DataFrame:
+    """Weighted pairs of the items that appear in at least ``min_sales`` transactions.
 
-    ``mid_name='Medium'`` is the reference rule (never matches, Q2);
-    ``mid_name='Mid'`` is the corrected one."""
-    tiers = price_tier(stg) if tiers is None else tiers
+    Support pruning is exact: a pair is in at most as many transactions as each
+    of its items, so items below ``min_sales`` cannot be in a reported pair;
+    dropping them first shrinks the self-join before pairs are formed."""
     lines = _purchase_lines(stg)
     if min_sales > 1:
-        # Support pruning (exact): a pair is in at most as many transactions as
-        # each of its items, so items below ``min_sales`` cannot be in any
-        # reported pair.  This shrinks the self-join before pairs are formed.
         frequent = (lines.select("transaction_id", "item_name").distinct()
                     .groupBy("item_name").agg(F.count(F.lit(1)).alias("_txns"))
                     .filter(F.col("_txns") >= min_sales).select("item_name"))
         lines = lines.join(frequent, "item_name", "left_semi")
-    pairs = weighted_pairs(lines)
+    return weighted_pairs(lines)
+
+
+def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None = None,
+                    min_sales: int = MIN_PAIR_SALES, mid_name: str = REFERENCE_MID_NAME,
+                    scores: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """Pairs sold in at least ``min_sales`` transactions with prices, tiers,
+    buyer score, High-Intent share and bundle strategy.
+
+    ``mid_name='Medium'`` is the reference rule (never matches, Q2);
+    ``mid_name='Mid'`` is the corrected one.  ``pairs`` is the A08 output
+    (``product_association``) when it is already built; otherwise the pairs of
+    the items that can reach ``min_sales`` are formed here."""
+    tiers = price_tier(stg) if tiers is None else tiers
+    if pairs is not None:
+        pairs = pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("line_pairs").alias("w"))
+    else:
+        pairs = _frequent_pairs(stg, min_sales)
     graded = graded_sessions(features, scores).drop("has_purchase")
     rows = pairs.join(graded, SESSION, "left")
     w = F.col("w")

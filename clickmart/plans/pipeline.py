@@ -63,6 +63,8 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
     carts = cart.cart_abandon(stg, cart.abandoned_sessions(feats, scores=scores))
     clean = cart.exclude_items(carts)
     quality = promo.promo_quality(stg, feats, perf, scores=scores)
+    assoc = _materialize(basket.product_association(stg), materialize, "product_association", run_id)
+    tiers = _materialize(tiers, materialize, "price_tier", run_id)
     style_counts = significance.segment_counts(styles.withColumnRenamed("browsing_style", "segment"), "segment")
 
     out: dict[str, DataFrame] = {
@@ -73,7 +75,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "lift_weight": scoring.lift_weight(sess),
         "engage_lift_score": graded.drop("has_purchase"),
         "price_tier": tiers,
-        "product_association": basket.product_association(stg),
+        "product_association": assoc,
         "promo_performance": perf,
         "core_sessions": scoring.core_sessions(feats, paths, scores=graded),
         "cart_abandon": carts,
@@ -90,7 +92,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "open_funnel": funnel.open_funnel(sess),
         "device_friction": friction.device_friction(stg, feats, scores=scores),
         "promo_quality": quality,
-        "bundle_strategy": basket.bundle_strategy(stg, feats, tiers=tiers, scores=scores),
+        "bundle_strategy": basket.bundle_strategy(stg, feats, tiers=tiers, scores=scores, pairs=assoc),
         "time_to_conversion": friction.time_to_conversion(sess),
         # dashboard statistics and rollups
         "segment_ci_table": significance.segment_ci_table(style_counts),

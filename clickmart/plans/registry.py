@@ -664,9 +664,21 @@ def _bundle_sql(mid_name):
         "HAVING COUNT(DISTINCT ps.transaction_id) >= 3")
 
 
+def tiers_table(spark, sf):
+    """A07 price tiers as a table (the bundle mart reads it)."""
+    return materialize.table(spark, "price_tier", _signature(sf), lambda: basket.price_tier(stg(spark, sf)))
+
+
+def pairs_table(spark, sf):
+    """A08 product pairs as a table (the bundle mart reads it)."""
+    return materialize.table(spark, "product_association", _signature(sf),
+                             lambda: basket.product_association(stg(spark, sf)))
+
+
 def _bundle(mid_name):
     def run(spark, sf):
-        return basket.bundle_strategy(stg(spark, sf), feats(spark, sf), mid_name=mid_name, scores=graded(spark, sf))
+        return basket.bundle_strategy(stg(spark, sf), feats(spark, sf), tiers=tiers_table(spark, sf),
+                                      mid_name=mid_name, scores=graded(spark, sf), pairs=pairs_table(spark, sf))
     return run
 
 
