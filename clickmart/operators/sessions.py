@@ -105,9 +105,18 @@ def session_level(features: DataFrame) -> DataFrame:
     """Features at session grain: the reference groups by session only, so all
     rows with a NULL session form one session.  Non-NULL sessions pass through
     (a session id determines its user); only the NULL part is re-aggregated,
-    into at most one row."""
+    into at most one row.
+
+    That part may be large (one key can hold many users' rows), so the merge is
+    a partial aggregate throughout: categories are exploded and gathered with a
+    set (de-duplicated map-side, bounded by the category taxonomy) and each
+    row's sums are counted once, on its first category position."""
     flag_cols = [c for c, _ in FUNNEL_FLAGS] + ["has_search"]
     keyed = features.filter(F.col(SESSION).isNotNull()).drop("user_pseudo_id")
+    nulls = features.filter(F.col(SESSION).isNull())
+    if "viewed_categories" in keyed.columns:
+        nulls = nulls.select("*", F.posexplode_outer("viewed_categories").alias("_pos", "_cat"))
+    once = F.col("_pos").isNull() | (F.col("_pos") == 0) if "viewed_categories" in keyed.columns else F.lit(True)
     aggs = []
     for c in keyed.columns:
         if c == SESSION:
@@ -115,13 +124,15 @@ def session_level(features: DataFrame) -> DataFrame:
         if c in flag_cols:
             aggs.append(F.max(c).alias(c))
         elif c == "viewed_categories":
-            aggs.append(F.array_distinct(F.flatten(F.collect_list(c))).alias(c))
+            aggs.append(F.collect_set("_cat").alias(c))
+        elif _MERGE.get(c) is F.sum:
+            aggs.append(F.sum(F.when(once, F.col(c))).alias(c))
         elif c in _MERGE:
             aggs.append(_MERGE[c](c).alias(c))
         else:
             aggs.append(F.max(c).alias(c))
-    nulls = features.filter(F.col(SESSION).isNull()).groupBy(SESSION).agg(*aggs)
-    return keyed.unionByName(nulls.select(*keyed.columns))
+    merged = nulls.groupBy(SESSION).agg(*aggs)
+    return keyed.unionByName(merged.select(*keyed.columns))
 
 
 def session_funnel(stg: DataFrame = None, *, sessions: DataFrame | None = None) -> DataFrame:
