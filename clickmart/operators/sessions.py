@@ -107,31 +107,28 @@ def session_level(features: DataFrame) -> DataFrame:
     (a session id determines its user); only the NULL part is re-aggregated,
     into at most one row.
 
-    That part may be large (one key can hold many users' rows), so the merge is
-    a partial aggregate throughout: categories are exploded and gathered with a
-    set (de-duplicated map-side, bounded by the category taxonomy) and each
-    row's sums are counted once, on its first category position."""
+    That part may be large (one key can hold many users' rows), so its merge is
+    partial throughout.  Its category set is a scalar subquery over the
+    exploded categories (de-duplicated map-side, bounded by the category
+    taxonomy); a query that does not read the categories prunes it."""
     flag_cols = [c for c, _ in FUNNEL_FLAGS] + ["has_search"]
     keyed = features.filter(F.col(SESSION).isNotNull()).drop("user_pseudo_id")
     nulls = features.filter(F.col(SESSION).isNull())
-    if "viewed_categories" in keyed.columns:
-        nulls = nulls.select("*", F.posexplode_outer("viewed_categories").alias("_pos", "_cat"))
-    once = F.col("_pos").isNull() | (F.col("_pos") == 0) if "viewed_categories" in keyed.columns else F.lit(True)
     aggs = []
     for c in keyed.columns:
-        if c == SESSION:
+        if c in (SESSION, "viewed_categories"):
             continue
         if c in flag_cols:
             aggs.append(F.max(c).alias(c))
-        elif c == "viewed_categories":
-            aggs.append(F.collect_set("_cat").alias(c))
-        elif _MERGE.get(c) is F.sum:
-            aggs.append(F.sum(F.when(once, F.col(c))).alias(c))
         elif c in _MERGE:
             aggs.append(_MERGE[c](c).alias(c))
         else:
             aggs.append(F.max(c).alias(c))
     merged = nulls.groupBy(SESSION).agg(*aggs)
+    if "viewed_categories" in keyed.columns:
+        categories = nulls.select(F.explode("viewed_categories").alias("_cat")) \
+            .agg(F.collect_set("_cat").alias("viewed_categories"))
+        merged = merged.withColumn("viewed_categories", categories.scalar())
     return keyed.unionByName(merged.select(*keyed.columns))
 
 

@@ -50,7 +50,9 @@ def feats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sess(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_level(feats(spark, sf_dir))
+    """Session-grain rows (A02's grain, NULL session merged) as a table."""
+    return materialize.table(spark, "session_level", _signature(sf_dir),
+                             lambda: sessions.session_level(feats(spark, sf_dir)))
 
 
 def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +76,7 @@ register("session_funnel", O.with_stg(
     "SELECT session_unique_id, session_source, session_medium, session_campaign, device_category, "
     "is_member, session_start_at, session_hour, session_day_of_week, has_session_start, has_view_item, "
     "has_add_to_cart, has_begin_checkout, has_add_payment_info, has_purchase, revenue FROM sess",
-    sessions=True))(lambda spark, sf: sessions.session_funnel(sessions=sess(spark, sf)))
+    sessions=True))(lambda spark, sf: sessions.session_funnel(sessions=sessions.session_level(feats(spark, sf))))
 
 register("session_paths", O.with_stg(
     "SELECT session_unique_id, "
