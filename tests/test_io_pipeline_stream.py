@@ -58,3 +58,13 @@ def test_streaming_staging_equals_batch(spark, tmp_path):
     batch = stage_events(io.read_events(spark, src))
     cols = sorted(batch.columns)
     assert _rows(streamed.select(*cols)) == _rows(batch.select(*cols))
+
+
+def test_build_all_modes_agree(spark):
+    nested = nested_events(spark, SF_SMALL)
+    names = ["funnel_overall", "cart_abandon", "device_friction", "segment_ci_table", "core_sessions"]
+    results = {}
+    for mode in ["persist", "checkpoint", "none"]:
+        models = pipeline.build_all(nested, materialize=mode)
+        results[mode] = {n: _rows(models[n]) for n in names}
+    assert results["persist"] == results["checkpoint"] == results["none"]
