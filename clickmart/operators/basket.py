@@ -35,20 +35,24 @@ def _viewed_prices(stg: DataFrame) -> DataFrame:
               .select("item_name", "item_price")
 
 
-def price_cutoffs(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66) -> DataFrame:
-    """One row: the p33 / p66 of viewed item prices (exact discrete percentiles)."""
-    return _viewed_prices(stg).agg(
-        F.expr(f"percentile_disc({low_q}) WITHIN GROUP (ORDER BY item_price)").alias("p33_cutoff"),
-        F.expr(f"percentile_disc({high_q}) WITHIN GROUP (ORDER BY item_price)").alias("p66_cutoff"),
-    )
-
-
-def price_tier(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, alt_order: bool = False) -> DataFrame:
+def price_cutoffs(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, approx: bool = False,
+                  accuracy: int = 100000) -> DataFrame:
+    """One row: the p33 / p66 of viewed item prices (exact discrete percentiles,
+    or the ``percentile_approx`` sketch with ``approx=True``)."""
+    def q(p):
+        if approx:
+            return F.percentile_approx("item_price", p, accuracy)
+        return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY item_price)")
+    return _viewed_prices(stg).agg(q(low_q).alias("p33_cutoff"), q(high_q).alias("p66_cutoff"))
+
+
+def price_tier(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, alt_order: bool = False,
+               approx: bool = False) -> DataFrame:
     """A07 (and A51 with ``alt_order``): average viewed price per item and its tier."""
     prices = _viewed_prices(stg).groupBy("item_name").agg(F.avg("item_price").alias("avg_price"))
     # The cutoffs are one global aggregate; as scalar subqueries they are
     # computed once and used as constants (no join with the item rows).
-    cutoffs = price_cutoffs(stg, low_q, high_q)
+    cutoffs = price_cutoffs(stg, low_q, high_q, approx)
     joined = prices.select("item_name", "avg_price",
                            cutoffs.select("p33_cutoff").scalar().alias("p33_cutoff"),
                            cutoffs.select("p66_cutoff").scalar().alias("p66_cutoff"))

@@ -50,12 +50,18 @@ def _share(count_col: str, digits: int = 1):
     return F.round(F.col(count_col) * F.lit(100.0) / total, digits)
 
 
-def browsing_style_summary(styles: DataFrame, quantiles=QUANTILES) -> DataFrame:
-    """Per style sessions, share %, average and quantiles of items viewed, CVR %."""
-    q_cols = [
-        F.round(F.expr(f"percentile_disc({k / 100}) WITHIN GROUP (ORDER BY total_items_viewed)"), 3)
-        .alias(f"item_viewed_p{k}") for k in quantiles
-    ]
+def browsing_style_summary(styles: DataFrame, quantiles=QUANTILES, approx: bool = False,
+                           accuracy: int = 100000) -> DataFrame:
+    """Per style sessions, share %, average and quantiles of items viewed, CVR %.
+
+    Quantiles are exact discrete percentiles by default (an element of the
+    data, like the reference's approximate ones); ``approx=True`` uses the
+    mergeable sketch ``percentile_approx`` at ``accuracy``."""
+    def q(k):
+        if approx:
+            return F.percentile_approx("total_items_viewed", k / 100, accuracy).cast("double")
+        return F.expr(f"percentile_disc({k / 100}) WITHIN GROUP (ORDER BY total_items_viewed)")
+    q_cols = [F.round(q(k), 3).alias(f"item_viewed_p{k}") for k in quantiles]
     agg = styles.groupBy("browsing_style").agg(
         F.count("session_unique_id").alias("session_count"),
         F.round(F.avg("total_items_viewed"), 3).alias("avg_items_viewed"),

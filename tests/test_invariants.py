@@ -89,3 +89,15 @@ def test_cart_and_promo_consistency(marts):
     assert imp == {"Promo A": (112, 106), "Promo B": (114, 77), "Promo C": (104, 96), "Promo D": (108, 92)}
     for q in marts["promo_quality"]:
         assert q.ctr_percent == perf[q.promotion_name].ctr_percent
+
+
+def test_approx_quantiles_agree_with_exact(spark):
+    from clickmart.operators import basket, segments
+    from clickmart.plans import registry
+    st = registry.styles(spark, SF_MID)
+    exact = sorted(tuple(r) for r in segments.browsing_style_summary(st).collect())
+    approx = sorted(tuple(r) for r in segments.browsing_style_summary(st, approx=True).collect())
+    assert exact == approx
+    s = registry.stg(spark, SF_MID)
+    assert sorted(tuple(r) for r in basket.price_tier(s).collect()) == \
+        sorted(tuple(r) for r in basket.price_tier(s, approx=True).collect())
