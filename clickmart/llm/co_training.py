@@ -124,15 +124,20 @@ class Model:
     own: tuple[tuple[float, float], tuple[float, float]]
 
 
-def _calibrate(logits: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression on a few logits (Newton steps, slight shrinkage to weight 1/k each)."""
+#: Logits beyond this are no surer; it keeps one view from silencing the other.
+MAX_LOGIT = 8.0
+
+
+def _calibrate(logits: np.ndarray, y: np.ndarray, steps: int = 2000) -> np.ndarray:
+    """Logistic regression on a few logits by gradient descent, shrunk to an equal share each; slopes are not negative."""
     x = np.c_[logits, np.ones(len(y))]
     start = np.r_[np.full(logits.shape[1], 1 / logits.shape[1]), 0.0]
     w = start.copy()
-    for _ in range(25):
+    rate = 1 / (0.25 * (x * x).sum(axis=1).mean() + 0.01)
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(x.shape[1])
-        w = w - np.linalg.solve(h, x.T @ (p - y) + (w - start))
+        w = w - rate * (x.T @ (p - y) / len(y) + 0.01 * (w - start))
+        w[:-1] = np.maximum(w[:-1], 0)
     return w
 
 
@@ -161,7 +166,7 @@ def co_train(text: Sparse, meta: Dense, y: np.ndarray, kind: np.ndarray, rounds:
                 weight[other][pool[pick]] = 0.5  # a pseudo-label counts for half a label
                 free[pick] = False
     aside = kind == 1
-    z = np.stack([views[i].dot(models[i][0]) + models[i][1] for i in (0, 1)], axis=1)[aside]
+    z = np.clip(np.stack([views[i].dot(models[i][0]) + models[i][1] for i in (0, 1)], axis=1)[aside], -MAX_LOGIT, MAX_LOGIT)
     joint = _calibrate(z, y[aside])
     own = [tuple(_calibrate(z[:, [i]], y[aside])) for i in (0, 1)]
     return Model(*((w.astype(np.float32), float(b)) for w, b in models), tuple(joint), tuple(own))
@@ -256,7 +261,7 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataF
             n = np.diff(offsets)
             z.append(np.stack([(total[offsets[1:]] - total[offsets[:-1]]) / np.sqrt(np.maximum(n, 1)) + m.text[1],
                                meta @ m.meta[0].astype(float) + m.meta[1]], axis=1))
-        z = np.concatenate(z)
+        z = np.clip(np.concatenate(z), -MAX_LOGIT, MAX_LOGIT)
         a, b, c = m.joint
         lines = [m.own[0][0] * z[:, 0] + m.own[0][1], m.own[1][0] * z[:, 1] + m.own[1][1], a * z[:, 0] + b * z[:, 1] + c]
         return pa.StructArray.from_arrays([pa.array(1 / (1 + np.exp(-np.clip(x, -30, 30)))) for x in lines], list(OUT[:3]))
