@@ -106,14 +106,14 @@ def _doc_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def judge_lines(docs: DataFrame, host: str = "source", min_docs: int = 20, max_share: float = 0.02,
-                min_left_share: float = 0.3) -> DataFrame:
+def judge_lines(docs: DataFrame, host: str = "source", min_docs: int = 20, max_percent: int = 2,
+                min_left_percent: int = 30) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, ``host``, any others) with its statistics, verdict and cleaned text.
 
     A line is above the limit if it stands in at least ``min_docs`` different
-    documents of its host and in more than ``max_share`` of them.  A document
+    documents of its host and in more than ``max_percent`` of them.  A document
     is kept if it passes the base rules and the lines left hold at least
-    10 words and ``min_left_share`` of its words.  ``text_kept`` is the
+    10 words and ``min_left_percent`` of its words.  ``text_kept`` is the
     text without the removed lines; ``n_removed_words`` counts their words.
 
     Null text has no words and fails the base rules.  Null hosts are one
@@ -129,7 +129,7 @@ def judge_lines(docs: DataFrame, host: str = "source", min_docs: int = 20, max_s
              .groupBy("host").agg(F.count("*").alias("host_docs")))
     per_line = rows.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     frequent = (per_line.alias("l").join(hosts.alias("t"), F.col("l.host").eqNullSafe(F.col("t.host")))
-                .where(F.col("docs") > F.col("host_docs") * F.lit(max_share))
+                .where(100 * F.col("docs") > max_percent * F.col("host_docs"))
                 .select(F.col("l.host").alias("f_host"), F.col("h").alias("f_h")))
     # Few lines of a document are frequent, and it has a bounded number of lines.
     removed = (rows.join(frequent, rows.host.eqNullSafe(frequent.f_host) & (rows.h == frequent.f_h))
@@ -146,6 +146,6 @@ def judge_lines(docs: DataFrame, host: str = "source", min_docs: int = 20, max_s
         *without(docs, *OUT).columns,
         n_words.alias("n_words"), F.col(_BASE)["word_chars"].alias("word_chars"), F.col(_BASE)["n_symbols"].alias("n_symbols"),
         F.col(_BASE)["n_dup_lines"].alias("n_dup_lines"), repeat.alias("n_repeat_words"), failed.alias("base_failed"),
-        (~failed & (left >= MIN_WORDS) & (left >= n_words * F.lit(min_left_share))).alias("kept"),
+        (~failed & (left >= MIN_WORDS) & (100 * left >= min_left_percent * n_words)).alias("kept"),
         gone.alias("n_removed_words"),
         F.when(F.col("__line_bad").isNull(), text).otherwise(F.array_join(kept_lines, "\n")).alias("text_kept"))

@@ -56,7 +56,7 @@ def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents", "doc_id", "text"),
                                         _table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def spam_domains(pages: DataFrame) -> DataFrame:

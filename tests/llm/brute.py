@@ -31,7 +31,7 @@ def base_stats(text):
             len(words) < 10 or 100 * repeat > 20 * len(words))
 
 
-def line_verdicts(rows, min_docs, max_share, min_left_share):
+def line_verdicts(rows, min_docs, max_percent, min_left_percent):
     """Of (doc_id, text, host) rows: (removed words, kept) by operator 2's method."""
     def norm(line):
         return " ".join(SPACED.findall(line.translate(LOWER)))
@@ -47,9 +47,9 @@ def line_verdicts(rows, min_docs, max_share, min_left_share):
         gone = 0
         for line in (text or "").split("\n"):
             k = len(docs.get((host, norm(line)), ()))
-            if k >= min_docs and k > max_share * len(hosts[host]):
+            if k >= min_docs and 100 * k > max_percent * len(hosts[host]):
                 gone += len(SPACED.findall(line))
-        out.append((gone, not failed and n - gone >= 10 and n - gone >= min_left_share * n))
+        out.append((gone, not failed and n - gone >= 10 and 100 * (n - gone) >= min_left_percent * n))
     return out
 
 
