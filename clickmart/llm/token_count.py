@@ -4,9 +4,12 @@ A SentencePiece BPE model never merges across a position where no piece of
 its vocabulary has the two neighbouring characters side by side.  With the
 vocabulary checked for it, a text falls apart before every run of spaces and
 around every line feed, and its token count is the sum over these pre-tokens.
-Documents become (pre-token, frequencies) rows, one row for each pre-token and
-chunk of documents; rows of the same pre-token meet, its pieces are counted
-once, and the products are summed by document.
+
+Documents are taken in chunks.  A chunk sends out each of its distinct
+pre-tokens once; equal pre-tokens of all chunks meet, and their pieces are
+counted once.  The numbers go back to the chunks, where they are joined to the
+documents' pre-token frequencies and summed.  Only numbers for a pre-token and
+chunk move, never ones for a document and pre-token.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,49 +61,56 @@ def count_pieces(model, tokens: list[str]) -> np.ndarray:
     return np.array([1 if t == SPACE else len(x) - (t[0] == "\n") for t, x in zip(tokens, ids)], np.int64)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, chunk, data): data holds the chunk's documents with the token and how often, as pairs of uint32.
+_ROWS = pa.schema([("token", pa.string()), ("chunk", pa.int64()), ("at", pa.int64()), ("data", pa.binary())])
 
-    A chunk's rows with the empty token list its documents: doc_id and bytes.
-    """
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as compressed bytes: their lengths, then each as int64, differences first."""
+    lens = np.array([len(columns), *map(len, columns)], np.int64)
+    body = b"".join(np.diff(c.astype(np.int64), prepend=0).tobytes() for c in columns)
+    return zstandard.ZstdCompressor(level=1).compress(lens.tobytes() + body)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.int64)
+    ends = 1 + flat[0] + np.concatenate([[0], np.cumsum(flat[1:1 + flat[0]])])
+    return [np.cumsum(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk: one for each distinct pre-token (token, its number in the chunk), and one
+    without token, whose data is the documents' frequencies, ids and sizes."""
     from pyspark import TaskContext
     task = TaskContext.get()
     chunk = (task.partitionId() if task else 0) << 32
     names: dict[str, int] = {}
-    at, doc, n, ids, sizes = [], [], [], [], []
+    at, n, distinct, ids, sizes = [], [], [], [], []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal chunk, names, at, doc, n, ids, sizes
-        tokens = np.concatenate([np.zeros(0, np.int64), *at])
-        pairs = np.empty((len(tokens), 2), np.uint32)
-        order = np.argsort(tokens, kind="stable")
-        pairs[:, 0] = np.concatenate([np.zeros(0, np.uint32), *doc])[order]
-        pairs[:, 1] = np.concatenate([np.zeros(0, np.uint32), *n])[order]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(tokens, minlength=len(names)))]).astype(np.int64)
-        schema = _rows_schema()
-        data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(names),
-                                                [None, pa.py_buffer(ends * 8), pa.py_buffer(pairs.tobytes())]).cast(pa.binary())
+        nonlocal chunk, names, at, n, distinct, ids, sizes
         words = list(names)
         for i in range(0, len(words), 50_000):
             part = words[i:i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([chunk] * len(part), pa.int64()),
-                                              data.slice(i, len(part)), pa.nulls(len(part), pa.int64()),
-                                              pa.nulls(len(part), pa.int64())], schema=schema)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([""] * len(ids), pa.string()), pa.array([chunk] * len(ids), pa.int64()),
-            pa.array([np.array([i, 0], np.uint32).tobytes() for i in range(len(ids))], pa.binary()),
-            pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(part, pa.string()), pa.array(np.full(len(part), chunk)), pa.array(np.arange(i, i + len(part))),
+                pa.nulls(len(part), pa.binary())], schema=_ROWS)
+        known = np.array([i is not None for i in ids])
+        data = _packed(np.concatenate([np.zeros(0, np.int64), *at]), np.concatenate([np.zeros(0, np.int64), *n]),
+                       np.array(distinct, np.int64), known, np.array([i or 0 for i in ids], np.int64), np.array(sizes, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([chunk]), pa.array([-1]), pa.array([data], pa.binary())], schema=_ROWS)
         chunk += 1
-        names, at, doc, n, ids, sizes = {}, [], [], [], [], []
+        names, at, n, distinct, ids, sizes = {}, [], [], [], [], []
 
     entries = 0
     for b in batches:
         for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
             text = text.as_py() or ""
             count = Counter(pre_tokens(text))
-            at.append(np.fromiter((names.setdefault(t, len(names)) for t in count), np.int64, len(count)))
-            n.append(np.fromiter(count.values(), np.uint32, len(count)))
-            doc.append(np.full(len(count), len(ids), np.uint32))
+            number = np.fromiter((names.setdefault(t, len(names)) for t in count), np.int64, len(count))
+            order = np.argsort(number)
+            at.append(number[order])
+            n.append(np.fromiter(count.values(), np.int64, len(count))[order])
+            distinct.append(len(count))
             ids.append(doc_id)
             sizes.append(len(text.encode()))
             entries += len(count)
@@ -110,62 +121,61 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _rows_schema() -> pa.Schema:
-    return pa.schema([("token", pa.string()), ("chunk", pa.int64()), ("data", pa.binary()),
-                      ("doc_id", pa.int64()), ("n_bytes", pa.int64())])
-
-
-def _partial_sums(model_path: str, hold: int = 1 << 22):
-    """Of rows sorted by token: pieces counted once for each token, multiplied by the frequencies
-    and summed by document, in runs of up to ``hold`` entries."""
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_once(model_path: str, hold: int = 1 << 20):
+    """Of rows sorted by token: each token's pieces, counted once, as rows (chunk, data) for the chunks that have it."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(model_path)
-        last, last_pieces = None, 0
-        keys, values, held = [], [], 0
+        last, last_pieces, held = None, 0, []
 
         def flush() -> pa.RecordBatch:
-            key, value = np.concatenate([np.zeros((0, 2), np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *values])
-            order = np.lexsort((key[:, 1], key[:, 0]))
-            key, value = key[order], value[order]
-            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(key) else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key[new, 0]), pa.array(key[new, 1]), pa.array(np.add.reduceat(value, new) if len(new) else value),
-                 pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.int64())],
-                names=["chunk", "doc", "n", "doc_id", "n_bytes"])
+            chunk, at, pieces = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*held) if held else ((), (), ())))
+            order = np.lexsort((at, chunk))
+            chunk, at, pieces = chunk[order], at[order], pieces[order]
+            start = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]) if len(chunk) else np.zeros(0, np.int64)
+            data = [_packed(at[a:b], pieces[a:b]) for a, b in zip(start, np.r_[start[1:], len(chunk)])]
+            return pa.RecordBatch.from_arrays([pa.array(chunk[start]), pa.array(data, pa.binary()), pa.array([False] * len(data), pa.bool_())],
+                                              names=["chunk", "data", "documents"])
 
         for b in batches:
-            token = b.column(0)
-            data = b.column(2).cast(pa.large_binary())
-            chunk = b.column(1).to_numpy()
-            offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
-            pairs = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.uint32).reshape(-1, 2) if len(data) else np.zeros((0, 2), np.uint32)
-            lens = np.diff(offsets) // 8
-            runs = token.dictionary_encode()
+            is_token = np.asarray(b.column(0).is_valid())
+            if not is_token.all():  # the documents' rows pass through
+                rest = b.filter(pa.array(~is_token))
+                yield pa.RecordBatch.from_arrays([rest.column(1), rest.column(3), pa.array([True] * len(rest), pa.bool_())],
+                                                 names=["chunk", "data", "documents"])
+                b = b.filter(pa.array(is_token))
+            if not len(b):
+                continue
+            runs = b.column(0).dictionary_encode()
             names = runs.dictionary.to_pylist()
-            todo = [t for t in names if t and t != last]
-            known = dict(zip(todo, count_pieces(model, todo) if todo else []))
-            if last is not None:
-                known[last] = last_pieces
-            known[""] = 0
-            pieces = np.array([known[t] for t in names], np.int64)[runs.indices.to_numpy()]
-            if names:
-                last = token[len(token) - 1].as_py()
-                last_pieces = known[last]
-            document = np.flatnonzero(pieces == 0)  # the empty token's rows
-            if len(document):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk[document]), pa.array(pairs[np.cumsum(lens)[document] - 1, 0].astype(np.int64)),
-                     pa.array(np.zeros(len(document), np.int64)), b.column(3).take(pa.array(document)),
-                     b.column(4).take(pa.array(document))], names=["chunk", "doc", "n", "doc_id", "n_bytes"])
-            keys.append(np.stack([np.repeat(chunk, lens), pairs[:, 0].astype(np.int64)], axis=1))
-            values.append(np.repeat(pieces, lens) * pairs[:, 1])
-            held += len(pairs)
-            if held >= hold:
+            todo = [t for t in names if t != last]
+            known = dict(zip(todo, count_pieces(model, todo) if todo else [])) | ({last: last_pieces} if last is not None else {})
+            last = b.column(0)[len(b) - 1].as_py()
+            last_pieces = known[last]
+            held.append((b.column(1).to_numpy(), b.column(2).to_numpy(), np.array([known[t] for t in names], np.int64)[runs.indices.to_numpy()]))
+            if sum(len(h[0]) for h in held) >= hold:
                 yield flush()
-                keys, values, held = [], [], 0
-        yield flush()
-
-    return sums
+                held = []
+        if held:
+            yield flush()
+
+    return counted
+
+
+def _sums(rows: pa.Table) -> pa.Table:
+    """A chunk's documents with their sums of frequency times pieces."""
+    pieces, documents = [], None
+    for data, is_documents in zip(rows.column("data").to_pylist(), rows.column("documents").to_pylist()):
+        if is_documents:
+            documents = _unpacked(data)
+        else:
+            pieces.append(_unpacked(data))
+    at, n, distinct, known, ids, sizes = documents
+    size = np.zeros(1 + max([int(a.max()) for a, _ in pieces if len(a)], default=0), np.int64)
+    for a, p in pieces:
+        size[a] = p
+    total = np.concatenate([[0], np.cumsum(size[at] * n)])
+    end = np.cumsum(distinct)
+    return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=known == 0), "n_bytes": sizes, "n_tokens": total[end] - total[end - distinct]})
 
 
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
@@ -177,16 +187,14 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
     executor.  Columns besides doc_id and text are left out.
 
     Chunks of at most 16,384 documents bound a task's memory; a very common
-    pre-token has one row for each chunk.  A document's number within its
-    chunk identifies it, and its id travels with the frequencies through the
-    same shuffle, so a retried task cannot mix up two chunk layouts.
+    pre-token has one row for each chunk.  A chunk's frequencies travel
+    through the same shuffle as its pre-tokens, so both come from the same
+    attempt of the same task.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _frequencies, "token string, chunk long, data binary, doc_id long, n_bytes long")
-    # The empty token's rows (one for each document) are spread by chunk and document.
-    spread = F.when(F.col("token") == "", F.xxhash64("chunk", "data")).otherwise(F.xxhash64("token"))
-    met = rows.repartition(spread).sortWithinPartitions("token")
-    sums = met.mapInArrow(_partial_sums(model_path), "chunk long, doc long, n long, doc_id long, n_bytes long")
-    return (sums.groupBy("chunk", "doc").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
-                                             F.sum("n").alias("n_tokens"))
-            .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
+        _frequencies, "token string, chunk long, at long, data binary")
+    # Equal tokens meet; the documents' rows, without token, are spread by chunk.
+    met = rows.repartition("token", F.when(F.col("token").isNull(), F.col("chunk"))).sortWithinPartitions("token")
+    counted = met.mapInArrow(_count_once(model_path), "chunk long, data binary, documents boolean")
+    sums = counted.groupBy("chunk").applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long")
+    return sums.withColumn("over_limit", F.col("n_tokens") > limit)
