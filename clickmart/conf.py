@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,22 +25,23 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # collect_list/collect_set keep a per-task hash map of groups; the default
-    # switches to sort-based aggregation after only 128 keys.  4096 keys per
-    # task stays small (a bounded item array per key) and avoids that sort.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "clickmart", extra: dict | None = None) -> SparkSession:
+                app_name: str = "clickmart", extra: dict | None = None,
+                checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the library settings.
 
     ``master`` and ``shuffle_partitions`` are only meant for local runs; on a
-    cluster the submitter decides them.
+    cluster the submitter decides them.  ``checkpoint_dir`` is the folder,
+    shared by all executors, for written tables and checkpoints, where the
+    cluster's configuration does not name one.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -57,26 +57,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     # Runtime-settable SQL options also apply to a session that existed already.
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of a running session
-                pass
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+    if checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The shared folder for written tables and checkpoints.
 
-    A cluster names it; only when it is unset (local tests) do we point it at a
-    fresh scratch folder.
+    Named by the cluster in ``spark.checkpoint.dir``, or by the caller with
+    ``SparkContext.setCheckpointDir`` (``get_session(checkpoint_dir=...)``).
+    There is no fallback: a folder of one machine would hold only that
+    machine's part of a table.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get(CHECKPOINT_DIR, None)
+    if path and not named:
+        spark.sparkContext.setCheckpointDir(path)
+    path = path or named
     if not path:
-        path = tempfile.mkdtemp(prefix="clickmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        raise ValueError(f"no shared folder: set {CHECKPOINT_DIR}, or call get_session(checkpoint_dir=...) "
+                         "or SparkContext.setCheckpointDir")
     return path
 
 

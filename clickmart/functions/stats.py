@@ -4,8 +4,8 @@ The counting (conversions and sessions per segment) is a distributed
 ``groupBy``; these functions only do arithmetic on the handful of resulting
 rows.  Float operations are written in a fixed order with the constants
 pre-computed in Python, so Spark and the DuckDB oracle give the same doubles.
-The chi-square tail probability needs ``erfc``, which Spark lacks: it is a
-vectorised Arrow UDF over the final rows (``math.erfc`` per value).
+The chi-square tail probability needs ``erfc``, which Spark lacks; it is
+expanded into a column expression, so no Python runs on the executors.
 """
 
 from __future__ import annotations
@@ -13,10 +13,8 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickmart.functions.rules import fold_cases
 
@@ -102,33 +100,50 @@ def chi_square_2x2(s1: Column, n1: Column, s2: Column, n2: Column, yates: bool =
     return F.when(zero_margin, F.lit(None).cast("double")).otherwise(chi2)
 
 
-def _chi2_sf(x: float, dof: int) -> float:
-    """Upper tail of the χ² distribution for integer degrees of freedom."""
-    if x is None or dof is None or (isinstance(x, float) and math.isnan(x)) or dof < 1:
-        return float("nan")
-    if x <= 0:
-        return 1.0
-    half = x / 2.0
-    if dof % 2 == 0:
-        term, total = 1.0, 1.0
-        for j in range(1, dof // 2):
-            term *= half / j
-            total += term
-        return math.exp(-half) * total
-    p = math.erfc(math.sqrt(half))
-    term = math.sqrt(2.0 * x / math.pi) * math.exp(-half)
-    total = 0.0
-    for j in range(1, (dof - 1) // 2 + 1):
-        total += term
-        term *= x / (2 * j + 1)
-    return p + total
-
-
-@F.pandas_udf(T.DoubleType())
-def chi2_p_value(chi2: pd.Series, dof: pd.Series) -> pd.Series:
-    """Vectorised tail probability over the final rows (Arrow batches)."""
-    return pd.Series([_chi2_sf(None if pd.isna(x) else float(x), None if pd.isna(d) else int(d))
-                      for x, d in zip(chi2, dof)], dtype="float64")
+# Terms and switch point of the error function's two expansions (both at full double precision there).
+SERIES_TERMS, FRACTION_TERMS, SERIES_BELOW = 60, 120, 2.0
+PI, ROOT_PI, TWO_OVER_ROOT_PI = math.pi, math.sqrt(math.pi), 2.0 / math.sqrt(math.pi)
+P_DIGITS = 12
+
+
+def erfc_root(x: Column) -> Column:
+    """erfc(sqrt(x / 2)) for x > 0, the tail for one degree of freedom.
+
+    Below ``SERIES_BELOW`` by the error function's series of positive terms,
+    above it by its continued fraction, evaluated from the inside out."""
+    half = x / _d(2.0)
+    t = F.sqrt(half)
+
+    def step(acc: Column, k: Column) -> Column:
+        term = acc["term"] * x / (_d(2.0) * k + _d(1.0))
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    terms = F.sequence(F.lit(1), F.lit(SERIES_TERMS))
+    series = F.aggregate(terms, F.struct(t.alias("term"), t.alias("sum")), step, lambda acc: acc["sum"])
+    inside_out = F.sequence(F.lit(FRACTION_TERMS), F.lit(1), F.lit(-1))
+    fraction = F.aggregate(inside_out, t, lambda c, k: t + (k / _d(2.0)) / c)
+    return F.when(t < SERIES_BELOW, _d(1.0) - _d(TWO_OVER_ROOT_PI) * F.exp(-half) * series) \
+            .otherwise(F.exp(-half) / (_d(ROOT_PI) * fraction))
+
+
+def chi_square_tail(x: Column, dof: Column) -> Column:
+    """Upper tail of the χ² distribution for whole degrees of freedom, as a column expression.
+
+    NULL for a NULL statistic or fewer than one degree of freedom."""
+    half = x / _d(2.0)
+    more = F.when(dof < 4, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), (dof / 2).cast("int") - 1))
+
+    def powers(first: Column, factor) -> Column:
+        def step(acc: Column, j: Column) -> Column:
+            term = acc["term"] * factor(j)
+            return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+        return first * F.aggregate(more, F.struct(_d(1.0).alias("term"), _d(1.0).alias("sum")), step, lambda acc: acc["sum"])
+
+    even = powers(F.exp(-half), lambda j: half / j)
+    odd = powers(F.sqrt(_d(2.0) * x / _d(PI)) * F.exp(-half), lambda j: x / (_d(2.0) * j + _d(1.0)))
+    tail = F.when(x <= 0, _d(1.0)).when(dof % 2 == 0, even) \
+            .otherwise(erfc_root(x) + F.when(dof < 2, _d(0.0)).otherwise(odd))
+    return F.when(x.isNull() | dof.isNull() | (dof < 1), F.lit(None).cast("double")).otherwise(tail)
 
 
 def p_text(p: Column, threshold: float = P_TEXT_THRESHOLD, below: str = P_TEXT_BELOW) -> Column:

@@ -1,19 +1,20 @@
 """Baskets: A07 price_tier, A08 product_association, A25 bundle_strategy,
 A51 price_tier_alt, and the association run on orders.
 
-Pairs.  The reference self-joins purchase rows on the transaction, so an item
-on several lines of a transaction repeats the pair (Q10).  We first reduce each
-side to distinct (transaction, [session,] item) with its line count n; a pair
-then stands for nA·nB reference rows.  After that reduction a transaction
-contributes at most C(k, 2) pairs for k distinct items — bounded by the item
-catalogue, not by how many rows a hot transaction has — and nothing is capped
-or sampled.  The weights carry the row multiplicity into every average and
-count, so the results equal the row-level definition.
+Pairs.  Joining purchase rows to themselves on the transaction repeats a pair
+for every pair of lines (Q10).  The lines are first reduced to distinct
+(transaction, [session,] item) with their line count n, once for both sides; a
+pair then stands for nA·nB line pairs.  A basket of more than ``BLOCK_ITEMS``
+items is cut into blocks of items by a hash, and each pair of blocks is a join
+key of its own, so a huge basket's pairs are spread over as many tasks as its
+own size asks for.  Nothing is capped or sampled.  The weights carry the row
+multiplicity into every average and count, so the results equal the row-level
+definition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import fold_cases
@@ -28,6 +29,7 @@ PREMIUM = "Premium Set (VIP 타겟)"
 VOLUME = "Volume Builder (크로스셀링)"
 GENERAL = "General Bundle"
 MIN_PAIR_SALES = 3
+BLOCK_ITEMS = 500
 
 
 def _viewed_prices(stg: DataFrame) -> DataFrame:
@@ -35,27 +37,37 @@ def _viewed_prices(stg: DataFrame) -> DataFrame:
               .select("item_name", "item_price")
 
 
-def price_cutoffs(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, approx: bool = False,
+def price_cutoffs(prices: DataFrame, low_q: float = 0.33, high_q: float = 0.66, approx: bool = False,
                   accuracy: int = 100000) -> DataFrame:
-    """One row: the p33 / p66 of viewed item prices (exact discrete percentiles,
-    or the ``percentile_approx`` sketch with ``approx=True``)."""
-    def q(p):
-        if approx:
-            return F.percentile_approx("item_price", p, accuracy)
-        return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY item_price)")
-    return _viewed_prices(stg).agg(q(low_q).alias("p33_cutoff"), q(high_q).alias("p66_cutoff"))
+    """One row: the discrete percentiles p33 / p66 of item prices.
+
+    Exact, from ``prices`` with counts (item_price, n): a cumulative count
+    over the distinct prices.  With ``approx``, from single prices: the
+    ``percentile_approx`` sketch, whose state does not grow with them."""
+    if approx:
+        return prices.agg(F.percentile_approx("item_price", low_q, accuracy).alias("p33_cutoff"),
+                          F.percentile_approx("item_price", high_q, accuracy).alias("p66_cutoff"))
+    upto = Window.orderBy("item_price").rowsBetween(Window.unboundedPreceding, 0)
+    share = F.sum("n").over(upto).cast("double") / F.sum("n").over(Window.partitionBy(F.lit(1))).cast("double")
+    shares = prices.groupBy("item_price").agg(F.sum("n").alias("n")).select("item_price", share.alias("share"))
+    return shares.agg(F.min(F.when(F.col("share") >= low_q, F.col("item_price"))).alias("p33_cutoff"),
+                      F.min(F.when(F.col("share") >= high_q, F.col("item_price"))).alias("p66_cutoff"))
 
 
 def price_tier(stg: DataFrame, low_q: float = 0.33, high_q: float = 0.66, alt_order: bool = False,
                approx: bool = False) -> DataFrame:
-    """A07 (and A51 with ``alt_order``): average viewed price per item and its tier."""
-    prices = _viewed_prices(stg).groupBy("item_name").agg(F.avg("item_price").alias("avg_price"))
-    # The cutoffs are one global aggregate; as scalar subqueries they are
-    # computed once and used as constants (no join with the item rows).
-    cutoffs = price_cutoffs(stg, low_q, high_q, approx)
-    joined = prices.select("item_name", "avg_price",
-                           cutoffs.select("p33_cutoff").scalar().alias("p33_cutoff"),
-                           cutoffs.select("p66_cutoff").scalar().alias("p66_cutoff"))
+    """A07 (and A51 with ``alt_order``): average viewed price per item and its tier.
+
+    Averages and cutoffs both come from one (item, price) count, so the views
+    are read and shuffled once."""
+    counted = _viewed_prices(stg).groupBy("item_name", "item_price").agg(F.count(F.lit(1)).alias("n"))
+    prices = counted.groupBy("item_name").agg(
+        F.try_divide(F.sum(F.col("item_price") * F.col("n")), F.sum("n")).alias("avg_price"))
+    # The cutoffs are one global row; as a scalar subquery they are computed
+    # once and used as constants (no join with the item rows).
+    source = _viewed_prices(stg) if approx else counted
+    cutoffs = price_cutoffs(source, low_q, high_q, approx).select(F.struct("p33_cutoff", "p66_cutoff").alias("c")).scalar()
+    joined = prices.select("item_name", "avg_price", cutoffs.alias("c")).select("item_name", "avg_price", "c.*")
     p, lo, hi = F.col("avg_price"), F.col("p33_cutoff"), F.col("p66_cutoff")
     if alt_order:
         tier = fold_cases([(p < lo, LOW), (p >= hi, HIGH)], MID)
@@ -71,13 +83,25 @@ def _purchase_lines(stg: DataFrame) -> DataFrame:
 
 
 def weighted_pairs(lines: DataFrame, txn: str = "transaction_id", session: str | None = SESSION,
-                   item: str = "item_name") -> DataFrame:
+                   item: str = "item_name", block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Distinct (transaction, session of A, A, B) with A < B and weight nA·nB."""
-    a_keys = [txn] + ([session] if session else []) + [item]
-    side_a = lines.groupBy(*a_keys).agg(F.count(F.lit(1)).alias("n_a")).withColumnRenamed(item, "product_A")
-    side_b = lines.groupBy(txn, item).agg(F.count(F.lit(1)).alias("n_b")).withColumnRenamed(item, "product_B")
-    pairs = side_a.join(side_b, on=txn, how="inner").filter(F.col("product_A") < F.col("product_B"))
-    return pairs.withColumn("w", F.col("n_a") * F.col("n_b")).drop("n_a", "n_b")
+    keys = [txn] + ([session] if session else []) + [item]
+    base = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # Baskets of more than one block (few): into how many their items are cut.
+    blocks = (base.groupBy(txn).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block_items)
+              .select(txn, F.ceil(F.col("size") / block_items).cast("int").alias("_blocks")))
+    cut = base.join(blocks, txn, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))) \
+              .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    side_a = cut.withColumn("_j", every).select(txn, *([session] if session else []), F.col(item).alias("product_A"),
+                                                F.col("n").alias("n_a"), F.col("_own").alias("_i"), "_j")
+    side_b = cut.withColumn("_i", every).groupBy(txn, item, "_i", "_own").agg(F.sum("n").alias("n_b")) \
+                .select(txn, F.col(item).alias("product_B"), "n_b", "_i", F.col("_own").alias("_j"))
+    # A partition count of its own keeps AQE from merging the block pairs by their (few) input bytes.
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side_a, side_b = (s.repartition(tasks, txn, "_i", "_j") for s in (side_a, side_b))
+    pairs = side_a.join(side_b, on=[txn, "_i", "_j"], how="inner").filter(F.col("product_A") < F.col("product_B"))
+    return pairs.withColumn("w", F.col("n_a") * F.col("n_b")).drop("n_a", "n_b", "_i", "_j")
 
 
 def product_association(stg: DataFrame) -> DataFrame:

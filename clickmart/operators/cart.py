@@ -2,8 +2,8 @@
 
 A11 keeps only add_to_cart rows of abandoned sessions (a left-semi join on the
 session: the cart rows are shuffled once by session, AQE splits a hot session)
-and de-duplicates (session, item, line value) on that same partitioning, so
-the de-duplication adds no exchange.  The rollups read the per-item mart.
+and reduces them to (session, item, line value) and then (session, item) on
+that same partitioning; only the small item totals are exchanged again.  The rollups read the per-item mart.
 """
 
 from __future__ import annotations
@@ -48,12 +48,16 @@ def cart_abandon(stg: DataFrame, abandoned: DataFrame, top_level_category: bool
              .join(abandoned, SESSION, "left_semi"))
     lines = carts.groupBy(SESSION, "item_name", "potential_revenue").agg(
         F.min("item_category").alias("item_category"))
-    return (lines.groupBy("item_name").agg(
+    # One row for each (session, item), on the same partitioning: counting sessions is then a plain count.
+    items = lines.groupBy(SESSION, "item_name").agg(
         F.max("item_category").alias("item_category"),
-        F.count_distinct(SESSION).alias("abandoned_session_count"),
-        F.sum("potential_revenue").alias("total_lost_revenue"),
-        F.round(F.avg("potential_revenue"), 0).alias("avg_lost_value"),
-    ).filter(F.col("abandoned_session_count") > 0))
+        F.sum("potential_revenue").alias("worth"), F.count("potential_revenue").alias("n"))
+    return items.groupBy("item_name").agg(
+        F.max("item_category").alias("item_category"),
+        F.count(SESSION).alias("abandoned_session_count"),
+        F.sum("worth").alias("total_lost_revenue"),
+        F.round(F.try_divide(F.sum("worth"), F.sum("n")), 0).alias("avg_lost_value"),
+    ).filter(F.col("abandoned_session_count") > 0)
 
 
 def exclude_items(cart: DataFrame, names=EXCLUDED_ITEMS, max_quantity: int | None = None,
@@ -82,15 +86,17 @@ def main_category(col):
 
 
 def category_loss_rollup(cart: DataFrame) -> DataFrame:
-    """Per main category items, abandons, lost value, share of loss %, loss per abandon."""
+    """Per main category items, abandons, lost value, shares of loss and of abandons %, loss per abandon."""
     agg = cart.groupBy(main_category(F.col("item_category")).alias("main_category")).agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("abandoned_session_count").cast("bigint").alias("abandoned_sessions"),
         F.sum("total_lost_revenue").alias("lost_value"),
     )
-    total = F.sum("lost_value").over(Window.partitionBy(F.lit(1)))  # one row per main category
+    everything = Window.partitionBy(F.lit(1))  # one row per main category
+    total, abandons = F.sum("lost_value").over(everything), F.sum("abandoned_sessions").over(everything)
     return agg.select("main_category", "items", "abandoned_sessions", "lost_value",
                       (safe_div(F.col("lost_value"), total) * F.lit(100.0)).alias("loss_share_percent"),
+                      (safe_div(F.col("abandoned_sessions"), abandons) * F.lit(100.0)).alias("abandon_share_percent"),
                       safe_div(F.col("lost_value"), F.col("abandoned_sessions")).alias("loss_per_abandon"))
 
 

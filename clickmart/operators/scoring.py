@@ -8,9 +8,8 @@ histogram: rank - 1 of a session = number of sessions with a higher score.
 The histogram has one row per distinct score; since d distinct positive
 integer scores need a score total of at least d(d+1)/2, d <= sqrt(2·Σscore),
 so the single-task cumulative sum runs over a few million rows even at 10^12
-events.  The histogram is joined back on the score with a plain equi-join:
-AQE turns it into a broadcast when it is small at runtime and splits a score
-value that holds a large share of the sessions (skew join).
+events.  The grade falls with the rank, so A06 takes from the histogram only
+the lowest score of each grade: no session is joined or shuffled for it.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions.rules import fold_cases, safe_div
-from clickmart.operators.sessions import SESSION
+from clickmart.operators.sessions import SESSION, session_paths
 
 # Grade bands of the percent rank.
 GRADES = [(0.2, "High Intent"), (0.5, "Medium Intent")]
@@ -43,11 +42,18 @@ LIFT_LONG_ACTIONS = [
 
 
 def percent_rank_desc(df: DataFrame, score_col: str, out_col: str = "pct_rank") -> DataFrame:
-    """``df`` plus ``PERCENT_RANK() OVER (ORDER BY score_col DESC)``, without a global window on ``df``."""
+    """``df`` plus ``PERCENT_RANK() OVER (ORDER BY score_col DESC)``, without a global window on ``df``.
+
+    The histogram is joined back on the score; AQE splits a score that many rows share."""
+    return df.join(rank_histogram(df, score_col, out_col), on=score_col, how="inner")
+
+
+def rank_histogram(df: DataFrame, score_col: str, out_col: str = "pct_rank") -> DataFrame:
+    """One row for each distinct score with its descending percent rank."""
     hist = df.groupBy(score_col).agg(F.count(F.lit(1)).alias("_n_at"))
     above = Window.orderBy(F.desc(score_col)).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(F.lit(1))
-    hist = hist.select(
+    return hist.select(
         score_col,
         F.coalesce(F.sum("_n_at").over(above), F.lit(0)).alias("_n_above"),
         F.sum("_n_at").over(everything).alias("_n_total"),
@@ -56,23 +62,25 @@ def percent_rank_desc(df: DataFrame, score_col: str, out_col: str = "pct_rank")
         F.when(F.col("_n_total") <= 1, F.lit(0.0))
         .otherwise(F.col("_n_above").cast("double") / (F.col("_n_total") - 1).cast("double")).alias(out_col),
     )
-    return df.join(hist, on=score_col, how="inner")
-
-
-def grade_expr(rank_col: str = "pct_rank", grades=GRADES, low: str = LOW_GRADE):
-    return fold_cases([(F.col(rank_col) <= t, g) for t, g in grades], low)
 
 
 def engage_lift_score(features: DataFrame, grades=GRADES, low: str = LOW_GRADE,
                       score_col: str = "engagement_score", keep=()) -> DataFrame:
-    """Score per (session, user), global percent rank (desc), grade.
+    """Score per (session, user) and the grade of its global percent rank (desc).
+
+    One scalar subquery gives the lowest score that reaches each grade.
 
     ``keep`` carries further feature columns (e.g. ``has_purchase``) through
     the ranking, so marts that need the grade and a session fact do not join
     the features again."""
-    ranked = percent_rank_desc(features.select(SESSION, "user_pseudo_id", score_col, *keep), score_col)
-    return ranked.select(SESSION, "user_pseudo_id", F.col(score_col).alias("engagement_score"),
-                         grade_expr("pct_rank", grades, low).alias("engagement_grade"), *keep)
+    score, rank = F.col(score_col), F.col("pct_rank")
+    reached = rank_histogram(features.select(score_col), score_col).agg(
+        *[F.min(F.when(rank <= t, score)).alias(f"cut{i}") for i, (t, _) in enumerate(grades)])
+    cuts = reached.select(F.struct("*").alias("cuts")).scalar()
+    graded = features.select(SESSION, "user_pseudo_id", score.alias("engagement_score"), cuts.alias("_cuts"), *keep)
+    score = F.col("engagement_score")
+    grade = fold_cases([(score >= F.col("_cuts")[f"cut{i}"], g) for i, (_, g) in enumerate(grades)], low)
+    return graded.select(SESSION, "user_pseudo_id", "engagement_score", grade.alias("engagement_grade"), *keep)
 
 
 def graded_sessions(features: DataFrame, scores: DataFrame | None = None) -> DataFrame:
@@ -131,17 +139,21 @@ def score_short(sessions: DataFrame) -> DataFrame:
     return sessions.select(SESSION, F.col("engagement_score_short").alias("engagement_score"))
 
 
-def core_sessions(features: DataFrame, paths: DataFrame, grades=GRADES, low: str = LOW_GRADE,
-                  keep_grades=CORE_GRADES, scores: DataFrame | None = None) -> DataFrame:
+def core_sessions(features: DataFrame, paths: DataFrame | None = None, grades=GRADES, low: str = LOW_GRADE,
+                  keep_grades=CORE_GRADES, scores: DataFrame | None = None, stg: DataFrame | None = None) -> DataFrame:
     """A10: High/Medium sessions with path, conversion (default 0) and missed-opportunity flag.
 
-    ``paths`` is ``session_paths(stg)``; both sides are one row per session,
-    joined on the session (a NULL session never matches, as in the reference).
+    From ``stg`` only the core sessions' rows are kept (a semi-join) before
+    their paths are built; the NULL session, which never matches, is not built
+    at all.  ``paths`` is ``session_paths(stg)`` where it exists already.
     ``scores`` (A06 output) is used when given instead of ranking ``features``."""
     if scores is None:
         scores = engage_lift_score(features, grades, low)
     graded = scores.select(SESSION, "user_pseudo_id", "engagement_score", "engagement_grade") \
         .filter(F.col("engagement_grade").isin(*keep_grades))
+    if paths is None:
+        keyed = graded.filter(F.col(SESSION).isNotNull()).select(SESSION)
+        paths = session_paths(stg.join(keyed, SESSION, "left_semi"))
     joined = graded.join(paths, graded[SESSION] == paths[SESSION], "left").drop(paths[SESSION])
     converted = F.coalesce(F.col("is_converted"), F.lit(0))
     return joined.select(SESSION, "user_pseudo_id", "engagement_grade", "engagement_score", "full_path",

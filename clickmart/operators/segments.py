@@ -115,9 +115,12 @@ def variety_seekers(styles: DataFrame) -> DataFrame:
 
 
 def segment_coverage(sessions: DataFrame) -> DataFrame:
-    """Sessions that have a browsing style / all sessions, in percent."""
+    """Sessions that have a browsing style / all sessions, in percent.
+
+    The style mart counts session ids, so the NULL session is in no segment;
+    it is one of all sessions."""
     return sessions.agg(
-        F.count(F.when(F.col("total_items_viewed") > 0, F.lit(1))).alias("segment_sessions"),
+        F.count(F.when(F.col("total_items_viewed") > 0, F.col("session_unique_id"))).alias("segment_sessions"),
         F.count(F.lit(1)).alias("total_sessions"),
     ).select("segment_sessions", "total_sessions",
              (F.try_divide(F.col("segment_sessions").cast("double"), F.col("total_sessions").cast("double"))

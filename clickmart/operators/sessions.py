@@ -103,9 +103,10 @@ _MERGE = {
 
 def session_level(features: DataFrame) -> DataFrame:
     """Features at session grain: the reference groups by session only, so all
-    rows with a NULL session form one session.  Non-NULL sessions pass through
-    (a session id determines its user); only the NULL part is re-aggregated,
-    into at most one row.
+    rows with a NULL session form one session.  Non-NULL sessions pass through;
+    only the NULL part is re-aggregated, into at most one row.  This assumes
+    that a session id has one user, which holds for ids made by A01 (the user
+    and the number after the last dash); other sources must keep to it.
 
     That part may be large (one key can hold many users' rows), so its merge is
     partial throughout.  Its category set is a scalar subquery over the
@@ -143,26 +144,42 @@ def session_funnel(stg: DataFrame = None, *, sessions: DataFrame | None = None)
     )
 
 
-def session_paths(stg: DataFrame, separator: str = PATH_SEPARATOR, piece: str = "hour") -> DataFrame:
+def session_path_pieces(stg: DataFrame, separator: str = PATH_SEPARATOR, max_rows: int = 20_000) -> DataFrame:
+    """Paths in pieces of time: session, piece (its start), path, rows, conversion flag.
+
+    A piece is an hour of a session; an hour of more than ``max_rows`` rows is
+    cut into as many equal parts as that takes, so a bot's hour, or that of
+    the NULL session (all events without an id), is ordered by many tasks.
+    Equal timestamps always share a piece.  This is the scale-safe form of A03:
+    no row of it grows with the length of a session."""
+    ts = F.col("event_timestamp")
+    hour = F.date_trunc("hour", ts)
+    timed = stg.withColumn("_hour", hour)
+    busy = (timed.groupBy(SESSION, "_hour").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
+            .select(F.col(SESSION).alias("_busy"), F.col("_hour").alias("_busy_hour"),
+                    (F.lit(3_600_000_000) / F.ceil(F.col("_rows") / max_rows)).cast("long").alias("_width")))
+    cut = timed.join(busy, timed[SESSION].eqNullSafe(busy["_busy"]) & (timed["_hour"] == busy["_busy_hour"]), "left")
+    into = F.unix_micros(ts) - F.unix_micros("_hour")
+    width = F.coalesce("_width", F.lit(3_600_000_000).cast("long"))
+    piece = F.timestamp_micros(F.unix_micros("_hour") + into - F.pmod(into, width))
+    return cut.groupBy(SESSION, piece.alias("piece")).agg(
+        path_expr(separator).alias("path"), F.count(F.lit(1)).alias("path_length"),
+        F.max(flag(F.col("action_type") == "Purchase")).alias("is_converted"))
+
+
+def session_paths(stg: DataFrame, separator: str = PATH_SEPARATOR, max_rows: int = 20_000) -> DataFrame:
     """Ordered event path per session, its length and conversion flag.
 
     Ties on the timestamp are broken by ``event_id`` so the string is
-    deterministic.  The path is built in two levels so that a very long (hot)
-    session is not sorted in one task: events are ordered and joined per
-    (session, ``piece`` of time) in parallel, then the pieces are joined in
-    time order.  Equal timestamps always share a piece, so the result equals a
-    single ordered aggregation; only the final string, the output value itself,
-    is assembled per session.
+    deterministic.  Events are ordered in pieces (``session_path_pieces``),
+    which are then joined in time order; the result equals a single ordered
+    aggregation.  The whole path is one string by definition: a session of
+    more than about 2 GB of event names cannot be one row, and its path is
+    only to be had in pieces.
     """
     sep = separator.replace("'", "''")
-    ts = F.col("event_timestamp")
-    pieces = stg.groupBy(SESSION, F.date_trunc(piece, ts).alias("_piece")).agg(
-        path_expr(separator).alias("_path"),
-        F.count(F.lit(1)).alias("_n"),
-        F.max(flag(F.col("action_type") == "Purchase")).alias("_conv"),
-    )
-    return pieces.groupBy(SESSION).agg(
-        F.expr(f"listagg(_path, '{sep}') WITHIN GROUP (ORDER BY _piece)").alias("full_path"),
-        F.sum("_n").alias("path_length"),
-        F.max("_conv").alias("is_converted"),
+    return session_path_pieces(stg, separator, max_rows).groupBy(SESSION).agg(
+        F.expr(f"listagg(path, '{sep}') WITHIN GROUP (ORDER BY piece)").alias("full_path"),
+        F.sum("path_length").alias("path_length"),
+        F.max("is_converted").alias("is_converted"),
     )

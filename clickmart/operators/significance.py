@@ -61,9 +61,11 @@ def _match(pattern: str, regex: bool):
 
 def segment_compare(counts: DataFrame, pattern_a: str, pattern_b: str, regex: bool = False,
                     confidence: float = 0.95, yates: bool = True,
-                    bands=stats.EFFECT_BANDS, default_label: str = stats.EFFECT_DEFAULT) -> DataFrame:
-    """Two segments side by side: intervals, 2×2 χ², Cohen's h, label,
-    rate ratio and interval overlap.  One row (none if a side is missing)."""
+                    bands=stats.EFFECT_BANDS, default_label: str = stats.EFFECT_DEFAULT,
+                    zero_ratio: float | None = 0.0) -> DataFrame:
+    """Two segments side by side: intervals, 2×2 χ² with its p-value and
+    text, Cohen's h, label, rate ratio and interval overlap.  One row (none if
+    a side is missing).  ``zero_ratio`` is the ratio to a rate of 0."""
     # Both sides from one aggregate over the per-segment rows: the first label
     # (in label order) matching each pattern, as the dashboard takes the first row.
     cols = [SEG, "sessions", "conversions", "rate"]
@@ -74,25 +76,28 @@ def segment_compare(counts: DataFrame, pattern_a: str, pattern_b: str, regex: bo
     wa = stats.wilson(F.col("conversions_a"), F.col("sessions_a"), confidence)
     wb = stats.wilson(F.col("conversions_b"), F.col("sessions_b"), confidence)
     h = stats.cohens_h(F.col("rate_a"), F.col("rate_b"))
-    return pair.select(
+    chi2 = stats.chi_square_2x2(F.col("conversions_a"), F.col("sessions_a"), F.col("conversions_b"),
+                                F.col("sessions_b"), yates)
+    ratio = F.when(F.col("rate_b") == 0, F.lit(zero_ratio).cast("double")).otherwise(F.try_divide(F.col("rate_a"), F.col("rate_b")))
+    return with_p_value(pair.withColumn("chi2", chi2)).select(
         F.col("segment_a"), F.col("segment_b"),
         "sessions_a", "conversions_a", wa["rate"].alias("cvr_a"), wa["low"].alias("ci_low_a"),
         wa["high"].alias("ci_high_a"),
         "sessions_b", "conversions_b", wb["rate"].alias("cvr_b"), wb["low"].alias("ci_low_b"),
         wb["high"].alias("ci_high_b"),
-        stats.chi_square_2x2(F.col("conversions_a"), F.col("sessions_a"), F.col("conversions_b"),
-                             F.col("sessions_b"), yates).alias("chi2"),
+        "chi2", "p_value", "p_text",
         h.alias("cohens_h"),
         stats.effect_label(h, bands, default_label).alias("effect_label"),
-        F.try_divide(F.col("rate_a"), F.col("rate_b")).alias("rate_ratio"),
+        ratio.alias("rate_ratio"),
         stats.ci_non_overlap(wa["low"], wb["high"]).alias("ci_non_overlap"),
     )
 
 
-def with_p_value(df: DataFrame, chi2_col: str = "chi2", dof: int | str = 1) -> DataFrame:
-    """Adds ``p_value`` (χ² upper tail) and its display text to the final rows."""
+def with_p_value(df: DataFrame, chi2_col: str = "chi2", dof: int | str = 1, digits: int | None = None) -> DataFrame:
+    """Adds ``p_value`` (χ² upper tail, rounded to ``digits`` if given) and its display text to the final rows."""
     d = F.col(dof) if isinstance(dof, str) else F.lit(dof)
-    out = df.withColumn("p_value", stats.chi2_p_value(F.col(chi2_col), d))
+    p = stats.chi_square_tail(F.col(chi2_col), d)
+    out = df.withColumn("p_value", p if digits is None else F.round(p, digits))
     return out.withColumn("p_text", stats.p_text(F.col("p_value")))
 
 

@@ -25,16 +25,13 @@ ACTION_TYPES = [
 ]
 DEFAULT_ACTION = "Browsing"
 NOT_SET = "(not set)"
-# Shard range of the reference export (December 2020).  The driver's tables
-# cover another month, so the library default is "no range".
-REFERENCE_SHARD_RANGE = ("20201201", "20201231")
 
 
-def param_value(key: str, slot: str, strict: bool = False) -> Column:
+def param_value(key: str, slot: str, strict: bool = True) -> Column:
     """Value of parameter ``key`` (``slot`` = string_value | int_value).
 
-    Absent key -> NULL.  A key present twice is an error in the reference's
-    scalar subquery; ``strict=True`` raises likewise, otherwise the first wins.
+    Absent key -> NULL.  A key present twice is an error, as a scalar subquery
+    with two rows is; ``strict=False`` takes the first instead.
     """
     hits = F.filter(F.col("event_params"), lambda p: p["key"] == F.lit(key))
     value = F.get(hits, 0)["value"][slot]
@@ -46,7 +43,7 @@ def param_value(key: str, slot: str, strict: bool = False) -> Column:
 
 
 def stage_events(events: DataFrame, start_date: str | None = None, end_date: str | None = None,
-                 strict_params: bool = False) -> DataFrame:
+                 strict_params: bool = True) -> DataFrame:
     """Flatten nested events (``clickmart.schemas.NESTED_EVENT``) to staged rows.
 
     ``start_date``/``end_date`` (``YYYYMMDD``, inclusive) filter ``event_date``;
@@ -57,10 +54,10 @@ def stage_events(events: DataFrame, start_date: str | None = None, end_date: str
         src = src.filter(F.col("event_date") >= F.lit(start_date))
     if end_date is not None:
         src = src.filter(F.col("event_date") <= F.lit(end_date))
-    if "event_id" not in src.columns:
-        # Deterministic tie-break for ordered paths when the export has no id.
-        src = src.withColumn("event_id", F.xxhash64("event_timestamp", "event_name", "user_pseudo_id",
-                                                    "event_params"))
+    # Deterministic tie-break for ordered paths where the export has no id.
+    content = F.xxhash64(*[c for c in ("event_timestamp", "event_name", "user_pseudo_id", "user_id", "event_params",
+                                       "ecommerce", "items", "device", "geo")])
+    src = src.withColumn("event_id", F.coalesce("event_id", content) if "event_id" in src.columns else content)
 
     pv = lambda key, slot: param_value(key, slot, strict_params)
     session_id = pv("ga_session_id", "int_value")

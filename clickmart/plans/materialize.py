@@ -10,7 +10,6 @@ binding) and gives later scans column pruning and partition pruning.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 from collections.abc import Callable, Sequence
@@ -23,21 +22,33 @@ _LOCK = threading.RLock()
 _TABLES: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
-def source_signature(paths: Sequence[str]) -> str:
-    """Identity of the input snapshot: path, size and modification time of each file."""
+def source_signature(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Identity of the input snapshot: path, size and modification time of each file.
+
+    Read through the file system that Spark itself uses for the path, so a
+    changed snapshot in any store gets a new identity.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     parts = []
     for p in paths:
-        try:
-            st = os.stat(p)
-            parts.append(f"{p}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(p)  # non-local filesystem: the path names the snapshot
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            parts.append(f"{p}:absent")
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            parts.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
 def table(spark: SparkSession, name: str, signature: str, build: Callable[[], DataFrame],
-          partition_by: Sequence[str] = ()) -> DataFrame:
-    """Return the materialised table ``name`` for ``signature``, building it once per application."""
+          partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
+    """Return the materialised table ``name`` for ``signature``, building it once per application.
+
+    ``sort_by`` orders rows within each file, so that filters on those columns
+    skip row groups."""
     key = (spark.sparkContext.applicationId, f"{name}:{signature}")
     with _LOCK:
         hit = _TABLES.get(key)
@@ -50,6 +61,8 @@ def table(spark: SparkSession, name: str, signature: str, build: Callable[[], Da
                 # One file set per partition value at small scale; at large scale AQE
                 # splits a partition value that holds too much data (rebalance).
                 out = df.hint("rebalance", *partition_by)
+            if sort_by:
+                out = out.sortWithinPartitions(*partition_by, *sort_by)
             writer = out.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
@@ -62,9 +75,11 @@ def table(spark: SparkSession, name: str, signature: str, build: Callable[[], Da
     return hit[1]
 
 
-def forget(spark: SparkSession) -> None:
-    """Drop the registry entries of this application (files stay for the caller to remove)."""
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's written tables; DataFrames that read them must not be used afterwards."""
     app = spark.sparkContext.applicationId
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     with _LOCK:
         for k in [k for k in _TABLES if k[0] == app]:
-            del _TABLES[k]
+            path = jvm.org.apache.hadoop.fs.Path(_TABLES.pop(k)[0])
+            path.getFileSystem(conf).delete(path, True)

@@ -20,8 +20,10 @@ from collections.abc import Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickmart.conf import ensure_checkpoint_dir
+from clickmart.functions import stats
 from clickmart.operators import basket, cart, friction, funnel, promo, scoring, segments, sessions, significance
 from clickmart.operators.staging import stage_events
 from clickmart.sources import io
@@ -38,7 +40,10 @@ def _materialize(df: DataFrame, mode: str, name: str, run_id: str, partition_by=
         return df.checkpoint(eager=True)
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/clickmart-run-{run_id}/{name}"
-    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
+    out = df
+    if partition_by:  # staged rows: by date, and by event name within a file
+        out = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, "event_name")
+    w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -52,35 +57,42 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
     stg = _materialize(stage_events(events, start_date, end_date), materialize, "stg_events", run_id,
                        partition_by=["event_date"] if materialize == "table" else ())
     feats = _materialize(sessions.session_features(stg), materialize, "session_features", run_id)
-    sess = sessions.session_level(feats)
-    paths = sessions.session_paths(stg)
-    graded = _materialize(scoring.engage_lift_score(feats, keep=["has_purchase"]), materialize,
-                          "engage_lift_score", run_id)
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return _materialize(df, materialize, name, run_id)
+
+    sess = keep(sessions.session_level(feats), "session_level")
+    graded = keep(scoring.engage_lift_score(feats, keep=["has_purchase"]), "engage_lift_score")
     scores = graded
-    styles = segments.browsing_style(sess)
-    tiers = basket.price_tier(stg)
-    perf = promo.promo_performance(stg)
-    carts = cart.cart_abandon(stg, cart.abandoned_sessions(feats, scores=scores))
+    paths = keep(sessions.session_paths(stg), "session_paths")
+    styles = keep(segments.browsing_style(sess), "session_browsing_style")
+    perf = keep(promo.promo_performance(stg), "promo_performance")
+    carts = keep(cart.cart_abandon(stg, cart.abandoned_sessions(feats, scores=scores)), "cart_abandon")
     clean = cart.exclude_items(carts)
-    quality = promo.promo_quality(stg, feats, perf, scores=scores)
-    assoc = _materialize(basket.product_association(stg), materialize, "product_association", run_id)
-    tiers = _materialize(tiers, materialize, "price_tier", run_id)
+    quality = keep(promo.promo_quality(stg, feats, perf, scores=scores), "promo_quality")
+    tiers = keep(basket.price_tier(stg), "price_tier")
     style_counts = significance.segment_counts(styles.withColumnRenamed("browsing_style", "segment"), "segment")
+    depth_counts = significance.segment_counts(
+        styles.filter(F.col("browsing_style") == segments.DEEP)
+        .withColumn("segment", segments.depth_bucket(F.col("total_items_viewed"))), "segment")
+    intensity_counts = significance.segment_counts(
+        styles.filter(F.col("browsing_style") == segments.VARIETY)
+        .withColumn("segment", segments.intensity_bucket(F.col("total_items_viewed"))), "segment")
+    deep = segments.deep_specialists(styles)
 
     out: dict[str, DataFrame] = {
-        "stg_events": stg,
+        "stage_events": stg,
         "session_funnel": sessions.session_funnel(sessions=sess),
         "session_paths": paths,
         "session_browsing_style": styles,
         "lift_weight": scoring.lift_weight(sess),
         "engage_lift_score": graded.drop("has_purchase"),
         "price_tier": tiers,
-        "product_association": assoc,
+        "product_association": basket.product_association(stg),
         "promo_performance": perf,
         "core_sessions": scoring.core_sessions(feats, paths, scores=graded),
         "cart_abandon": carts,
         "browsing_style_summary": segments.browsing_style_summary(styles),
-        "deep_specialists": segments.deep_specialists(styles),
+        "deep_specialists": deep,
         "variety_seekers": segments.variety_seekers(styles),
         "funnel_overall": funnel.funnel_overall(sess),
         "funnel_dropoff": funnel.funnel_dropoff(sess),
@@ -92,7 +104,7 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "open_funnel": funnel.open_funnel(sess),
         "device_friction": friction.device_friction(stg, feats, scores=scores),
         "promo_quality": quality,
-        "bundle_strategy": basket.bundle_strategy(stg, feats, tiers=tiers, scores=scores, pairs=assoc),
+        "bundle_strategy": basket.bundle_strategy(stg, feats, tiers=tiers, scores=scores),
         "time_to_conversion": friction.time_to_conversion(sess),
         # dashboard statistics and rollups
         "segment_ci_table": significance.segment_ci_table(style_counts),
@@ -106,6 +118,24 @@ def build_all(events: DataFrame, start_date: str | None = None, end_date: str |
         "promo_summary": promo.promo_summary(quality),
         "lift_long": scoring.lift_long(sess),
         "score_short": scoring.score_short(sess),
+        "price_tier_alt": basket.price_tier(stg, alt_order=True),
+        "device_friction_by_session": friction.device_friction(stg, feats, grain="session", scores=scores),
+        "bundle_strategy_fixed": basket.bundle_strategy(stg, feats, tiers=tiers, scores=scores, mid_name=basket.MID),
+        "segment_ci_depth": significance.segment_ci_table(depth_counts),
+        "segment_ci_intensity": significance.segment_ci_table(intensity_counts),
+        "segment_compare_intensity": significance.segment_compare(
+            intensity_counts, "Super Heavy|85", "Light|24개 이하", regex=True,
+            bands=stats.EFFECT_BANDS_INTENSITY, default_label=stats.EFFECT_DEFAULT_INTENSITY),
+        "chi_square_kx2_depth": significance.chi_square_segments(depth_counts),
+        "chi_square_kx2_intensity": significance.chi_square_segments(intensity_counts),
+        "segment_lookup": segments.segment_lookup(deep, "depth_segment", "12-24"),
+        "exclude_items": clean,
+        "main_category": clean.select("item_name", "item_category", cart.main_category(F.col("item_category")).alias("main_category")),
+        "loss_count_correlation": cart.loss_count_correlation(clean).select(F.round("pearson_r", 10).alias("pearson_r")),
+        "cart_top_n_value": cart.cart_top_n(clean, "total_lost_revenue"),
+        "cart_top_n_sessions": cart.cart_top_n(clean, "abandoned_session_count"),
+        "cart_top_n_average": cart.cart_top_n(clean, "avg_lost_value"),
+        "hidden_gems": promo.hidden_gems(quality),
     }
     return out
 
@@ -115,7 +145,7 @@ def write_all(models: Mapping[str, DataFrame], base: str, fmt: str = "parquet")
     paths = {}
     for name, df in models.items():
         path = f"{base.rstrip('/')}/{name}"
-        if name == "stg_events":
+        if name == "stage_events":
             io.write_staged(df, path)
         else:
             io.write_mart(df, path, fmt)

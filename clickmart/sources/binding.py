@@ -2,10 +2,9 @@
 web-analytics event schema the staging model reads.
 
 The derivation uses integer arithmetic only, so Spark and the DuckDB oracle
-produce identical rows.  It is a Spark job in its own right: item events are
-joined to their order's lines (both sides hash-partitioned on the order key)
-and the lines are folded into one bounded item array per event on that same
-partitioning, so building the nested rows adds no further exchange.
+produce identical rows.  Order lines are folded into one bounded item array
+per order; the events, untouched and one row each even where an id repeats,
+are then joined to them.
 """
 
 from __future__ import annotations
@@ -16,7 +15,12 @@ from pyspark.sql import functions as F
 # Fixed values of the binding (they define the test data, see FIXTURES.md §2.2).
 TEN_DAYS_US = 864_000_000_000
 TWO_DAYS_US = 172_800_000_000
+HUNDRED_DAYS_US = 8_640_000_000_000
 HOUR_US = 3_600_000_000
+VISIT_US = 5_400_000_000  # no session is longer than 90 minutes
+HEAVY_USER = 4  # last digit of the users whose events are one session, errors counting as views
+NO_SESSION_EVERY, NO_SESSION_REST = 97, 50  # events without a session id
+RARE_CLICK = 40  # one in so many clicks on the last promotion is kept
 ITEM_EVENTS = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
 PROMO_EVENTS = ["view_promotion", "select_promotion"]
 PAGE_URL_PREFIX = "https://shop.example/p/"
@@ -36,14 +40,15 @@ def _param(key: str, *, string_value: Column | None = None, int_value: Column |
     return p if present is None else F.when(present, p)
 
 
-def _event_name(event_type: Column, k: Column) -> Column:
+def _event_name(event_type: Column, k: Column, heavy: Column) -> Column:
+    clicked = (k < 75) | (F.col("event_id") % RARE_CLICK == 0)
     return (
         F.when(event_type == "view", F.when(k % 5 == 0, "view_promotion").otherwise("view_item"))
-        .when(event_type == "click", F.when(k % 5 == 0, "select_promotion").otherwise("add_to_cart"))
+        .when(event_type == "click", F.when(k % 5 != 0, "add_to_cart").when(clicked, "select_promotion").otherwise("page_view"))
         .when(event_type == "signup", F.when(k < 50, "session_start").otherwise("view_search_results"))
         .when(event_type == "purchase",
               F.when(k < 12, "purchase").when(k < 60, "begin_checkout").otherwise("add_payment_info"))
-        .when(event_type == "error", "page_view")
+        .when(event_type == "error", F.when(heavy, "view_item").otherwise("page_view"))
     )
 
 
@@ -57,27 +62,20 @@ def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def bind_events(events: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Driver tables -> nested events (schema ``clickmart.schemas.NESTED_EVENT``)."""
     uid = F.col("uid")
-    even = uid % 2 == 0
+    heavy = uid % 10 == HEAVY_USER
     ev = events.select(
         "event_id", F.col("user_id").alias("uid"), "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        F.when(even, F.lit(TEN_DAYS_US)).otherwise(F.lit(TWO_DAYS_US)).alias("blen"),
-        F.when(even, F.lit(160)).otherwise(F.lit(32)).alias("stretch"),
-    )
+    ).withColumn("blen", F.when(heavy, F.lit(HUNDRED_DAYS_US)).when(uid % 2 == 0, F.lit(TEN_DAYS_US)).otherwise(F.lit(TWO_DAYS_US)))
     ev = ev.withColumn("ga_session_id", F.expr("us div blen")).withColumn(
-        "ts_us",
-        F.expr("(us div blen) * blen + (uid % 24) * 3600000000L + (us % blen) div stretch"),
-    ).withColumn("event_name", _event_name(F.col("event_type"), F.col("k")))
+        "ts_us", F.expr(f"(us div blen) * blen + (uid % 24) * {HOUR_US}L + (us % blen) div (blen div {VISIT_US}L)"),
+    ).withColumn("event_name", _event_name(F.col("event_type"), F.col("k"), heavy))
 
-    lines = order_lines(lineitem, part)
-    flat = ev.join(lines, (ev.event_id == lines.l_orderkey) & ev.event_name.isin(*ITEM_EVENTS), "left")
+    # An order has a bounded number of lines, so the array is small.
     line = F.struct("l_linenumber", "p_partkey", "p_name", "p_brand", "p_type", "l_quantity")
-    # An order has a bounded number of lines, so the per-event array is small.
-    ev = flat.groupBy("event_id").agg(
-        *[F.first(c).alias(c) for c in ["uid", "event_type", "value", "k", "ga_session_id", "ts_us", "event_name"]],
-        F.array_sort(F.collect_list(F.when(F.col("l_orderkey").isNotNull(), line))).alias("lines"),
-    )
+    orders = order_lines(lineitem, part).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    ev = ev.join(orders, (ev.event_id == orders.l_orderkey) & ev.event_name.isin(*ITEM_EVENTS), "left").drop("l_orderkey")
 
     k = F.col("k")
     mod4 = uid % 4
@@ -90,7 +88,7 @@ def bind_events(events: DataFrame, lineitem: DataFrame, part: DataFrame) -> Data
                present=mod4 == 3),
         _param("page_title", string_value=F.concat(F.lit("Page "), (k % 10).cast("string"))),
         _param("page_location", string_value=F.concat(F.lit(PAGE_URL_PREFIX), k.cast("string"))),
-        _param("ga_session_id", int_value=F.col("ga_session_id")),
+        _param("ga_session_id", int_value=F.col("ga_session_id"), present=F.col("event_id") % NO_SESSION_EVERY != NO_SESSION_REST),
         _param("session_engaged", int_value=(k % 2).cast("bigint"), present=F.col("event_id") % 3 != 0),
         _param("engagement_time_msec", int_value=(k * 100).cast("bigint"), present=k >= 10),
     ), lambda p: p.isNotNull())

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,10 @@ MART_SCHEMAS: dict[str, str] = {
     "promo_quality": "promotion_name string, ctr_percent double, click_sessions long, avg_session_score double, "
                      "high_intent_session_count long, promo_cvr double, promo_status string",
     "time_to_conversion": "minutes_to_buy long, time_bucket string, session_count long, avg_order_value double",
+    "bundle_strategy": "product_A string, price_A double, tier_A string, product_B string, price_B double, tier_B string, "
+                       "pair_sales_count long, avg_buyer_score double, high_intent_ratio double, bundle_strategy_type string",
+    "core_sessions": "session_unique_id string, user_pseudo_id string, engagement_grade string, engagement_score long, "
+                     "full_path string, path_length long, is_converted int, is_missed_opportunity boolean",
 }
 
 
@@ -67,9 +72,12 @@ def write_events(df: DataFrame, path: str) -> None:
      .partitionBy("event_date").parquet(path))
 
 
-def write_staged(stg: DataFrame, path: str) -> None:
-    """Staged rows partitioned by ``event_date`` (daily re-runs overwrite their dates only)."""
-    write_events(stg, path)
+def write_staged(stg: DataFrame, path: str, daily: bool = False) -> None:
+    """Staged rows partitioned by ``event_date`` and sorted by ``event_name`` within a file.
+
+    A full refresh by default; ``daily`` replaces only the dates present."""
+    (stg.hint("rebalance", "event_date").sortWithinPartitions("event_date", "event_name").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if daily else "static").partitionBy("event_date").parquet(path))
 
 
 def write_mart(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
@@ -105,13 +113,15 @@ def read_mart_csv(spark: SparkSession, path: str, name: str | None = None, schem
 
 
 def load_marts(spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv") -> dict[str, DataFrame]:
-    """Load the marts that exist; missing ones are skipped (not an error)."""
+    """Load the marts that exist; a missing path is skipped, any other failure is raised."""
     out = {}
     for name, path in paths.items():
         try:
             df = read_mart_csv(spark, path, name) if fmt == "csv" else spark.read.format(fmt).load(path)
             df.schema  # resolves the path now: a missing mart raises here
-        except Exception:  # noqa: BLE001 - absent mart
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         out[name] = df
     return out

@@ -15,17 +15,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickmart.conf import ensure_checkpoint_dir
 from clickmart.operators.staging import stage_events
 from clickmart.schemas import NESTED_EVENT
 
 
 def stage_events_stream(spark: SparkSession, source_path: str, sink_path: str,
-                        checkpoint_path: str | None = None, start_date: str | None = None,
+                        checkpoint_path: str, start_date: str | None = None,
                         end_date: str | None = None, available_now: bool = True,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming staging job; returns the running query.
 
+    ``checkpoint_path`` is this job's own folder (one for each source and
+    sink, shared by the executors): two jobs in one folder would continue
+    each other's batches.
+
     ``available_now=True`` processes everything present and stops (a
     scheduled daily run); otherwise it keeps polling for new shards."""
     reader = spark.readStream.schema(NESTED_EVENT)
@@ -33,8 +36,6 @@ def stage_events_stream(spark: SparkSession, source_path: str, sink_path: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source_path)
     staged = stage_events(events, start_date, end_date)
-    if checkpoint_path is None:
-        checkpoint_path = ensure_checkpoint_dir(spark).rstrip("/") + "/clickmart-stream-staging"
     writer = (staged.writeStream.format("parquet")
               .option("path", sink_path)
               .option("checkpointLocation", checkpoint_path)

@@ -16,7 +16,7 @@ from clickmart.plans import registry
 from fixtures import ev, frame, item
 from tools.check_oracle import rows_of
 
-RAW = {"stage_events", "market_basket_orders"}  # read the driver tables directly
+RAW = {"stage_events", "market_basket_orders", "events_export_roundtrip"}  # read the driver tables directly
 NAMES = ["session_start", "view_item", "view_item", "view_item", "add_to_cart", "add_to_cart", "begin_checkout",
          "add_payment_info", "purchase", "view_search_results", "page_view", "view_promotion", "select_promotion"]
 CATALOG = [("Google Bag", "Home/Bags/"), ("Tee", "Home/Apparel/Men's/"), ("Cap", "Home/Shop by Brand/YouTube/"),
@@ -68,7 +68,7 @@ def test_all_operators_match_sql_on_messy_fixture(spark, monkeypatch, seed):
     monkeypatch.setattr(registry, "stg", lambda spark_, sf: staged)
     monkeypatch.setattr(registry, "feats", lambda spark_, sf: S.session_features(staged))
     # fixture models are built in place, not cached as tables under a source signature
-    monkeypatch.setattr(materialize, "table", lambda spark_, name, sig, build, partition_by=(): build())
+    monkeypatch.setattr(materialize, "table", lambda spark_, name, sig, build, **layout: build())
     con = duckdb.connect()
     con.sql("SET TimeZone='UTC'")
     pdf = staged.toPandas()

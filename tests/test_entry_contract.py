@@ -6,14 +6,15 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from clickmart.plans import registry  # noqa: E402
+
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 def test_keys():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"chi_square_pvalues"}
-    assert all(isinstance(sql, str) and sql.strip() for sql in ORACLE.values())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
+    assert all(isinstance(sql, str) and sql.strip() for sql in E.oracle_sql().values())
 
 
 @pytest.mark.parametrize("name", ["funnel_overall", "cart_abandon", "bundle_strategy", "segment_compare",

@@ -24,14 +24,35 @@ def test_session_features_one_shuffle(spark):
     assert s.count("Exchange hashpartitioning") == 1
 
 
-def test_percent_rank_window_only_over_histogram(spark):
-    s = plan(scoring.engage_lift_score(registry.feats(spark, SF_SMALL)))
-    # the only single-partition exchange feeds the window from the score histogram
-    lines = s.splitlines()
-    idx = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert len(idx) == 1
-    below = "\n".join(lines[idx[0]:idx[0] + 4])
-    assert "HashAggregate" in below and "engagement_score" in below
+def test_score_grades_without_a_session_join(spark):
+    df = scoring.engage_lift_score(registry.feats(spark, SF_SMALL))
+    s = plan(df)
+    assert "Join" not in s
+    # the unpartitioned window reads the score histogram, never the sessions
+    window = s[s.index("Window "):]
+    assert "HashAggregate" in window and window.index("SinglePartition") < window.index("HashAggregate")
+
+
+def test_histogram_is_bounded_by_the_scores(spark):
+    feats = registry.feats(spark, SF_SMALL)
+    rows = scoring.rank_histogram(feats, "engagement_score").count()
+    total = feats.agg({"engagement_score": "sum"}).first()[0]
+    assert rows <= (2 * total) ** 0.5 + 1
+
+
+def test_cart_exchanges(spark):
+    """Cart rows to sessions, item totals to items; the abandoned sessions are the semi-join's other side."""
+    s = plan(cart.cart_abandon(registry.stg(spark, SF_SMALL), registry.graded(spark, SF_SMALL).select("session_unique_id")))
+    assert "Expand" not in s and s.count("Exchange hashpartitioning") <= 3
+    assert s.count("Exchange hashpartitioning(item_name") == 1
+
+
+def test_price_tier_reads_views_once(spark):
+    from clickmart.operators.basket import price_tier
+    df = price_tier(registry.stg(spark, SF_SMALL))
+    df.collect()
+    s = plan(df).split("== Initial Plan ==")[0]
+    assert "percentile" not in s
 
 
 def test_cart_uses_semi_join(spark):

@@ -81,6 +81,22 @@ def test_browsing_styles(spark):
     assert got == {"u1-1": segments.LIGHT, "u1-2": segments.DEEP, "u1-3": segments.VARIETY, "u1-4": segments.OTHERS}
 
 
+def test_coverage_ignores_the_null_session(spark):
+    rows = [ev("2024-01-05 10:00:00", "view_item", gsid=1, items=[item("A")]), ev("2024-01-05 10:00:00", "view_item", gsid=None, items=[item("A")])]
+    level = sessions.session_level(sessions.session_features(staged(spark, rows)))
+    got = segments.segment_coverage(level).collect()[0]
+    assert (got.segment_sessions, got.total_sessions, got.coverage_percent) == (1, 2, 50.0)
+    assert sum(r.session_count for r in segments.browsing_style_summary(segments.browsing_style(level)).collect()) == 1
+
+
+def test_core_sessions_from_staged_rows_equal_those_from_paths(spark):
+    rows = [ev(f"2024-01-05 10:0{m}:00", n, gsid=g) for g in (1, 2, None) for m, n in enumerate(["view_item", "add_to_cart", "purchase"][:g or 3])]
+    stg = staged(spark, rows)
+    f = sessions.session_features(stg)
+    a = scoring.core_sessions(f, sessions.session_paths(stg)).collect()
+    assert sorted(map(str, a)) == sorted(map(str, scoring.core_sessions(f, stg=stg).collect()))
+
+
 def test_depth_and_intensity_buckets(spark):
     items = F.col("n")
     df = spark.createDataFrame([(n,) for n in [3, 11, 12, 24, 25, 36, 37, 84, 85]], "n long")

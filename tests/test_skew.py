@@ -50,7 +50,7 @@ def test_hot_keys_match_sql_with_skew_splitting(spark, monkeypatch):
         monkeypatch.setattr(registry, "stg", lambda spark_, sf: staged)
         monkeypatch.setattr(registry, "feats", lambda spark_, sf: S.session_features(staged))
         # fixture models are built in place, not cached as tables under a source signature
-        monkeypatch.setattr(materialize, "table", lambda spark_, name, sig, build, partition_by=(): build())
+        monkeypatch.setattr(materialize, "table", lambda spark_, name, sig, build, **layout: build())
         pdf = staged.toPandas()
         hot_share = (pdf["session_unique_id"] == "hot-1").mean()
         assert hot_share > 0.3
@@ -73,3 +73,31 @@ def test_hot_keys_match_sql_with_skew_splitting(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_huge_basket_is_spread_over_tasks(spark):
+    """Default skew thresholds, no broadcast: one basket of 3,000 items and many small ones."""
+    from pyspark.sql import functions as F
+
+    from clickmart.operators.basket import weighted_pairs
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(3000).select(F.lit("big").alias("t"), F.format_string("i%05d", "id").alias("i"))
+        small = spark.range(4000).select(F.format_string("s%d", F.expr("id div 2")).alias("t"), F.format_string("i%05d", F.expr("id % 50")).alias("i"))
+        pairs = weighted_pairs(big.union(small).repartition(8), "t", None, "i")
+        by_task = {r["p"]: r["n"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert sum(by_task.values()) == 3000 * 2999 // 2 + 2000
+        assert len(by_task) >= 4 and max(by_task.values()) < 0.5 * sum(by_task.values())
+        small_blocks = weighted_pairs(small, "t", None, "i", block_items=1)
+        assert sorted(map(tuple, small_blocks.collect())) == sorted(map(tuple, weighted_pairs(small, "t", None, "i").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_path_pieces_of_a_busy_hour(spark):
+    staged = stage_events(frame(spark, hot_events()))
+    whole = S.session_paths(staged)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, S.session_paths(staged, max_rows=7).collect()))
+    pieces = S.session_path_pieces(staged, max_rows=7).where("session_unique_id = 'hot-1'").collect()
+    assert len(pieces) > 40 and max(r.path_length for r in pieces) < 110

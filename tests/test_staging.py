@@ -43,12 +43,32 @@ def test_params_session_and_member(spark):
     assert got["u3"].session_source is None
 
 
-def test_duplicate_param_first_or_strict(spark):
+def test_duplicate_param_is_an_error(spark):
     rows = [ev("2024-01-05 10:00:00", "page_view", params={"source": "a"}, extra_params=[("source", ("b", None))])]
     df = frame(spark, rows)
-    assert stage_events(df).collect()[0].session_source == "a"
-    with pytest.raises(Exception):
-        stage_events(df, strict_params=True).collect()
+    with pytest.raises(Exception, match="occurs more than once"):
+        stage_events(df).collect()
+    assert stage_events(df, strict_params=False).collect()[0].session_source == "a"
+
+
+def test_export_without_ids_has_a_tie_break(spark):
+    rows = [ev("2024-01-05 10:00:00", "view_item", items=[item("A")]), ev("2024-01-05 10:00:00", "view_item", items=[item("B")]),
+            ev("2024-01-05 10:00:00", "page_view", event_id=77)]
+    named = frame(spark, rows)
+    for df in (named.withColumn("event_id", F.when(F.col("event_id") == 77, F.col("event_id"))), named.drop("event_id")):
+        got = stage_events(df).collect()
+        ids = {(r.event_name, r.item_name): r.event_id for r in got}
+        assert len(set(ids.values())) == 3 and None not in ids.values()
+        assert sorted(map(tuple, got), key=str) == sorted(map(tuple, stage_events(df.repartition(3)).collect()), key=str)
+    assert {r.event_id for r in stage_events(named).collect()} >= {77}
+
+
+def test_binding_keeps_repeated_events(spark):
+    from clickmart.sources.binding import bind_events, read_tables
+    from conftest import SF_SMALL
+    t = read_tables(spark, SF_SMALL)
+    twice = t["events"].unionByName(t["events"].limit(50))
+    assert bind_events(twice, t["lineitem"], t["part"]).count() == t["events"].count() + 50
 
 
 def test_action_types(spark):

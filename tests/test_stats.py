@@ -57,6 +57,7 @@ def test_chi_square_2x2_and_compare(spark):
     assert close(r.chi2, 724.8840838181974)
     assert close(r.cohens_h, 0.41762835371651585)
     assert close(r.rate_ratio, 5.105448843590748)
+    assert close(r.p_value, 1.1604592596511883e-159, 1e-6) and r.p_text == stats.P_TEXT_BELOW
     assert r.effect_label == stats.EFFECT_DEFAULT and r.ci_non_overlap is True
     p = significance.with_p_value(c.limit(0).select(F.lit(r.chi2).alias("chi2")).union(
         spark.createDataFrame([(r.chi2,)], "chi2 double")), "chi2", 1).collect()[0]
@@ -96,12 +97,24 @@ def test_chi_square_kx2(spark, rows, chi2, p):
         assert r.p_value < 1e-300
 
 
-def test_chi2_tail_series():
-    # df 1 and 2 closed forms; df 3/4 against numeric integration of the density
-    assert close(stats._chi2_sf(3.841458820694124, 1), 0.05, 1e-9)
-    assert close(stats._chi2_sf(5.991464547107979, 2), 0.05, 1e-9)
-    assert close(stats._chi2_sf(7.814727903251178, 3), 0.05, 1e-9)
-    assert close(stats._chi2_sf(9.487729036781154, 4), 0.05, 1e-9)
+def test_chi2_tail(spark):
+    # quantiles of the 5 % tail, closed forms, and the error function over its whole range
+    cases = [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251178, 3, 0.05),
+             (9.487729036781154, 4, 0.05), (11.070497693516351, 5, 0.05), (0.0, 3, 1.0)]
+    cases += [(x, 1, math.erfc(math.sqrt(x / 2))) for x in (1e-6, 0.1, 1.0, 4.0, 7.9, 7.999, 8.0, 8.001, 9.0, 30.0, 700.0)]
+    cases += [(x, 2, math.exp(-x / 2)) for x in (0.5, 20.0)]
+    df = spark.createDataFrame([(float(x), d, p) for x, d, p in cases], "x double, dof int, p double")
+    for r in df.withColumn("got", stats.chi_square_tail(F.col("x"), F.col("dof"))).collect():
+        assert close(r.got, r.p, 1e-9), r
+    none = spark.createDataFrame([(None, 1), (1.0, None), (1.0, 0)], "x double, dof int")
+    assert all(r[0] is None for r in none.select(stats.chi_square_tail(F.col("x"), F.col("dof"))).collect())
+    assert "Python" not in none.select(stats.chi_square_tail(F.col("x"), F.col("dof")))._jdf.queryExecution().toString()
+
+
+def test_rate_ratio_to_zero(spark):
+    c = counts(spark, [("a", 10, 5), ("b", 10, 0)])
+    assert significance.segment_compare(c, "a", "b").collect()[0].rate_ratio == 0.0
+    assert significance.segment_compare(c, "a", "b", zero_ratio=None).collect()[0].rate_ratio is None
 
 
 def test_intensity_compare_labels(spark):
