@@ -49,14 +49,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all values, null as empty, and the n + 1 offsets of the values."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
+    """Bytes of all values, null as empty, and the n + 1 offsets of the values.  Copies no text unless there are nulls."""
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, ends, data = column.buffers()
+    if ends is None or not len(column):
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    offsets = np.frombuffer(ends, width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def slices(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive documents of about ``limit`` bytes; a longer document is one by itself."""
     i, n = 0, len(offsets) - 1
     while i < n:

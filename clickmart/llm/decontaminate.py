@@ -157,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     def matched(text: pa.Array) -> pa.Array:
         data, offsets = utf8(text)
         n_words, n_hit, longest, items = [], [], [], []
-        for i, j in slices(offsets, 4 << 20):
+        for i, j in slices(offsets, 2 << 20):
             buf = LOWER[data[offsets[i]:offsets[j]]]
             starts, ends, first = words(buf, offsets[i:j + 1] - offsets[i], ALNUM)
             h = hashes(buf, starts, ends)
