@@ -151,7 +151,7 @@ def judge(pages: DataFrame, listing: DataFrame, rules=RULES, n_slices: int = 1,
 
     The key universe is every domain of every page's host, so membership is
     exact for each of them.  A list whose filters would not fit
-    ``max_filter_bytes`` is cut into ``n_slices`` by the domain's last two
+    ``max_filter_bytes`` is cut into ``n_slices`` by the host's last two
     labels; each slice has its own cascade and its own pass over its pages.
     """
     spark = pages.sparkSession
@@ -162,11 +162,13 @@ def judge(pages: DataFrame, listing: DataFrame, rules=RULES, n_slices: int = 1,
     def slice_of(domain: Column) -> Column:
         return F.pmod(F.xxhash64(F.substring_index(domain, ".", -2)), F.lit(n_slices))
 
-    keys = base.select("host").distinct().select(F.explode(domains_of(F.col("host"))).alias("d")).distinct()
+    # A short domain such as ``net`` belongs to every slice that has a host below it.
+    keys = (base.select("host").distinct().select(slice_of(F.col("host")).alias("slice"), F.explode(domains_of(F.col("host"))).alias("d"))
+            .distinct())
     names = listing.select(F.translate(F.col("domain"), UPPER, LOWER).alias("d")).where("d is not null").distinct()
     universe = materialize(keys.join(names.withColumn("member", F.lit(True)), "d", "left")
-                           .select(F.xxhash64("d").alias("h"), F.coalesce("member", F.lit(False)).alias("member"),
-                                   slice_of(F.col("d")).alias("slice")), "url-universe")
+                           .select(F.xxhash64("d").alias("h"), F.coalesce("member", F.lit(False)).alias("member"), "slice"),
+                           "url-universe")
     verdicts = {v: [r for r, x in rules if x == v] for v in ("allow", "block")}
     parts = []
     for s in range(n_slices):

@@ -101,7 +101,7 @@ def test_repeated_phrases(docs, rows):
     key = {(r["doc_id"], r["text"]): r["k"] for r in docs.select("doc_id", "text", phrase_dedup._block_key().alias("k")).collect()}
     distinct = sorted({(r[0], r[1]) for r in rows}, key=lambda r: (r[0] is None, r[0] or 0, key[r]))
     result = dict(zip(distinct, brute.remove_repeats(distinct)))
-    assert sum(v[1] > 0 for v in result.values()) > 30
+    assert 20 < sum(v[1] > 0 for v in result.values()) < len(result)
     same_rows(got.select("doc_id", "text", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256)).collect(),
               [(r[0], r[1], *result[r[0], r[1]]) for r in rows])
 
@@ -264,7 +264,8 @@ def test_contamination(spark, docs, rows):
         out = decontaminate.contamination(docs, benchmark, block_bytes=block)
         same_rows(out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect(), expected)
     longest = {r["doc_id"]: r["longest_match"] for r in out.collect()}
-    assert longest[108] >= 40 and longest[104] == 2 and longest[100] == 0
+    # words 50 to 90 are covered by two items; the longest single match is the second item's 35 words
+    assert longest[108] == 35 and longest[104] == 2 and longest[100] == 0
     assert decontaminate.clean(docs, benchmark).count() == sum(not e[-1] for e in expected)
     assert decontaminate.contamination(docs, benchmark.limit(0)).where("n_hit > 0").count() == 0
 
