@@ -42,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        n = max(n, 1 << 20)
+        n = max(n, 1 << 19)
         with np.errstate(over="ignore"):
             _POWERS[:] = [np.multiply.accumulate(np.full(n, b, np.uint64)) for b in (_BASE, _BASE_INV)]
     return _POWERS[0], _POWERS[1]
@@ -87,15 +87,21 @@ def words(buf: np.ndarray, bounds: np.ndarray, word: np.ndarray) -> tuple[np.nda
     return starts, np.flatnonzero(is_word & ~after) + 1, np.searchsorted(starts, bounds)
 
 
-def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range."""
-    if not len(buf):
-        return np.zeros(len(starts), np.uint64)
-    up, down = _powers(len(buf) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
-        return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """64-bit hash of each byte range, in runs of ranges that span about ``step`` bytes, which bounds the working memory."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + step)))
+        low, a, b = starts[i], starts[i:j] - starts[i], ends[i:j] - starts[i]
+        n = int(b[-1])
+        up, down = _powers(n + 1)
+        with np.errstate(over="ignore"):
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTE[buf[low:low + n]] * up[:n], out=total[1:])
+            out[i:j] = mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        i = j
+    return out
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

@@ -43,10 +43,10 @@ def load_encoder(path: str):
     import tiktoken
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer, pre_tokenizers
-    slow = Tokenizer.from_file(path)
+    slow = lru_cache(maxsize=1)(lambda: Tokenizer.from_file(path))  # loaded when a text needs it
 
     def exact(text: str) -> np.ndarray:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint32)
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)

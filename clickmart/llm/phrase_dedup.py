@@ -251,7 +251,7 @@ def _block_key() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
 
-def remove_repeats(docs: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, any others) with n_words, n_removed and kept_text.
 
     A window is 20 consecutive words of one document; a word goes if a window
