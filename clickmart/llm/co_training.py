@@ -2,7 +2,8 @@
 
 Two logistic classifiers see different views of a document: the words of its
 text, and its metadata (source, language, recorded length, and the page's
-layout in counts, without its words).  Starting from the labelled rows, each
+layout in counts, without its words).  A word counts by its evidence, the
+standard score of its shares in good and other labelled documents.  Starting from the labelled rows, each
 round lets each view label the rows of an unlabelled pool of which it is most
 sure, and hands them to the other view to learn from.  The views' outputs are
 then calibrated together on labelled rows set aside, and score every document.
@@ -21,7 +22,9 @@ from clickmart.llm._store import without
 from clickmart.llm._words import LOWER, SPACED, hashes, slices, utf8, words
 
 OUT = ("text_score", "meta_score", "score", "kept")
-DIMS = 1 << 17  # hashed words
+DIMS = 1 << 20  # hashed words: a rare word seldom falls on a telling one
+#: Standard scores below this are chance; a word needs more to count for the text view.
+MIN_EVIDENCE = 3.0
 N_SOURCES, N_LANGS, N_LAYOUT = 64, 32, 12
 META = ("source", "lang", "n_chars")
 
@@ -75,25 +78,49 @@ def meta_view(data: np.ndarray, bounds: np.ndarray, source: np.ndarray, lang: np
     return out
 
 
+def dampen(n: np.ndarray) -> np.ndarray:
+    """What a document of ``n`` distinct words multiplies its words' weights by; long documents are not silenced."""
+    return 1 / np.log(np.e + n)
+
+
 class Sparse:
-    """Rows of binary features, scaled to length 1."""
+    """Rows of binary features.  Each counts by its evidence: how far its shares of the two classes are apart.
 
-    def __init__(self, rows: list[np.ndarray]):
-        self.n = np.array([len(r) for r in rows], np.int64)
-        self.at = np.concatenate([np.zeros(0, np.int64), *rows])
-        self.row = np.repeat(np.arange(len(rows)), self.n)
-        self.value = (1 / np.sqrt(np.maximum(self.n, 1)))[self.row]
+    The evidence is the standard score of that difference on the rows of
+    weight above 0, less ``MIN_EVIDENCE``; features of no evidence are left
+    out, so that a few telling words are not lost among thousands of others.
+    """
+
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray):
+        n = np.array([len(r) for r in rows], np.int64)
+        at, row = np.concatenate([np.zeros(0, np.int64), *rows]), np.repeat(np.arange(len(rows)), n)
+        total = [max((weight * side).sum(), 1e-9) for side in (1 - y, y)]
+        count = [np.bincount(at, (weight * side)[row], minlength=DIMS) for side in (1 - y, y)]
+        p = (count[0] + count[1]) / (total[0] + total[1])
+        spread = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / total[0] + 1 / total[1]))
+        evidence = np.maximum(np.abs(count[0] / total[0] - count[1] / total[1]) / spread - MIN_EVIDENCE, 0) / 4
+        told = evidence[at] > 0
+        self.ids, self.at = np.unique(at[told], return_inverse=True)
+        self.row, self.n, self.evidence = row[told], len(rows), evidence[self.ids]
+        self.value = dampen(n)[self.row] * self.evidence[self.at]
+        self.dims = len(self.ids)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, w[self.at] * self.value, minlength=len(self.n))
+        return np.bincount(self.row, w[self.at] * self.value, minlength=self.n)
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.at, r[self.row] * self.value, minlength=DIMS)
+        return np.bincount(self.at, r[self.row] * self.value, minlength=self.dims)
+
+    def spread_out(self, w: np.ndarray) -> np.ndarray:
+        """Weights of all hashed features."""
+        out = np.zeros(DIMS)
+        out[self.ids] = w * self.evidence
+        return out
 
 
 class Dense:
     def __init__(self, x: np.ndarray):
-        self.x = x
+        self.x, self.dims = x, x.shape[1]
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return self.x @ w
@@ -144,12 +171,12 @@ def _calibrate(logits: np.ndarray, y: np.ndarray, steps: int = 2000) -> np.ndarr
 def co_train(text: Sparse, meta: Dense, y: np.ndarray, kind: np.ndarray, rounds: int = 4, per_round: float = 0.05) -> Model:
     """``kind``: 0 labelled, 1 set aside for calibration, 2 unlabelled pool; ``y`` counts for the first two."""
     views = (text, meta)
-    decay = (2e-5, 1e-4)
+    decay = (1e-4, 1e-4)
     share = float(y[kind == 0].mean()) if (kind == 0).any() else 0.5
     pool = np.flatnonzero(kind == 2)
     labels = [np.where(kind == 0, y, 0.0) for _ in views]
     weight = [(kind == 0).astype(float) for _ in views]
-    models = [(np.zeros(DIMS), 0.0), (np.zeros(meta.x.shape[1]), 0.0)]
+    models = [(np.zeros(v.dims), 0.0) for v in views]
     for r in range(rounds + 1):
         models = [fit_logistic(views[i], labels[i], weight[i], *models[i], decay[i], 120 if r == 0 else 40) for i in (0, 1)]
         if r == rounds or not len(pool):
@@ -169,7 +196,8 @@ def co_train(text: Sparse, meta: Dense, y: np.ndarray, kind: np.ndarray, rounds:
     z = np.clip(np.stack([views[i].dot(models[i][0]) + models[i][1] for i in (0, 1)], axis=1)[aside], -MAX_LOGIT, MAX_LOGIT)
     joint = _calibrate(z, y[aside])
     own = [tuple(_calibrate(z[:, [i]], y[aside])) for i in (0, 1)]
-    return Model(*((w.astype(np.float32), float(b)) for w, b in models), tuple(joint), tuple(own))
+    (w, b), (v, c) = models
+    return Model((text.spread_out(w).astype(np.float32), float(b)), (v.astype(np.float32), float(c)), tuple(joint), tuple(own))
 
 
 def _views(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array):
@@ -233,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
     y, kind = np.array([r[2] for r in rows], float), np.array([r[0] for r in rows], int)
     if any(len({*y[kind == k]}) < 2 for k in (0, 1)):
         return None
-    return co_train(Sparse([np.frombuffer(r[3], np.int32).astype(np.int64) for r in rows]),
+    return co_train(Sparse([np.frombuffer(r[3], np.int32).astype(np.int64) for r in rows], y, (kind == 0).astype(float)),
                     Dense(np.stack([np.frombuffer(r[4], np.float32) for r in rows]).astype(float)), y, kind)
 
 
@@ -259,7 +287,7 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataF
         for at, offsets, meta in _views(text, source, lang, n_chars):
             total = np.concatenate([[0.0], np.cumsum(m.text[0][at], dtype=np.float64)])
             n = np.diff(offsets)
-            z.append(np.stack([(total[offsets[1:]] - total[offsets[:-1]]) / np.sqrt(np.maximum(n, 1)) + m.text[1],
+            z.append(np.stack([(total[offsets[1:]] - total[offsets[:-1]]) * dampen(n) + m.text[1],
                                meta @ m.meta[0].astype(float) + m.meta[1]], axis=1))
         z = np.clip(np.concatenate(z), -MAX_LOGIT, MAX_LOGIT)
         a, b, c = m.joint

@@ -312,6 +312,9 @@ def test_co_training(spark, docs):
     good = [r["quality"] == 1 and r["toxic"] == 0 for r in held]
     assert np.mean([r["kept"] == g for r, g in zip(held, good)]) > max(np.mean(good), 0.8)
     assert np.mean([r["kept"] for r, g in zip(held, good) if g]) > 0.93
+    toxic = "lower(text) rlike '\\\\b(trash|pathetic|idiot|disgusting|worthless|stupid|clown|loser|scum|moron)\\\\b'"
+    caught = co_training.score(known.where(toxic), model).agg(F.count("*"), F.sum(F.col("kept").cast("int"))).first()
+    assert caught[0] > 50 and caught[1] < 0.2 * caught[0]
     for r in co_training.score(docs, model).collect():
         assert all(0 <= r[c] <= 1 for c in ("text_score", "meta_score", "score")) and r["size"] == "clash"
         assert r["kept"] == (r["score"] >= 0.5 and bool(brute.SPACED.search(r["text"] or "")))
@@ -321,6 +324,22 @@ def test_co_training(spark, docs):
     assert none is None and co_training.score(docs, none).where("kept").count() == docs.where(r"text rlike '[^\\x20\\x09-\\x0D]'").count()
 
 
+def test_co_training_evidence():
+    """A word of one class only tells; a common word and a word seen once do not, and rows of weight 0 do not count."""
+    rows = [np.array([1, 2] if i < 10 else [1]) for i in range(40)] + [np.array([3]), np.array([4, 5])]
+    y = np.array([0.0] * 10 + [1.0] * 30 + [0.0, 1.0])
+    weight = np.array([1.0] * 41 + [0.0])
+    x = co_training.Sparse(rows, y, weight)
+    assert x.ids.tolist() == [2] and x.n == 42
+    share, n = 10 / 11, (11, 30)
+    p = 10 / 41
+    z = share / np.sqrt(p * (1 - p) * (1 / n[0] + 1 / n[1]))
+    assert np.allclose(x.evidence, (z - co_training.MIN_EVIDENCE) / 4)
+    assert np.allclose(x.dot(np.ones(1))[:11], [x.evidence[0] / np.log(np.e + 2)] * 10 + [0])
+    none = co_training.Sparse([np.zeros(0, np.int64)] * 3, np.array([0.0, 1.0, 0.0]), np.ones(3))
+    assert none.dims == 0 and none.dot(np.zeros(0)).tolist() == [0, 0, 0] and not none.spread_out(np.zeros(0)).any()
+
+
 def test_empty_tables(spark):
     ship_package(spark)
     none = empty(spark)
