@@ -9,8 +9,9 @@
    Aho-Corasick automaton for the block, which streams the block's documents
    and locates every occurrence.  The automata are thus sharded by block, each
    bounded by the block's text, and every document is streamed once.
-3. Windows around the located phrases go to their seed's task as hashes, where
-   all but the first occurrence of each are marked.
+3. Of the windows around the located phrases a block marks all but its first
+   of each content.  That one goes, as hashes, to the task of its seed and
+   content, where all but the first occurrence over all blocks are marked.
 4. Marks return to the block, and the words under marked windows go.
 """
 
@@ -132,17 +133,18 @@ def _first_smallest(g: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return best
 
 
-#: Rows to the seeds' tasks and back.  mask: windows start, start + 1, ... that are marked (bits from 0).
-_SEGMENT = "seed long, block int, has_id boolean, doc_id long, key long, start int, mask int, hashes binary"
-_ARROW = pa.schema([("seed", pa.int64()), ("block", pa.int32()), ("has_id", pa.bool_()), ("doc_id", pa.int64()),
-                    ("key", pa.int64()), ("start", pa.int32()), ("mask", pa.int32()), ("hashes", pa.binary())])
+#: Rows to the windows' tasks.  With ``content``: one window.  Without: windows start, start + 1, ... that are
+#: marked already (bits of mask from 0).
+_SEGMENT = "seed long, content long, doc_id long, key long, start int, mask int"
+_ARROW = pa.schema([("seed", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()),
+                    ("key", pa.int64()), ("start", pa.int32()), ("mask", pa.int32())])
 
 
 def _segments(block_docs: pa.Table, recurring: pa.Table) -> pa.Table:
-    """Runs of windows with the same recurring seed, of a block's documents.
+    """Windows with a recurring seed, of a block's documents.
 
-    Of runs with the same content only the first in the block has its window
-    hashes sent on; the others come marked.
+    The first of each content in the block is a row of its own; the others
+    come marked, by runs of windows with the same seed.
     """
     empty = _ARROW.empty_table()
     if not len(block_docs) or not len(recurring):
@@ -158,79 +160,60 @@ def _segments(block_docs: pa.Table, recurring: pa.Table) -> pa.Table:
     whole, anchor = whole[keep], anchor[keep]
     if not len(whole):
         return empty
-    content = grams(b.h, WINDOW)[whole]
-    new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1)])
-    size = np.diff(np.r_[new, len(whole)])
-    doc = b.doc[whole[new]]
-    run = np.zeros(len(new), np.uint64)  # hash of the run's window hashes
-    with np.errstate(over="ignore"):
-        run = np.add.reduceat(content * (2 * (np.arange(len(content)) - np.repeat(new, size)).astype(np.uint64) + U(1)), new)
-    start = whole[new] - b.first[doc]
-    order = np.lexsort((start, b.key[doc], b.doc_id[doc], ~b.has_id[doc], size, run, g[anchor[new]]))
-    seed = g[anchor[new]]
-    again = np.zeros(len(new), bool)
+    content, seed = grams(b.h, WINDOW)[whole], g[anchor]
+    rank = np.empty(len(b.key), np.int64)
+    rank[np.lexsort((b.key, b.doc_id, ~b.has_id))] = np.arange(len(b.key))
+    order = np.lexsort((whole, rank[b.doc[whole]], content, seed))
     x, y = order[1:], order[:-1]
-    again[x] = (seed[x] == seed[y]) & (run[x] == run[y]) & (size[x] == size[y])
-    data = content.tobytes()
-    sent = [None if a else data[8 * s:8 * (s + n)] for a, s, n in zip(again.tolist(), new.tolist(), size.tolist())]
+    again = np.zeros(len(whole), bool)
+    again[x] = (content[x] == content[y]) & (seed[x] == seed[y])
+    new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1)])
+    place = np.arange(len(whole)) - np.repeat(new, np.diff(np.r_[new, len(whole)]))
+    mask = np.add.reduceat(again.astype(np.int64) << place, new)
+    at = np.r_[np.flatnonzero(~again), new[mask > 0]]
+    n = len(whole) - int(again.sum())
+    doc, single = b.doc[whole[at]], np.arange(len(at)) < n
     return pa.Table.from_arrays([
-        pa.array(seed.view(np.int64)), pa.array(np.full(len(new), block_docs.column(_BLOCK)[0].as_py(), np.int32)),
-        pa.array(b.has_id[doc]), pa.array(b.doc_id[doc]), pa.array(b.key[doc]), pa.array(start.astype(np.int32)),
-        pa.array(np.where(again, (1 << size) - 1, 0).astype(np.int32)), pa.array(sent, pa.binary())], schema=_ARROW)
+        pa.array(seed[at].view(np.int64)), pa.array(content[at].view(np.int64), mask=~single),
+        pa.array(b.doc_id[doc], mask=~b.has_id[doc]), pa.array(b.key[doc]), pa.array((whole[at] - b.first[doc]).astype(np.int32)),
+        pa.array(np.r_[np.zeros(n, np.int32), mask[mask > 0].astype(np.int32)])], schema=_ARROW)
 
 
 def _mark(batches: Iterator[pa.RecordBatch], hold: int = 300_000) -> Iterator[pa.RecordBatch]:
-    """Of segments sorted by seed: marks of all windows but the first of each content."""
-    names = ["block", "key", "start", "mask"]
-
-    def marks(t: pa.Table) -> pa.RecordBatch:
-        col = {n: t.column(n).to_numpy() for n in ("seed", "block", "has_id", "doc_id", "key", "start", "mask")}
-        sent = t.column("hashes").combine_chunks()
-        if isinstance(sent, pa.ChunkedArray):
-            sent = pa.concat_arrays(sent.chunks)
-        sent = sent.cast(pa.large_binary()).fill_null(b"")
-        offsets = np.frombuffer(sent.buffers()[1], np.int64)[sent.offset:sent.offset + len(sent) + 1]
-        size = np.diff(offsets) // 8
-        content = np.frombuffer(sent.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.uint64) if offsets[-1] > offsets[0] else np.zeros(0, np.uint64)
-        of = np.repeat(np.arange(len(size)), size)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-        order = np.lexsort((col["start"][of] + place, col["key"][of], col["doc_id"][of], ~col["has_id"][of], content, col["seed"][of]))
-        x, y = order[1:], order[:-1]
-        again = x[(content[x] == content[y]) & (col["seed"][of[x]] == col["seed"][of[y]])]
-        mask = col["mask"].astype(np.int64).copy()
-        np.bitwise_or.at(mask, of[again], np.int64(1) << place[again])
-        out = mask > 0
-        return pa.RecordBatch.from_arrays([pa.array(col["block"][out]), pa.array(col["key"][out]), pa.array(col["start"][out]),
-                                           pa.array(mask[out].astype(np.int32))], names=names)
-
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for b in batches:
-        held.append(b)
-        rows += len(b)
-        if rows < hold:
-            continue
-        t = pa.Table.from_batches(held)
-        seed = t.column("seed").to_numpy()
-        end = int(np.searchsorted(seed, seed[-1]))  # the last seed's rows may go on
-        if end:
-            yield marks(t.slice(0, end))
-            held, rows = t.slice(end).to_batches(), len(t) - end
-    if held:
-        yield marks(pa.Table.from_batches(held))
+    """Of rows sorted by seed, content and place: marks of all windows but the first of each content.
+
+    Of earlier rows only the last one's window is held; at most ``hold`` rows are worked on at a time.
+    """
+    last = None
+    for whole in batches:
+        for i in range(0, len(whole), hold):
+            b = whole.slice(i, hold)
+            col = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("seed", "key", "start", "mask")}
+            single = b.column("content").is_valid().to_numpy(zero_copy_only=False)
+            seed, content = col["seed"], b.column("content").fill_null(0).to_numpy()
+            again = np.zeros(len(b), bool)
+            again[1:] = single[1:] & single[:-1] & (content[1:] == content[:-1]) & (seed[1:] == seed[:-1])
+            again[0] = single[0] and last == (seed[0], content[0])
+            last = (seed[-1], content[-1]) if single[-1] else None
+            mask = np.where(again, np.int32(1), col["mask"])
+            out = mask > 0
+            yield pa.RecordBatch.from_arrays([pa.array(col["key"][out]), pa.array(col["start"][out]), pa.array(mask[out])],
+                                             names=["key", "start", "mask"])
 
 
 def _strip(block_docs: pa.Table, marks: pa.Table) -> pa.Table:
     """The block's rows with counts and kept words."""
-    at: dict[int, list[tuple[int, int]]] = {}
-    for key, start, mask in zip(*(marks.column(n).to_pylist() for n in ("key", "start", "mask"))):
-        at.setdefault(key, []).append((start, mask))
+    of, starts, masks = (marks.column(n).to_numpy() for n in ("key", "start", "mask"))
+    order = np.argsort(of, kind="stable")
+    of, starts, masks = of[order], starts[order].astype(np.int64), masks[order]
+    keys = block_docs.column(_KEY).to_numpy()
+    low, high = np.searchsorted(of, keys), np.searchsorted(of, keys, side="right")
     n_words, n_removed, kept = [], [], []
-    for key, text in zip(block_docs.column(_KEY).to_pylist(), block_docs.column("text").to_pylist()):
+    for i, j, text in zip(low.tolist(), high.tolist(), block_docs.column("text").to_pylist()):
         w = (text or "").encode().split()
         cover = np.zeros(len(w) + 1, np.int64)
-        if key in at:
-            start, mask = (np.array(v, np.int64) for v in zip(*at[key]))
+        if i < j:
+            start, mask = starts[i:j], masks[i:j]
             for k in range(_WIDTH):
                 s = start[mask >> k & 1 == 1] + k
                 np.add.at(cover, s, 1)
@@ -266,8 +249,9 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
 
     Windows are compared by 64-bit hashes within the group of their seed's
     64-bit hash.  Text is shuffled once (both block steps read the same
-    exchange); seeds, about one for every seven words, and the runs of
-    recurring windows are the other shuffles.
+    exchange); seeds, about one for every seven words, one row for each block
+    and different window with a recurring seed, and the marks are the other
+    shuffles.
     """
     base = without(docs, *OUT).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -278,9 +262,11 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     recurring = (counted.withColumn("all", F.sum("n").over(Window.partitionBy("seed"))).where("all > 1")
                  .select("seed", F.col("block").alias(_BLOCK)))
     segments = (keyed.groupBy(_BLOCK).cogroup(recurring.groupBy(_BLOCK)).applyInArrow(_segments, _SEGMENT))
-    spread = F.when(F.col("hashes").isNull(), F.xxhash64("key", "start")).otherwise(F.col("seed"))
-    marks = (segments.repartition(spread).sortWithinPartitions("seed")
-             .mapInArrow(_mark, "block int, key long, start int, mask int").withColumnRenamed("block", _BLOCK))
+    # A window's task gets at most one row of it from each block, however many documents share its seed.
+    spread = F.when(F.col("content").isNull(), F.xxhash64("key", "start")).otherwise(F.xxhash64("seed", "content"))
+    marks = (segments.repartition(spread).sortWithinPartitions("seed", "content", F.col("doc_id").asc_nulls_last(), "key", "start")
+             .mapInArrow(_mark, "key long, start int, mask int")
+             .withColumn(_BLOCK, F.pmod(F.col("key"), F.lit(n_blocks)).cast("int")))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return keyed.groupBy(_BLOCK).cogroup(marks.groupBy(_BLOCK)).applyInArrow(_strip, schema)

@@ -120,6 +120,25 @@ def test_repeated_phrases_hold_in_small_steps(rows):
     assert flat[0] == flat[1] and flat[0]
 
 
+def test_repeated_phrases_of_a_hot_seed(spark):
+    """A passage in every document: its windows and those at its edges are spread, with one row for each window and block."""
+    ship_package(spark)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, " ".join([*(f"a{i}x{k}" for k in range(25)), passage, *(f"b{i}x{k}" for k in range(25))])) for i in range(300)]
+    block = pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows],
+                      phrase_dedup._KEY: pa.array([zlib.crc32(t.encode()) for _, t in rows], pa.int64()),
+                      phrase_dedup._BLOCK: pa.array([0] * len(rows), pa.int32())})
+    seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
+        block.select(["text", phrase_dedup._BLOCK]).to_batches())))
+    counts = Counter(seeds.column("seed").to_pylist())
+    segments = phrase_dedup._segments(block, pa.table({"seed": [k for k in counts]})).to_pylist()
+    windows = [(r["seed"], r["content"]) for r in segments if r["content"] is not None]
+    assert len(windows) == len(set(windows)) > 300
+    got = phrase_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), block_bytes=4000)
+    same_rows(got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256)).collect(),
+              [(i, *v) for (i, _), v in zip(rows, brute.remove_repeats(rows))])
+
+
 def test_token_counts(docs, rows):
     model = token_count.load_model(public_tokenizers.path("piece_bpe_32k.model"))
     expected = [len(x) for x in model.encode([r[1] or "" for r in rows])]
