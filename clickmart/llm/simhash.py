@@ -2,8 +2,9 @@
 
 Fingerprints at most ``max_bits`` apart agree in at least one of
 ``max_bits + 1`` blocks of bits, so each distinct fingerprint is dealt once
-for each block by the block's bits.  Within such a bucket fingerprints are
-sorted by the rank of their bits in the Gray code, which puts similar ones
+for each block by the block's bits.  A bucket that is too large for a task is
+dealt again, by ``max_bits + 1`` blocks of the bits that its members need not
+share, until every bucket is small.  Within a bucket fingerprints are sorted by the rank of their bits in the Gray code, which puts similar ones
 side by side.  Runs of neighbours become nodes that hold the bits on which
 all of them agree; runs of nodes become upper nodes, and so on.  A search adds
 up the differing bits from the root down, each bit counted at the highest node
@@ -26,7 +27,7 @@ from clickmart.llm._store import materialize, without
 U = np.uint64
 ALL = U(0xFFFFFFFFFFFFFFFF)
 FAN = 8
-#: Larger buckets are indexed in pieces of this many fingerprints, each searched by the whole bucket.
+#: Buckets of more fingerprints are dealt again by further bits.
 PIECE = 20_000
 
 
@@ -149,20 +150,18 @@ def smallest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _link_bucket_rows(max_bits: int, hold: int = 200_000):
-    """Of rows sorted by bucket and Gray rank: each fingerprint linked to the smallest one of its part."""
-    def linked(key: np.ndarray, fps: np.ndarray, rank: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
-        bucket = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1).astype(np.int64)]) if len(key) else np.zeros(0, np.int64)
-        order = np.lexsort((rank, bucket))
-        fps, bucket, own = fps[order], bucket[order], own[order]
-        leaf = np.flatnonzero(own)
-        if not len(leaf):
+    """Of rows (mask, value, fp) sorted by bucket: each fingerprint linked to the smallest one of its part of the bucket."""
+    def linked(key: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        if not len(fps):
             return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names=["u", "v"])
-        index = GrayIndex(fps[leaf], bucket[leaf], max_bits)
-        x, y = index.chains()
-        label = smallest_linked(len(fps), leaf[x], leaf[y])
+        bucket = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1).astype(np.int64)])
+        order = np.lexsort((gray_rank(fps & ~key[:, 0].view(np.uint64)), bucket))
+        fps, bucket = fps[order], bucket[order]
+        index = GrayIndex(fps, bucket, max_bits)
+        label = smallest_linked(len(fps), *index.chains())
         for q, found in index.search(fps, bucket):
             # Fold each batch of pairs into the labels; pairs are never all held.
-            a, b = label[q], label[leaf[found]]
+            a, b = label[q], label[found]
             if (a != b).any():
                 label = smallest_linked(len(fps), np.r_[np.arange(len(fps)), a], np.r_[label, b])
         # Name each part by its smallest fingerprint.
@@ -177,13 +176,13 @@ def _link_bucket_rows(max_bits: int, hold: int = 200_000):
 
         def cut(whole: bool):
             nonlocal parts, rows
-            table = np.concatenate([np.zeros((0, 6), np.int64), *parts])
+            table = np.concatenate([np.zeros((0, 3), np.int64), *parts])
             if not whole:  # the last bucket may go on
-                key = table[:, :3]
+                key = table[:, :2]
                 end = len(key) - np.flatnonzero((key[::-1] != key[-1]).any(axis=1))[0] if (key != key[-1]).any() else 0
                 parts, rows = [table[end:]], len(table) - end
                 table = table[:end]
-            return linked(table[:, :3], table[:, 3].view(np.uint64), table[:, 4].view(np.uint64), table[:, 5] > 0)
+            return linked(table[:, :2], table[:, 2].view(np.uint64))
 
         for b in batches:
             parts.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns], axis=1).copy())
@@ -195,14 +194,39 @@ def _link_bucket_rows(max_bits: int, hold: int = 200_000):
     return run
 
 
-def _rotated(fp: Column, turn: int) -> Column:
-    return fp if turn == 0 else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn))
+def _further(mask: int, blocks: int) -> list[int]:
+    """``mask`` with each of ``blocks`` blocks of the bits that it has not, as signed 64-bit numbers."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    edges = [len(free) * i // blocks for i in range(blocks + 1)]
+    out = [mask % 2**64 | sum(1 << i for i in free[a:b]) for a, b in zip(edges, edges[1:])]
+    return [m - 2**64 if m >> 63 else m for m in out]
 
 
-def _rank(x: Column) -> Column:
-    for s in (1, 2, 4, 8, 16, 32):
-        x = x.bitwiseXOR(F.shiftrightunsigned(x, s))
-    return x
+def buckets(fps: DataFrame, max_bits: int = 3, piece: int = PIECE) -> DataFrame:
+    """Rows (mask, value, fp) that bring any two fingerprints at most ``max_bits`` apart together in a bucket (mask, value).
+
+    ``value`` is the bits of ``fp`` at ``mask``.  A bucket's members share
+    those, so that the bits by which two of them differ leave one of
+    ``max_bits + 1`` blocks of the other bits equal: a bucket of more than
+    ``piece`` members is dealt again by these, which makes ``max_bits + 1``
+    rows of each.  None is left larger unless all its members lie within the limit.
+    """
+    blocks = max_bits + 1
+    masks, rows, done = [0], fps.select(F.lit(0).cast("long").alias("mask"), "fp"), None
+    while True:
+        further = {m: _further(m, blocks) for m in masks}
+        deal = F.create_map(*[x for m, ms in further.items() for x in (F.lit(m).cast("long"), F.array(*[F.lit(n).cast("long") for n in ms]))])
+        rows = (rows.select(F.explode(F.element_at(deal, F.col("mask"))).alias("mask"), "fp")
+                .select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value"), "fp"))
+        # At most rows / piece buckets.  Those whose other bits are no more than the limit need no splitting.
+        large = materialize(rows.groupBy("mask", "value").count().where((F.col("count") > piece) & (64 - F.bit_count("mask") > max_bits))
+                            .select("mask", "value"), "large-buckets")
+        masks = [r["mask"] for r in large.select("mask").distinct().collect()]
+        small = rows.join(large, ["mask", "value"], "left_anti") if masks else rows
+        done = small if done is None else done.unionByName(small)
+        if not masks:
+            return done
+        rows = materialize(rows.join(large, ["mask", "value"], "left_semi").select("mask", "fp"), "dealt-again")
 
 
 def link_fingerprints(fps: DataFrame, max_bits: int = 3, piece: int = PIECE) -> DataFrame:
@@ -210,21 +234,7 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 3, piece: int = PIECE) ->
 
     Each part of a bucket that is connected in itself gives a star, not all its pairs.
     """
-    blocks = max_bits + 1
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    dealt = fps.select("fp", F.explode(F.array(*[F.struct(
-        F.lit(i).alias("table"), F.shiftrightunsigned(_rotated(F.col("fp"), edges[i]), 64 - (edges[i + 1] - edges[i])).alias("block"),
-        _rotated(F.col("fp"), edges[i]).alias("turned")) for i in range(blocks)])).alias("d")).select("fp", "d.*")
-    sizes = (dealt.groupBy("table", "block").agg(F.count("*").alias("n")).where(F.col("n") > piece)
-             .select("table", "block", F.ceil(F.col("n") / piece).cast("int").alias("pieces")))
-    own = F.pmod(F.xxhash64("fp"), F.col("pieces"))
-    rows = (dealt.join(sizes, ["table", "block"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
-            .withColumn("own_piece", own).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-            .select("table", "block", F.col("piece").cast("long").alias("piece"), "fp", "turned",
-                    (F.col("piece") == F.col("own_piece")).cast("long").alias("own")))
-    rows = (rows.repartition("table", "block", "piece").withColumn("rank", _rank(F.col("turned")))
-            .sortWithinPartitions("table", "block", "piece")
-            .select(F.col("table").cast("long"), "block", "piece", "fp", "rank", "own"))
+    rows = buckets(fps, max_bits, piece).repartition("mask", "value").sortWithinPartitions("mask", "value")
     return rows.mapInArrow(_link_bucket_rows(max_bits), "u long, v long")
 
 

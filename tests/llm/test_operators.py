@@ -222,6 +222,25 @@ def test_gray_index_finds_all_links(spark, piece):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_large_buckets_are_dealt_again(spark):
+    """Fingerprints that share a block: no bucket stays large, rows grow in proportion, and all near pairs meet."""
+    ship_package(spark)
+    rng = np.random.default_rng(9)
+    shared = (rng.integers(0, 2**48, 1500, dtype=np.uint64) | np.uint64(0xABCD << 48)).tolist()
+    near = [x ^ (1 << int(a)) ^ (1 << int(b)) for x in shared[:300] for a, b in [rng.choice(64, 2, replace=False)]]
+    fps = sorted({*shared, *near})
+    table = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long").repartition(3)
+    got = defaultdict(list)
+    for r in simhash.buckets(table, piece=50).collect():
+        assert r["value"] == r["mask"] & r["fp"]
+        got[r["mask"], r["value"]].append(r["fp"] % 2**64)
+    assert max(map(len, got.values())) <= 50 and sum(map(len, got.values())) < 8 * len(fps)
+    pairs = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    met = {(a, b) for v in got.values() for a in v for b in v if a < b and (a ^ b).bit_count() <= 3}
+    assert len(pairs) >= 300 and met == pairs
+    assert simhash._further(-1 << 16, 4) == [-1 << 16 | 0xF << 4 * i for i in range(4)]
+
+
 def test_gray_rank_orders_the_code():
     code = np.arange(1 << 10, dtype=np.uint64)
     assert (simhash.gray_rank(code ^ (code >> np.uint64(1))) == code).all()
