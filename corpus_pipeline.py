@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from clickmart.llm import decontaminate, language, packing, phrase_dedup, simhash
 from clickmart.llm._store import materialize, ship_package
 
-#: A prediction of less than this is no known language.
-MIN_LANGUAGE_SCORE = 0.2
+#: A prediction of less than this is no known language.  Of the held-out documents of sf0.1, at most 1 % of any
+#: language score less: the smallest of the languages' 1 % quantiles is 0.804.
+MIN_LANGUAGE_SCORE = 0.8
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

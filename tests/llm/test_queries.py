@@ -1,6 +1,10 @@
 """Registered queries against their SQL, and the pipeline against a brute-force version of its stages."""
 
 import hashlib
+import random
+import string
+import zlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -27,6 +31,29 @@ def test_query_matches_sql(spark, name):
     assert rows_of(shared, [tuple(r) for r in df.select(*shared).collect()]) == rows_of(shared, res.select(*shared).fetchall())
 
 
+#: Languages that the driver's documents do not have.
+UNKNOWN = (
+    "Wczoraj wieczorem poszliśmy do kina, a potem długo rozmawialiśmy o filmie przy herbacie. Pogoda była zimna i padał deszcz, więc wróciliśmy autobusem do domu.",
+    "Eilen illalla menimme elokuviin ja sen jälkeen puhuimme pitkään elokuvasta teen äärellä. Sää oli kylmä ja satoi vettä, joten palasimme bussilla kotiin.",
+    "Dün akşam sinemaya gittik ve sonra çay içerken uzun uzun film hakkında konuştuk. Hava soğuktu ve yağmur yağıyordu, bu yüzden eve otobüsle döndük.",
+    "Вчера вечером мы пошли в кино, а потом долго говорили о фильме за чаем. Погода была холодной, и шёл дождь, поэтому мы вернулись домой на автобусе.",
+    "Ieri sera siamo andati al cinema e poi abbiamo parlato a lungo del film davanti a un tè. Il tempo era freddo e pioveva, così siamo tornati a casa in autobus.",
+    "昨日の夜、私たちは映画館に行き、その後お茶を飲みながら映画について長い間話しました。天気は寒く、雨が降っていたので、バスで家に帰りました。",
+    "Tegnap este moziba mentünk, aztán sokáig beszélgettünk a filmről tea mellett. Az idő hideg volt és esett az eső, ezért busszal mentünk haza.")
+
+
+def test_pipeline_rejects_unknown_languages(spark):
+    """Unlearned languages and letter noise go; of the held-out documents of each language nearly all stay."""
+    rng = random.Random(1)
+    noise = [" ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 9))) for _ in range(60)) for _ in range(6)]
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    strange = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate([*UNKNOWN, *noise])], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, known.unionByName(strange), "").collect()
+    assert not [r for r in kept if r["doc_id"] < 0]
+    all_of, kept_of = (Counter(r["lang"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for rows in (known.collect(), kept))
+    assert len(all_of) == 4 and all(kept_of[x] >= 0.95 * n for x, n in all_of.items())
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage on its own input; texts, kept documents and pieces as by plain Python."""
     rows = [r for r in messy_rows() if r[0] is not None and (r[0], r[1]) != (113, messy_rows()[1][1])]
