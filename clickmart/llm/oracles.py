@@ -1,4 +1,4 @@
-"""DuckDB SQL for the queries that SQL can express: line frequency, suffix matches, URL verdicts and repeated passages."""
+"""DuckDB SQL for the queries that SQL can express."""
 
 from __future__ import annotations
 
@@ -99,4 +99,71 @@ SELECT page_id, host, path, rule,
 FROM ruled
 """
 
-ORACLE = {"op2_line_frequency": OP2, "op3_phrase_automata": OP3, "op8_suffix_arrays": OP8, "op9_bloom_cascade": OP9}
+#: All pairs of vectors; components by reachability.
+OP11 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fine AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.k AS a, b.k AS b FROM fine a JOIN fine b ON a.k <> b.k AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT k AS a, k AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+part AS (SELECT reach.a AS k, min(v.vec_id) AS component_id FROM reach JOIN v ON v.k = reach.b GROUP BY reach.a),
+degree AS (SELECT a AS k, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN part ON v.k = part.k LEFT JOIN degree ON v.k = degree.k
+"""
+
+
+def _crc32(string: str) -> str:
+    """Unsigned CRC-32 of a string of code points below 256, one bit at a time: -1 shifts, a byte is added."""
+    code = "lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)] ELSE [195, ord(x) - 64] END"
+    steps = f"flatten(list_transform(flatten(list_transform(string_split({string}, ''), {code})), lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "lambda c, y: CASE WHEN y >= 0 THEN xor(c, y) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform({steps}, lambda x: x::BIGINT)), {step}), 4294967295::BIGINT)"
+
+
+#: Prefixes as strings of digests; a subtree's sums by joining each node to all its prefixes.
+OP12 = rf"""
+WITH turn AS (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+                     md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+              FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'d': digest, 'c': chars}} ORDER BY turn NULLS FIRST, digest) AS w, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+        FROM turn GROUP BY conv_id),
+conv AS (SELECT o.conv_id, list_concat(coalesce(list_slice(f.w, 1, o.h), []), list_slice(o.w, o.h + 1, len(o.w))) AS w
+         FROM own o LEFT JOIN own f ON f.conv_id = o.conv_id - o.conv_id % 100),
+prefix AS (SELECT conv_id, w, unnest(generate_series(0, len(w))) AS depth FROM conv),
+member AS (SELECT conv_id, depth, len(w) AS size, CASE WHEN depth > 0 THEN w[depth].c ELSE 0 END AS chars,
+                  list_aggregate(list_transform(list_slice(w, 1, depth), lambda x: x.d), 'string_agg', '') AS key,
+                  list_aggregate(list_transform(list_slice(w, 1, depth - 1), lambda x: x.d), 'string_agg', '') AS above FROM prefix),
+node AS (SELECT coalesce(key, '') AS key, depth, coalesce(any_value(above), '') AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+         FROM member GROUP BY ALL),
+kids AS (SELECT above AS key, count(*) AS n FROM node WHERE depth > 0 GROUP BY above),
+node2 AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON node.key = kids.key),
+under AS (SELECT substr(key, 1, 32 * top) AS key, n_children, n_convs, chars
+          FROM (SELECT *, unnest(generate_series(0, depth)) AS top FROM node2)),
+sums AS (SELECT key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved FROM under GROUP BY key)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node2 n JOIN sums s ON n.key = s.key LEFT JOIN node2 p ON n.depth > 0 AND p.key = n.above
+"""
+
+#: Near words by the words' strings with one letter taken out.
+OP13 = rf"""
+WITH RECURSIVE run AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, {_lower("r")} AS w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents) GROUP BY ALL),
+hashed AS (SELECT w, n, {_crc32("doc || ':' || w")} AS h FROM run),
+made AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashed),
+vocabulary AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM vocabulary)),
+near AS (SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+         UNION SELECT cut.word, v.word FROM cut JOIN vocabulary v ON cut.rest = v.word
+         UNION SELECT v.word, cut.word FROM cut JOIN vocabulary v ON cut.rest = v.word),
+best AS (SELECT a, count(*) AS n_near, min({{'k': -v.n, 'w': b}}) AS top FROM near JOIN vocabulary v ON v.word = near.b GROUP BY a),
+form AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.k >= 2 * v.n THEN top.w END AS form,
+                CASE WHEN -top.k >= 2 * v.n THEN -top.k END AS form_n FROM vocabulary v LEFT JOIN best ON best.a = v.word),
+chain AS (SELECT word, word AS at FROM form UNION ALL SELECT chain.word, form.form FROM chain JOIN form ON form.word = chain.at WHERE form.form IS NOT NULL)
+SELECT form.word, form.form, chain.at AS root, form.n, form.n_near, form.form_n
+FROM form JOIN chain ON chain.word = form.word JOIN form last ON last.word = chain.at AND last.form IS NULL
+"""
+
+ORACLE = {"op2_line_frequency": OP2, "op3_phrase_automata": OP3, "op8_suffix_arrays": OP8, "op9_bloom_cascade": OP9,
+          "op11_lattice_hashing": OP11, "op12_prefix_trie": OP12, "op13_bit_sliced_spelling": OP13}

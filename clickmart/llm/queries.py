@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters, over whole tables."""
+"""Registered queries of the thirteen operators, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.llm import (co_training, decontaminate, language, line_quality, packing, phrase_dedup, sharding, simhash,
-                           token_count, url_filter)
+from clickmart.llm import (co_training, decontaminate, language, line_quality, packing, phrase_dedup, prefix_trie, sharding, simhash,
+                           spelling, token_count, url_filter, vector_dedup)
 from clickmart.llm._store import ship_package
 
 #: Domains that advertise in their name; with the pages' own hosts they make the block list.
@@ -77,6 +77,18 @@ def op10_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co_training.score(docs, co_training.fit(docs, labels)).select("doc_id", *co_training.OUT)
 
 
+def op11_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_bit_sliced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +99,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_sampled_splitters, op2_line_frequency, op3_phrase_automata, op4_pre_token_counts, op5_hierarchical_language,
-    op6_simhash_gray_index, op7_shortest_pack_first, op8_suffix_arrays, op9_bloom_cascade, op10_co_training)}
+    op6_simhash_gray_index, op7_shortest_pack_first, op8_suffix_arrays, op9_bloom_cascade, op10_co_training,
+    op11_lattice_hashing, op12_prefix_trie, op13_bit_sliced_spelling)}
