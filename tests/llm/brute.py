@@ -1,10 +1,12 @@
 """Plain-Python versions of the operators' contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -141,3 +143,85 @@ def judge_url(url, listed):
 
 def crc(data):
     return zlib.crc32(data)
+
+
+def near_vectors(rows, min_cos=0.9):
+    """(vec_id, n_links, component_id, kept) of rows (vec_id, vector), by all pairs."""
+    def fine(v):
+        return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    unit = [np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64)) if fine(v) else None for _, v in rows]
+    part, links = list(range(len(rows))), [0] * len(rows)
+    for i, a in enumerate(unit):
+        for j, b in enumerate(unit):
+            if i != j and a is not None and b is not None and len(a) == len(b) and a @ b >= min_cos - 1e-12:
+                links[i] += 1
+                old, new = part[i], part[j]
+                part = [new if p == old else p for p in part]
+    first = {}
+    for (i, _), p in zip(rows, part):
+        first[p] = min((x for x in (i, first.get(p)) if x is not None), default=None)
+    return [(i, n, first[p], i is not None and i == first[p]) for (i, _), n, p in zip(rows, links, part)]
+
+
+def trie(rows):
+    """The contract's nodes of rows (conv_id, turn, role, text), from a dictionary of prefixes."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            own[c].append(((turn is not None, turn or 0), hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest(), (role, text)))
+    own = {c: [t for *_, t in sorted(turns)] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = own.get(c - int(math.fmod(c, 100)), [])[:h] + turns[h:]
+    members = defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for key in members:
+        if key:
+            children[key[:-1]].append(key)
+    leaves, saved = {}, {}
+    for key in sorted(members, key=len, reverse=True):
+        leaves[key] = sum(leaves[x] for x in children[key]) or 1
+        saved[key] = sum(saved[x] for x in children[key]) + ((len(members[key]) - 1) * len(key[-1][1]) if key else 0)
+    return [(min(m), len(key), min(members[key[:-1]]) if key else None, len(m), len(children[key]), leaves[key], saved[key],
+             hashlib.sha256(",".join(map(str, sorted(c for c in m if len(built[c]) == len(key)))).encode()).hexdigest())
+            for key, m in members.items()]
+
+
+def spelling(rows, min_length=5, min_count=3, ratio=2, typo=97):
+    """(word, form, root, n, n_near, form_n) of rows (doc_id, text), near words by letters taken out."""
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % typo == 0:
+                word = word[:h % len(word)] + word[h % len(word) + 1:]
+            n[word] += 1
+    n = {w: k for w, k in n.items() if len(w) >= min_length and k >= min_count}
+    cut, near = defaultdict(set), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            cut[i, w[:i] + w[i + 1:]].add(w)
+    for (_, rest), words in cut.items():
+        for w in words:
+            near[w] |= words - {w}
+            if rest in n:
+                near[w].add(rest)
+                near[rest].add(w)
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        if best is not None and n[best] >= ratio * n[w]:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+    return [(w, form.get(w), root(w), k, len(near[w]), n[form[w]] if w in form else None) for w, k in n.items()]
