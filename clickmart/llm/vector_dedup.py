@@ -323,18 +323,18 @@ def near_vectors(vectors: DataFrame, min_cos: float = MIN_COS, tables: int = TAB
     both = pairs.select(F.col("a").alias("cid"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("cid"), F.col("a").alias("other")))
     facts = classes.select(F.col("cid").alias("other"), "centre", "radius", "weight")
     judged = materialize(
-        both.join(members.select("vid", "cid", "vec"), "cid").join(facts, "other").select("vid", "vec", "other", "radius", "weight", angle.alias("angle"))
+        both.join(members.select("vid", "cid", "vec"), "cid").join(facts, "other").select("vid", "cid", "vec", "other", "radius", "weight", angle.alias("angle"))
         .where(F.col("angle") - F.col("radius") <= limit + MARGIN)
         .withColumn("all", (F.col("radius") > 0) & (F.col("angle") + F.col("radius") <= limit - MARGIN)), "member-class")
     against = members.select(F.col("cid").alias("other"), F.col("vid").alias("to"), F.col("vec").alias("to_vec"), F.col("copies").alias("weight"))
-    verified = materialize(judged.where("not all").select("vid", "vec", "other").join(against, "other")
-                           .where(_cosine("vec", "to_vec") >= min_cos).select("vid", "to", "weight"), "verified-links")
-    whole = judged.where("all").select("vid", F.col("other").alias("to"), "weight")
-
-    found = whole.unionByName(verified).groupBy("vid").agg(F.sum("weight").alias("found"))
-    links = (whole.select("vid", "to").unionByName(verified.select("vid", "to"))
-             .unionByName(members.where("cid <> vid").select("vid", F.col("cid").alias("to")))
-             .select(F.col("vid").alias("u"), F.col("to").alias("v")))
+    verified = materialize(judged.where("not all").select("vid", "cid", "vec", "other").join(against, "other")
+                           .where(_cosine("vec", "to_vec") >= min_cos).select("vid", "cid", "other", "weight"), "verified-links")
+    both_ways = judged.where("all").select("vid", "cid", "other", "weight").unionByName(verified)
+
+    found = both_ways.groupBy("vid").agg(F.sum("weight").alias("found"))
+    # Members link with their own centre, so one link for two classes connects what all of theirs do.
+    links = (both_ways.where("cid < other").select(F.col("cid").alias("u"), F.col("other").alias("v")).distinct()
+             .unionByName(members.where("cid <> vid").select(F.col("vid").alias("u"), F.col("cid").alias("v"))))
     roots = components(links)
     counted = (members.join(classes.select("cid", "weight"), "cid").join(found, "vid", "left")
                .join(roots, members.vid == roots.node, "left")
