@@ -4,10 +4,10 @@ A51 price_tier_alt, and the association run on orders.
 Pairs.  Joining purchase rows to themselves on the transaction repeats a pair
 for every pair of lines (Q10).  The lines are first reduced to distinct
 (transaction, [session,] item) with their line count n, once for both sides; a
-pair then stands for nA·nB line pairs.  A basket of more than ``BLOCK_ITEMS``
-items is cut into blocks of items by a hash, and each pair of blocks is a join
-key of its own, so a huge basket's pairs are spread over as many tasks as its
-own size asks for.  Nothing is capped or sampled.  The weights carry the row
+pair then stands for nA·nB line pairs.  A basket of at most ``BLOCK_ITEMS``
+items is gathered and paired in place.  A larger one is cut into blocks of
+items by a hash, and each pair of blocks is a join key of its own, so a huge
+basket's pairs are spread over as many tasks as its own size asks for.  Nothing is capped or sampled.  The weights carry the row
 multiplicity into every average and count, so the results equal the row-level
 definition.
 """
@@ -83,25 +83,43 @@ def _purchase_lines(stg: DataFrame) -> DataFrame:
 
 
 def weighted_pairs(lines: DataFrame, txn: str = "transaction_id", session: str | None = SESSION,
-                   item: str = "item_name", block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Distinct (transaction, session of A, A, B) with A < B and weight nA·nB."""
-    keys = [txn] + ([session] if session else []) + [item]
-    base = lines.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    # Baskets of more than one block (few): into how many their items are cut.
-    blocks = (base.groupBy(txn).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block_items)
-              .select(txn, F.ceil(F.col("size") / block_items).cast("int").alias("_blocks")))
-    cut = base.join(blocks, txn, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))) \
-              .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+                   item: str = "item_name", block_items: int = BLOCK_ITEMS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct (transaction, session of A, A, B) with A < B and weight nA·nB.
+
+    ``carry`` names further columns of ``lines`` that depend on the session;
+    side A keeps them.  Lines are reduced by one exchange.  An ordinary basket
+    (at most ``block_items`` rows left) is then gathered by a second one and
+    its pairs formed in place; only larger ones go through pairs of blocks."""
+    own = [session, *carry] if session else []
+    base = lines.groupBy(txn, *own, item).agg(F.count(F.lit(1)).alias("n"))
+    large = base.groupBy(txn).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > block_items)
+    ordinary = _basket_pairs(base.join(large.select(txn), txn, "left_anti"), txn, own, item)
+    return ordinary.unionByName(_block_pairs(base, large, txn, own, item, block_items))
+
+
+def _basket_pairs(base: DataFrame, txn: str, own: list[str], item: str) -> DataFrame:
+    """Pairs of baskets that are gathered whole; ``block_items`` bounds them."""
+    sold = base.groupBy(txn, item).agg(F.sum("n").alias("n_b"), F.collect_list(F.struct(*own, "n")).alias("by"))
+    baskets = sold.groupBy(txn).agg(F.collect_list(F.struct(F.col(item).alias("item"), "n_b", "by")).alias("basket")).filter(F.size("basket") > 1)
+    first = baskets.select(txn, "basket", F.explode("basket").alias("a"))
+    second = first.select(txn, "a", F.explode(F.filter("basket", lambda b: b["item"] > F.col("a.item"))).alias("b"))
+    pairs = second.select(txn, F.col("a.item").alias("product_A"), F.col("b.item").alias("product_B"), F.col("b.n_b").alias("n_b"), F.explode("a.by").alias("by"))
+    return pairs.select(txn, *[F.col("by")[c].alias(c) for c in own], "product_A", "product_B", (F.col("by.n") * F.col("n_b")).alias("w"))
+
+
+def _block_pairs(base: DataFrame, large: DataFrame, txn: str, own: list[str], item: str, block_items: int) -> DataFrame:
+    """Pairs of large baskets: their items are cut into blocks by a hash, and each pair of blocks is a join key."""
+    blocks = large.select(txn, F.ceil(F.col("_size") / block_items).cast("int").alias("_blocks"))
+    cut = base.join(blocks, txn).withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    side_a = cut.withColumn("_j", every).select(txn, *([session] if session else []), F.col(item).alias("product_A"),
-                                                F.col("n").alias("n_a"), F.col("_own").alias("_i"), "_j")
+    side_a = cut.withColumn("_j", every).select(txn, *own, F.col(item).alias("product_A"), F.col("n").alias("n_a"), F.col("_own").alias("_i"), "_j")
     side_b = cut.withColumn("_i", every).groupBy(txn, item, "_i", "_own").agg(F.sum("n").alias("n_b")) \
                 .select(txn, F.col(item).alias("product_B"), "n_b", "_i", F.col("_own").alias("_j"))
     # A partition count of its own keeps AQE from merging the block pairs by their (few) input bytes.
-    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     side_a, side_b = (s.repartition(tasks, txn, "_i", "_j") for s in (side_a, side_b))
     pairs = side_a.join(side_b, on=[txn, "_i", "_j"], how="inner").filter(F.col("product_A") < F.col("product_B"))
-    return pairs.withColumn("w", F.col("n_a") * F.col("n_b")).drop("n_a", "n_b", "_i", "_j")
+    return pairs.select(txn, *own, "product_A", "product_B", (F.col("n_a") * F.col("n_b")).alias("w"))
 
 
 def product_association(stg: DataFrame) -> DataFrame:
@@ -114,8 +132,10 @@ def product_association(stg: DataFrame) -> DataFrame:
     return pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("w").alias("line_pairs"))
 
 
-def _frequent_pairs(stg: DataFrame, min_sales: int) -> DataFrame:
-    """Weighted pairs of the items that appear in at least ``min_sales`` transactions.
+def _frequent_pairs(stg: DataFrame, graded: DataFrame, min_sales: int) -> DataFrame:
+    """Weighted pairs of the items that appear in at least ``min_sales`` transactions, with score and grade of A's session.
+
+    The facts go to the lines, of which there are fewer than pairs.
 
     Support pruning is exact: a pair is in at most as many transactions as each
     of its items, so items below ``min_sales`` cannot be in a reported pair;
@@ -126,7 +146,7 @@ def _frequent_pairs(stg: DataFrame, min_sales: int) -> DataFrame:
                     .groupBy("item_name").agg(F.count(F.lit(1)).alias("_txns"))
                     .filter(F.col("_txns") >= min_sales).select("item_name"))
         lines = lines.join(frequent, "item_name", "left_semi")
-    return weighted_pairs(lines)
+    return weighted_pairs(lines.join(graded, SESSION, "left"), carry=("engagement_score", "engagement_grade"))
 
 
 def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None = None,
@@ -140,12 +160,11 @@ def bundle_strategy(stg: DataFrame, features: DataFrame, tiers: DataFrame | None
     (``product_association``) when it is already built; otherwise the pairs of
     the items that can reach ``min_sales`` are formed here."""
     tiers = price_tier(stg) if tiers is None else tiers
+    graded = graded_sessions(features, scores).drop("has_purchase")
     if pairs is not None:
-        pairs = pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("line_pairs").alias("w"))
+        rows = pairs.select(SESSION, "transaction_id", "product_A", "product_B", F.col("line_pairs").alias("w")).join(graded, SESSION, "left")
     else:
-        pairs = _frequent_pairs(stg, min_sales)
-    graded = graded_sessions(features, scores).drop("has_purchase")
-    rows = pairs.join(graded, SESSION, "left")
+        rows = _frequent_pairs(stg, graded, min_sales)
     w = F.col("w")
     # Level 1: per (pair, transaction) — makes the distinct-transaction count a plain count.
     per_txn = rows.groupBy("product_A", "product_B", "transaction_id").agg(

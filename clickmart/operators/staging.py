@@ -2,9 +2,8 @@
 
 The grain is the one every downstream count uses: an event with n items gives
 n rows, an event with no (or a NULL) item array keeps one row with NULL item
-fields (``explode_outer``).  Parameters are looked up with a higher-order
-``filter`` over the event's own parameter array, so there is no join and no
-shuffle: the whole operator is one narrow, codegen'd projection on the scan.
+fields (``explode_outer``).  Parameters are looked up in the event's own
+parameter array, so there is no join and no shuffle: the whole operator is one narrow, codegen'd projection on the scan.
 """
 
 from __future__ import annotations
@@ -27,50 +26,59 @@ DEFAULT_ACTION = "Browsing"
 NOT_SET = "(not set)"
 
 
-def param_value(key: str, slot: str, strict: bool = True) -> Column:
-    """Value of parameter ``key`` (``slot`` = string_value | int_value).
+#: Staged column, parameter key and value slot of each parameter the staging model reads.
+PARAMS = [
+    ("session_source", "source", "string_value"),
+    ("session_medium", "medium", "string_value"),
+    ("session_campaign", "campaign", "string_value"),
+    ("session_id", "ga_session_id", "int_value"),
+    ("_engaged", "session_engaged", "int_value"),
+    ("_engagement_ms", "engagement_time_msec", "int_value"),
+    ("page_title", "page_title", "string_value"),
+    ("page_url", "page_location", "string_value"),
+]
+
+
+def param_values(params=PARAMS, strict: bool = True) -> Column:
+    """Struct of the values of ``params`` (column, key, slot) in ``event_params``.
 
     Absent key -> NULL.  A key present twice is an error, as a scalar subquery
-    with two rows is; ``strict=False`` takes the first instead.
+    with two rows is; ``strict=False`` takes the first instead.  Keys are
+    looked up by position; repeats are found in one pass over the keys.
     """
-    hits = F.filter(F.col("event_params"), lambda p: p["key"] == F.lit(key))
-    value = F.get(hits, 0)["value"][slot]
-    if strict:
-        return F.when(F.size(hits) > 1,
-                      F.raise_error(F.lit(f"event parameter '{key}' occurs more than once"))
-                      ).otherwise(value)
-    return value
+    keys, values = F.col("event_params.key"), F.col("event_params.value")
+    found = F.struct(*[F.get(values, (F.array_position(keys, key) - 1).cast("int"))[slot].alias(column) for column, key, slot in params])
+    if not strict:
+        return found
+    asked = F.filter(keys, lambda k: k.isin(*[key for _, key, _ in params]))
+    repeated = F.size(F.array_distinct(asked)) < F.size(asked)
+    return F.when(repeated, F.raise_error(F.concat(F.lit("an event parameter occurs more than once: "), F.array_join(asked, ", ")))).otherwise(found)
 
 
 def stage_events(events: DataFrame, start_date: str | None = None, end_date: str | None = None,
-                 strict_params: bool = True) -> DataFrame:
+                 strict_params: bool = True, has_event_id: bool = True) -> DataFrame:
     """Flatten nested events (``clickmart.schemas.NESTED_EVENT``) to staged rows.
 
     ``start_date``/``end_date`` (``YYYYMMDD``, inclusive) filter ``event_date``;
     on a dataset partitioned by ``event_date`` this is partition pruning.
+
+    ``event_id`` breaks ties of the timestamp in ordered paths.  Where the
+    export has none (no such column, or ``has_event_id=False``) missing ids
+    are a hash of the event's content, which reads all its columns.
     """
     src = events
     if start_date is not None:
         src = src.filter(F.col("event_date") >= F.lit(start_date))
     if end_date is not None:
         src = src.filter(F.col("event_date") <= F.lit(end_date))
-    # Deterministic tie-break for ordered paths where the export has no id.
-    content = F.xxhash64(*[c for c in ("event_timestamp", "event_name", "user_pseudo_id", "user_id", "event_params",
-                                       "ecommerce", "items", "device", "geo")])
-    src = src.withColumn("event_id", F.coalesce("event_id", content) if "event_id" in src.columns else content)
+    if not has_event_id or "event_id" not in src.columns:
+        content = F.xxhash64("event_timestamp", "event_name", "user_pseudo_id", "user_id", "event_params", "ecommerce", "items", "device", "geo")
+        src = src.withColumn("event_id", F.coalesce("event_id", content) if "event_id" in src.columns else content)
 
-    pv = lambda key, slot: param_value(key, slot, strict_params)
-    session_id = pv("ga_session_id", "int_value")
+    src = src.withColumn("_params", param_values(strict=strict_params))
     flat = src.select(
         "event_date", "event_timestamp", "event_name", "user_pseudo_id", "user_id", "event_id",
-        pv("source", "string_value").alias("session_source"),
-        pv("medium", "string_value").alias("session_medium"),
-        pv("campaign", "string_value").alias("session_campaign"),
-        session_id.alias("session_id"),
-        pv("session_engaged", "int_value").alias("_engaged"),
-        pv("engagement_time_msec", "int_value").alias("_engagement_ms"),
-        pv("page_title", "string_value").alias("page_title"),
-        pv("page_location", "string_value").alias("page_url"),
+        *[F.col("_params")[column].alias(column) for column, _, _ in PARAMS],
         F.col("ecommerce.transaction_id").alias("transaction_id"),
         F.col("ecommerce.purchase_revenue").alias("purchase_revenue"),
         F.col("device.category").alias("device_category"),

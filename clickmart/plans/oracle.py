@@ -559,4 +559,31 @@ ORACLE["market_basket_orders"] = ctes(
 ORACLE["mart_csv_roundtrip"] = ORACLE["browsing_style_summary"]
 ORACLE["events_export_roundtrip"] = WITH_STG + (
     "SELECT event_date, CAST(COUNT(*) AS BIGINT) AS staged_rows, CAST(COUNT(DISTINCT event_id) AS BIGINT) AS events, SUM(item_revenue_calc) AS revenue FROM stg "
-    "WHERE event_date BETWEEN '20240105' AND '20240120' GROUP BY ALL")
+    "GROUP BY ALL")
+
+# ------------------------------------------------------------------ daily states
+# A piece is an hour of a session, cut evenly if more than 20,000 rows fall into it.
+ORACLE["session_path_pieces"] = ctes(S, (
+    "busy AS (SELECT *, date_trunc('hour', event_timestamp) AS hour, COUNT(*) OVER (PARTITION BY session_unique_id, date_trunc('hour', event_timestamp)) AS n FROM stg)"), (
+    "cut AS (SELECT *, CASE WHEN n > 20000 THEN CAST(floor(3600000000 / ceil(n / 20000)) AS BIGINT) ELSE 3600000000 END AS width, "
+    "epoch_us(event_timestamp) - epoch_us(hour) AS into_hour FROM busy)")) + (
+    "SELECT session_unique_id, make_timestamp(epoch_us(hour) + into_hour - into_hour % width) AS piece, "
+    f"array_to_string(list(event_name ORDER BY event_timestamp, event_id), {text(sessions.PATH_SEPARATOR)}) AS path, CAST(COUNT(*) AS BIGINT) AS path_length, "
+    "CAST(bool_or(event_name = 'purchase') AS INTEGER) AS is_converted FROM cut GROUP BY ALL")
+ORACLE["session_facts_incremental"] = ctes(S, SESSION_CTE, (
+    "more AS (SELECT session_unique_id AS sid, CAST(COUNT(*) AS BIGINT) AS path_length, "
+    "CAST(COUNT(item_name) FILTER (WHERE event_name = 'view_item') AS BIGINT) AS total_items_viewed, "
+    "CAST(COUNT(DISTINCT item_category) FILTER (WHERE event_name = 'view_item') AS BIGINT) AS categories, "
+    "MAX(event_timestamp) FILTER (WHERE event_name = 'purchase') AS purchased_at, SUM(item_revenue_calc) AS total_revenue FROM stg GROUP BY ALL)")) + (
+    "SELECT sess.* EXCLUDE (has_search), more.* EXCLUDE (sid) FROM sess JOIN more ON session_unique_id IS NOT DISTINCT FROM sid")
+# Estimates themselves are random; that they lie within their bound is not.
+_VIEWED = "FROM stg WHERE event_name = 'view_item' AND item_price > 0"
+ORACLE["price_cutoffs_sketch"] = WITH_STG + (
+    "SELECT q.quantile, v.n_days, v.n_views, true AS within_bound FROM (VALUES (0.33::DOUBLE), (0.66::DOUBLE)) q(quantile), "
+    f"(SELECT CAST(COUNT(DISTINCT event_date) AS BIGINT) AS n_days, CAST(COUNT(*) AS BIGINT) AS n_views {_VIEWED}) v WHERE n_views > 0")
+ORACLE["item_prices_from_days"] = WITH_STG + f"SELECT item_name, AVG(item_price) AS avg_price {_VIEWED} GROUP BY ALL"
+ORACLE["style_quantiles_sketch"] = WITH_STYLES + (
+    f"SELECT browsing_style, CAST(percent AS INTEGER) AS percent, CAST(COUNT(*) AS BIGINT) AS sessions, true AS within_bound "
+    f"FROM styles, (SELECT unnest({list(segments.QUANTILES)}) AS percent) GROUP BY ALL")
+ORACLE["open_funnel_sketch"] = ctes(S, _ASKED, _REACHED) + (
+    "SELECT step_order, step_name, (SELECT CAST(COUNT(DISTINCT event_date) AS BIGINT) FROM stg) AS n_days, n AS user_count, true AS within_bound FROM reached")

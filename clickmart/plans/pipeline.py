@@ -51,10 +51,10 @@ def _materialize(df: DataFrame, mode: str, name: str, run_id: str, partition_by=
 
 
 def build_all(events: DataFrame, start_date: str | None = None, end_date: str | None = None,
-              materialize: str = "table") -> dict[str, DataFrame]:
+              materialize: str = "table", has_event_id: bool = True) -> dict[str, DataFrame]:
     """Nested events -> every model of the DAG, keyed by model name."""
     run_id = uuid.uuid4().hex[:12]
-    stg = _materialize(stage_events(events, start_date, end_date), materialize, "stg_events", run_id,
+    stg = _materialize(stage_events(events, start_date, end_date, has_event_id=has_event_id), materialize, "stg_events", run_id,
                        partition_by=["event_date"] if materialize == "table" else ())
     feats = _materialize(sessions.session_features(stg), materialize, "session_features", run_id)
     def keep(df: DataFrame, name: str) -> DataFrame:

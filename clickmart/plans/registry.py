@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from clickmart.conf import ensure_checkpoint_dir
 from clickmart.functions import stats as ST
-from clickmart.operators import basket, cart, friction, funnel, promo, scoring, segments, sessions, significance
+from clickmart.operators import basket, cart, friction, funnel, promo, scoring, segments, sessions, significance, sketches
 from clickmart.operators.staging import stage_events, staged_from_tables
 from clickmart.plans import materialize
+from clickmart.plans.incremental import SessionFacts
 from clickmart.plans.materialize import source_signature
 from clickmart.plans.oracle import ORACLE  # noqa: F401
 from clickmart.sources import io
@@ -71,6 +72,31 @@ def tiers_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model("price_tier", lambda: basket.price_tier(stg(spark, sf_dir)), spark, sf_dir)
 
 
+def paths_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A03 paths."""
+    return _model("session_paths", lambda: sessions.session_paths(stg(spark, sf_dir)), spark, sf_dir)
+
+
+def price_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price sketches by day."""
+    return _model("price_sketches", lambda: sketches.daily_price_sketches(stg(spark, sf_dir)), spark, sf_dir, partition_by=["event_date"])
+
+
+def item_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of viewed prices by day and item."""
+    return _model("item_prices", lambda: sketches.daily_item_prices(stg(spark, sf_dir)), spark, sf_dir, partition_by=["event_date"])
+
+
+def style_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of items viewed by the day a session began and its style."""
+    return _model("style_sketches", lambda: sketches.daily_style_sketches(styles(spark, sf_dir), sess(spark, sf_dir)), spark, sf_dir, partition_by=["event_date"])
+
+
+def session_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of distinct sessions by day and funnel step."""
+    return _model("session_sketches", lambda: sketches.daily_session_sketches(stg(spark, sf_dir)), spark, sf_dir, partition_by=["event_date"])
+
+
 def cart_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11, which the dashboard rollups A38-A45 read."""
     return _model("cart_abandon", lambda: cart_abandon(spark, sf_dir), spark, sf_dir)
@@ -85,7 +111,7 @@ def quality_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model("promo_quality", lambda: promo_quality(spark, sf_dir), spark, sf_dir)
 
 
-UPSTREAM = (stg, feats, sess, graded, styles, tiers_table, cart_mart, quality_mart)
+UPSTREAM = (stg, feats, sess, graded, styles, paths_table, tiers_table, price_days, item_days, style_days, session_days, cart_mart, quality_mart)
 
 
 # ------------------------------------------------------------------ staging and sessions
@@ -103,12 +129,33 @@ def session_paths(spark, sf_dir):
     return sessions.session_paths(stg(spark, sf_dir))
 
 
+@register
+def session_path_pieces(spark, sf_dir):
+    """A03 in pieces of time, of which none grows with its session."""
+    return sessions.session_path_pieces(stg(spark, sf_dir))
+
+
+@register
+def session_facts_incremental(spark, sf_dir):
+    """The session facts built from two halves of the days, the second as an update; A02 and the sums of each session."""
+    rows = stg(spark, sf_dir)
+    days = sorted(r[0] for r in rows.select("event_date").distinct().collect())  # one for each day
+    facts = SessionFacts(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickmart-facts-{uuid.uuid4().hex}")
+    for half in (days[:len(days) // 2], days[len(days) // 2:]):
+        facts.update(rows.where(F.col("event_date").isin(half)))
+    level = sessions.session_level(facts.read())
+    return sessions.session_funnel(sessions=level).join(
+        level.select(F.col(sessions.SESSION).alias("_sid"), "path_length", "total_items_viewed", F.size("viewed_categories").cast("bigint").alias("categories"),
+                     "purchased_at", "total_revenue"), F.col(sessions.SESSION).eqNullSafe(F.col("_sid"))).drop("_sid")
+
+
 @register
 def events_export_roundtrip(spark, sf_dir):
-    """Nested events written as daily shards to the shared folder, a date range read back and staged."""
+    """Nested events written as daily shards to the shared folder, read back from the first shard to the last and staged."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clickmart-export-{uuid.uuid4().hex}"
     io.write_events(nested_events(spark, sf_dir), path)
-    staged = stage_events(io.read_events(spark, path, "20240105", "20240120"))
+    shards = io.shard_dates(spark, path)
+    staged = stage_events(io.read_events(spark, path, shards[0], shards[-1]) if shards else io.read_events(spark, path))
     return staged.groupBy("event_date").agg(F.count(F.lit(1)).alias("staged_rows"), F.count_distinct("event_id").alias("events"),
                                             F.sum("item_revenue_calc").alias("revenue"))
 
@@ -123,6 +170,13 @@ def kpi_summary(spark, sf_dir):
     return funnel.kpi_summary(funnel.funnel_overall(sess(spark, sf_dir)))
 
 
+@register
+def open_funnel_sketch(spark, sf_dir):
+    """A22 from daily sketches beside the exact counts."""
+    made = sketches.open_funnel_errors(funnel.open_funnel(sess(spark, sf_dir)), session_days(spark, sf_dir))
+    return made.select("step_order", "step_name", "n_days", "user_count", (F.col("relative_error") <= F.col("error_bound")).alias("within_bound"))
+
+
 # ------------------------------------------------------------------ segments and statistics
 @register
 def session_browsing_style(spark, sf_dir):
@@ -133,6 +187,13 @@ for _name in ("browsing_style_summary", "deep_specialists", "variety_seekers"):
     QUERIES[_name] = (lambda operator: lambda spark, sf_dir: operator(styles(spark, sf_dir)))(getattr(segments, _name))
 
 
+@register
+def style_quantiles_sketch(spark, sf_dir):
+    """A12's quantiles from daily sketches, with their exact ranks."""
+    made = sketches.style_quantile_errors(styles(spark, sf_dir), style_days(spark, sf_dir))
+    return made.select("browsing_style", "percent", "sessions", (F.col("rank_error") <= F.col("rank_bound")).alias("within_bound"))
+
+
 @register
 def segment_coverage(spark, sf_dir):
     return segments.segment_coverage(sess(spark, sf_dir))
@@ -254,7 +315,7 @@ for _name in ("lift_weight", "lift_long", "score_short"):
 
 @register
 def core_sessions(spark, sf_dir):
-    return scoring.core_sessions(feats(spark, sf_dir), scores=graded(spark, sf_dir), stg=stg(spark, sf_dir))
+    return scoring.core_sessions(feats(spark, sf_dir), paths_table(spark, sf_dir), scores=graded(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ carts
@@ -336,6 +397,19 @@ def price_tier_alt(spark, sf_dir):
     return basket.price_tier(stg(spark, sf_dir), alt_order=True)
 
 
+@register
+def price_cutoffs_sketch(spark, sf_dir):
+    """A07's cut-offs from daily sketches, with their exact ranks."""
+    made = sketches.price_cutoff_errors(stg(spark, sf_dir), price_days(spark, sf_dir))
+    return made.select("quantile", "n_days", "n_views", (F.col("rank_error") <= F.col("rank_bound")).alias("within_bound"))
+
+
+@register
+def item_prices_from_days(spark, sf_dir):
+    """A07's item averages from the daily states."""
+    return sketches.price_tier_from_state(item_days(spark, sf_dir), price_days(spark, sf_dir)).select("item_name", "avg_price")
+
+
 @register
 def product_association(spark, sf_dir):
     return basket.product_association(stg(spark, sf_dir))

@@ -66,6 +66,14 @@ def read_events(spark: SparkSession, path: str, start_date: str | None = None,
     return df
 
 
+def shard_dates(spark: SparkSession, path: str) -> list[str]:
+    """Dates of an export's daily shards in order, from the names of its folders."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    names = [f.getPath().getName().partition("=") for f in found]
+    return sorted(value for column, _, value in names if column == "event_date")
+
+
 def write_events(df: DataFrame, path: str) -> None:
     """Write (or re-write) daily shards: dynamic overwrite replaces only the dates present."""
     (df.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

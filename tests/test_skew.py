@@ -5,6 +5,7 @@ partitions are split."""
 
 import duckdb
 
+from clickmart.operators import scoring
 from clickmart.operators import sessions as S
 from clickmart.operators.staging import stage_events
 from clickmart.plans import materialize
@@ -66,7 +67,11 @@ def test_hot_keys_match_sql_with_skew_splitting(spark, monkeypatch):
             assert got == rows_of(res.columns, res.fetchall()), name
             final = df._jdf.queryExecution().executedPlan().toString()
             skew_split = skew_split or "skew=true" in final
-        assert skew_split
+        # Core sessions straight from the staged rows join all rows of the hot session.
+        direct = scoring.core_sessions(registry.feats(spark, ""), scores=registry.graded(spark, ""), stg=staged)
+        res = con.sql(registry.ORACLE["core_sessions"].replace(O.STG_CTE.strip(), "stg AS (SELECT * FROM stg_fixture)"))
+        assert rows_of(direct.columns, [tuple(r) for r in direct.collect()]) == rows_of(res.columns, res.fetchall())
+        assert skew_split or "skew=true" in direct._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:

@@ -56,10 +56,10 @@ def test_export_without_ids_has_a_tie_break(spark):
             ev("2024-01-05 10:00:00", "page_view", event_id=77)]
     named = frame(spark, rows)
     for df in (named.withColumn("event_id", F.when(F.col("event_id") == 77, F.col("event_id"))), named.drop("event_id")):
-        got = stage_events(df).collect()
+        got = stage_events(df, has_event_id=False).collect()
         ids = {(r.event_name, r.item_name): r.event_id for r in got}
         assert len(set(ids.values())) == 3 and None not in ids.values()
-        assert sorted(map(tuple, got), key=str) == sorted(map(tuple, stage_events(df.repartition(3)).collect()), key=str)
+        assert sorted(map(tuple, got), key=str) == sorted(map(tuple, stage_events(df.repartition(3), has_event_id=False).collect()), key=str)
     assert {r.event_id for r in stage_events(named).collect()} >= {77}
 
 
