@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm._store import without
+from clickmart.llm._store import materialize, without
 
 #: Fixed values of the contract.
 SYMBOLS = "#*$%&|<>"
@@ -93,12 +93,11 @@ def line_hash(line: Column) -> Column:
 
 
 def line_rows(docs: DataFrame, host: str) -> DataFrame:
-    """One row for each different line of each different document: host, document key, hash, words in all its copies."""
+    """One row for each different line of each different document: host, document key, hash, words in all its places (of all copies)."""
     lines = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), _has_word)
     return (docs.select(F.col(host).alias("host"), _doc_key().alias(_ID), F.explode(lines).alias("line"))
-            .select("host", _ID, F.xxhash64(normal_line(F.col("line"))).alias("h"),
-                    F.size(word_list(F.col("line"))).cast("long").alias("n"))
-            .groupBy("host", "h", _ID).agg(F.sum("n").alias("n"), F.count("*").alias("copies")))
+            .select("host", _ID, F.xxhash64(normal_line(F.col("line"))).alias("h"), F.size(word_list(F.col("line"))).cast("long").alias("n"))
+            .groupBy("host", "h", _ID).agg(F.sum("n").alias("n")))
 
 
 def _doc_key() -> Column:
@@ -124,21 +123,24 @@ def judge_lines(docs: DataFrame, host: str = "source", min_docs: int = 20, max_p
     text = F.coalesce(F.col("text"), F.lit(""))
     base = (without(docs, *OUT).withColumn(_ID, _doc_key()).withColumn("__line_host", F.col(host))
             .withColumn(_BASE, base_stats(text)))
-    rows = line_rows(docs, host)
-    hosts = (docs.select(F.col(host).alias("host"), _doc_key().alias(_ID)).groupBy("host", _ID).count()
-             .groupBy("host").agg(F.count("*").alias("host_docs")))
+    # Written, so that lines are split and hashed once.
+    rows = materialize(line_rows(docs, host), "document-lines")
+    # Rows that repeat a document are one; their lines were summed over all of them.
+    copies = docs.select(F.col(host).alias("host"), _doc_key().alias(_ID)).groupBy("host", _ID).agg(F.count("*").alias("copies"))
+    hosts = copies.groupBy("host").agg(F.count("*").alias("host_docs"))
     per_line = rows.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     frequent = (per_line.alias("l").join(hosts.alias("t"), F.col("l.host").eqNullSafe(F.col("t.host")))
                 .where(100 * F.col("docs") > max_percent * F.col("host_docs"))
                 .select(F.col("l.host").alias("f_host"), F.col("h").alias("f_h")))
     # Few lines of a document are frequent, and it has a bounded number of lines.
-    removed = (rows.join(frequent, rows.host.eqNullSafe(frequent.f_host) & (rows.h == frequent.f_h))
-               .groupBy("host", _ID).agg(F.sum("n").alias("n_removed_words"), F.collect_list("h").alias("__line_bad"))
-               .select(F.col("host").alias("r_host"), F.col(_ID).alias("r_doc"), "n_removed_words", "__line_bad"))
-    joined = base.join(removed, (base[_ID] == F.col("r_doc"))
-                       & base["__line_host"].eqNullSafe(F.col("r_host")), "left")
+    found = (rows.join(frequent, rows.host.eqNullSafe(frequent.f_host) & (rows.h == frequent.f_h))
+             .groupBy("host", _ID).agg(F.sum("n").alias("words"), F.collect_list("h").alias("__line_bad")))
+    removed = (found.alias("r").join(copies.alias("c"), F.col("r.host").eqNullSafe(F.col("c.host")) & (F.col(f"r.{_ID}") == F.col(f"c.{_ID}")))
+               .select(F.col("r.host").alias("__line_r_host"), F.col(f"r.{_ID}").alias("__line_r_doc"),
+                       F.expr("words div copies").alias("__line_gone"), "__line_bad"))
+    joined = base.join(removed, (base[_ID] == F.col("__line_r_doc")) & base["__line_host"].eqNullSafe(F.col("__line_r_host")), "left")
     n_words, repeat = F.col(_BASE)["words"]["n_words"], F.col(_BASE)["words"]["n_repeat_words"]
-    gone = F.coalesce(F.col("n_removed_words"), F.lit(0))
+    gone = F.coalesce(F.col("__line_gone"), F.lit(0))
     left = n_words - gone
     failed = (n_words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n_words)
     kept_lines = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("__line_bad"), line_hash(x)))

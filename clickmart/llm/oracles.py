@@ -21,13 +21,14 @@ OP2 = rf"""
 WITH d AS (SELECT doc_id, text AS raw, source, coalesce(text, '') AS text FROM documents),
 words AS (SELECT *, {_words("text")} AS w,
                  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+document AS (SELECT DISTINCT doc_id, raw, source, w, lines FROM words),
 windows AS (SELECT doc_id, raw, source, i, list_slice(w, i, i + 4) AS win
-            FROM (SELECT doc_id, raw, source, w, unnest(generate_series(1, len(w) - 4)) AS i FROM words WHERE len(w) >= 5)),
+            FROM (SELECT doc_id, raw, source, w, unnest(generate_series(1, len(w) - 4)) AS i FROM document WHERE len(w) >= 5)),
 again AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, raw, source, win) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT doc_id, raw, source, count(DISTINCT p) AS n_repeat
             FROM (SELECT doc_id, raw, source, unnest(generate_series(i, i + 4)) AS p FROM again) GROUP BY ALL),
 line AS (SELECT doc_id, raw, source, trim(regexp_replace({_lower("l")}, '{_SPACE}', ' ', 'g')) AS norm, len({_words("l")}) AS n
-         FROM (SELECT doc_id, raw, source, unnest(lines) AS l FROM words)),
+         FROM (SELECT doc_id, raw, source, unnest(lines) AS l FROM document)),
 hosts AS (SELECT source, count(*) AS host_docs FROM (SELECT DISTINCT source, doc_id, raw FROM d) GROUP BY source),
 frequent AS (SELECT l.source, norm FROM (SELECT source, norm, count(*) AS docs
                                          FROM (SELECT DISTINCT source, norm, doc_id, raw FROM line) GROUP BY source, norm) l

@@ -4,7 +4,7 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names clash with outputs of the operators.
-CLASHING = ("size", "shard", "slot", "kept", "score", "n_words", "text_kept", "kept_text", "lang_pred", "held_out", "items", "rule", "host")
+CLASHING = ("size", "shard", "slot", "kept", "score", "n_words", "text_kept", "kept_text", "lang_pred", "held_out", "items", "rule", "host", "r_doc", "r_host")
 
 
 def prose(rng, n, vocabulary):
@@ -36,6 +36,8 @@ def messy_rows(seed=7, n=60):
         (None, rows[3][1], "en", "s0", 5), (None, rows[3][1], "en", "s0", 5), (None, "no id " + rows[4][1], None, None, None), (None, None, None, None, None)]
     rows += [(200 + i, rows[6][1], "en", "s0", 9) for i in range(30)]  # a third of the rows are one text
     rows += [(300 + i, "boiler plate line of this host\n" + prose(rng, 12 + i, vocabulary), "de", "s1", 9) for i in range(25)]
+    # Half of it a frequent line, and twice in the table.
+    rows += [(400, "boiler plate line of this host\n" * 3 + prose(rng, 20, vocabulary), "de", "s1", 9)] * 2
     return rows
 
 

@@ -91,6 +91,15 @@ def test_line_frequency(docs, rows):
         assert len(brute.SPACED.findall(r["text_kept"])) == r["n_words"] - r["n_removed_words"]
 
 
+def test_a_repeated_row_counts_once(spark):
+    """Of 100 words a frequent line has 40: kept, whether the row stands once or twice."""
+    line = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, line + "\n" + " ".join(f"x{i}y{k}" for k in range(60)), "h") for i in range(41)]
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, source string").withColumns({"r_doc": F.lit(1), "r_host": F.lit(2), "l": F.lit(3)})
+    got = line_quality.judge_lines(df).select("doc_id", "n_removed_words", "kept", "r_doc", "r_host").collect()
+    assert len(got) == 42 and {tuple(r)[1:] for r in got} == {(40, True, 1, 2)}
+
+
 def test_line_frequency_is_native(docs):
     plan = line_quality.judge_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -106,6 +115,28 @@ def test_repeated_phrases(docs, rows):
               [(r[0], r[1], *result[r[0], r[1]]) for r in rows])
 
 
+def everywhere(seeds):
+    """Seeds as rows that occur in other blocks too."""
+    return pa.table({"seed": seeds, "many": [True] * len(seeds)})
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 10**6])
+def test_recurring_seeds_as_a_stream(size):
+    """Seeds that occur twice, their blocks, and whether there are several, however the rows come in batches."""
+    rng = np.random.default_rng(size)
+    rows = sorted(zip(rng.integers(-20, 20, 150).tolist(), rng.integers(0, 4, 150).tolist(), rng.choice([1, 1, 1, 2], 150).tolist()))
+    rows = [r for r in rows if r[0] % 3 or r[1] == r[0] % 4]  # some seeds with one block
+    rows = [r for i, r in enumerate(rows) if r[0] % 5 or rows[i - 1][0] != r[0]]  # some with one row
+    blocks, total = defaultdict(set), Counter()
+    for seed, block, n in rows:
+        blocks[seed].add(block)
+        total[seed] += n
+    table = pa.table({"seed": [r[0] for r in rows], "block": pa.array([r[1] for r in rows], pa.int32()), "n": pa.array([r[2] for r in rows], pa.int32())})
+    got = [tuple(r.values()) for b in phrase_dedup._recurring(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    assert sorted(got) == sorted((s, b, len(blocks[s]) > 1) for s in blocks if total[s] > 1 for b in blocks[s])
+    assert {m for _, _, m in got} == {True, False}
+
+
 def test_repeated_phrases_hold_in_small_steps(rows):
     """Marks do not depend on how segments come in batches."""
     texts = [r[1] or "" for r in rows]
@@ -114,7 +145,7 @@ def test_repeated_phrases_hold_in_small_steps(rows):
                       phrase_dedup._BLOCK: pa.array([0] * len(rows), pa.int32())})
     seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
         block.select(["text", phrase_dedup._BLOCK]).to_batches())))
-    segments = phrase_dedup._segments(block, seeds.select(["seed"])).sort_by("seed")
+    segments = phrase_dedup._segments(block, everywhere(seeds.column("seed"))).sort_by("content")
     whole, parts = ([b.to_pylist() for b in phrase_dedup._mark(iter(segments.to_batches(max_chunksize=n)), hold=n)] for n in (10**6, 3))
     flat = [sorted(tuple(r.values()) for b in x for r in b) for x in (whole, parts)]
     assert flat[0] == flat[1] and flat[0]
@@ -131,8 +162,8 @@ def test_repeated_phrases_of_a_hot_seed(spark):
     seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
         block.select(["text", phrase_dedup._BLOCK]).to_batches())))
     counts = Counter(seeds.column("seed").to_pylist())
-    segments = phrase_dedup._segments(block, pa.table({"seed": [k for k in counts]})).to_pylist()
-    windows = [(r["seed"], r["content"]) for r in segments if r["content"] is not None]
+    segments = phrase_dedup._segments(block, everywhere(list(counts))).to_pylist()
+    windows = [r["content"] for r in segments if r["content"] is not None]
     assert len(windows) == len(set(windows)) > 300
     got = phrase_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), block_bytes=4000)
     same_rows(got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256)).collect(),
