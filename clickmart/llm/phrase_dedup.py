@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,34 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["seed", "block", "n"])
 
 
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (seed, block, n) sorted by seed and block: one row for each block of the seeds that occur twice or more.
+
+    ``many`` tells seeds of several blocks from those of one.  Nothing but the last seed's first block is held.
+    """
+    held = None  # seed, block, n, whether a row of it went out
+    for b in batches:
+        seed, block, n = (b.column(k).to_numpy().astype(np.int64) for k in range(3))
+        if held is not None:
+            seed, block, n = (np.r_[h, x] for h, x in zip(held, (seed, block, n)))
+        new_block = np.flatnonzero(np.r_[True, (seed[1:] != seed[:-1]) | (block[1:] != block[:-1])])
+        total = np.add.reduceat(n, new_block)
+        seed, block = seed[new_block], block[new_block]
+        same_before = np.r_[held is not None and held[3], seed[1:] == seed[:-1]]
+        same_after = np.r_[seed[1:] == seed[:-1], False]
+        many = same_before | same_after
+        # The last row waits for the next batch, which may go on with its block or its seed.
+        out = (many | (total > 1))[:-1]
+        held = (seed[-1], block[-1], total[-1], bool(same_before[-1]))
+        yield _recurring_rows(seed[:-1][out], block[:-1][out], many[:-1][out])
+    if held is not None and (held[2] > 1 or held[3]):
+        yield _recurring_rows(*(np.array([x]) for x in (held[0], held[1], held[3])))
+
+
+def _recurring_rows(seed: np.ndarray, block: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(seed), pa.array(block.astype(np.int32)), pa.array(many.astype(bool))], names=["seed", _BLOCK, "many"])
+
+
 class Block:
     """The distinct documents of a block, their words and word hashes."""
 
@@ -135,23 +163,24 @@ def _first_smallest(g: np.ndarray, whole: np.ndarray) -> np.ndarray:
 
 #: Rows to the windows' tasks.  With ``content``: one window.  Without: windows start, start + 1, ... that are
 #: marked already (bits of mask from 0).
-_SEGMENT = "seed long, content long, doc_id long, key long, start int, mask int"
-_ARROW = pa.schema([("seed", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()),
-                    ("key", pa.int64()), ("start", pa.int32()), ("mask", pa.int32())])
+_SEGMENT = "content long, doc_id long, key long, start int, mask int"
+_ARROW = pa.schema([("content", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("mask", pa.int32())])
 
 
 def _segments(block_docs: pa.Table, recurring: pa.Table) -> pa.Table:
     """Windows with a recurring seed, of a block's documents.
 
-    The first of each content in the block is a row of its own; the others
-    come marked, by runs of windows with the same seed.
+    The first of each content in the block is a row of its own, if its seed
+    occurs in other blocks too; the others come marked, by runs of windows with the same seed.
     """
     empty = _ARROW.empty_table()
     if not len(block_docs) or not len(recurring):
         return empty
     b = Block(block_docs)
     g, whole, _ = seeds(b.h, b.first)
-    located = b.locate(np.unique(recurring.column("seed").to_numpy().view(np.uint64)))
+    seed_of = recurring.column("seed").to_numpy().view(np.uint64)
+    located = b.locate(np.unique(seed_of))
+    elsewhere = np.unique(seed_of[recurring.column("many").to_numpy(zero_copy_only=False)])
     # A window's seed is one of its positions with a located phrase, or it cannot recur.
     near = np.concatenate([[0], np.cumsum(located)])
     whole = whole[near[whole + _WIDTH] > near[whole]]
@@ -170,17 +199,17 @@ def _segments(block_docs: pa.Table, recurring: pa.Table) -> pa.Table:
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1)])
     place = np.arange(len(whole)) - np.repeat(new, np.diff(np.r_[new, len(whole)]))
     mask = np.add.reduceat(again.astype(np.int64) << place, new)
-    at = np.r_[np.flatnonzero(~again), new[mask > 0]]
-    n = len(whole) - int(again.sum())
+    sent = np.flatnonzero(~again & np.isin(seed, elsewhere))
+    at, n = np.r_[sent, new[mask > 0]], len(sent)
     doc, single = b.doc[whole[at]], np.arange(len(at)) < n
     return pa.Table.from_arrays([
-        pa.array(seed[at].view(np.int64)), pa.array(content[at].view(np.int64), mask=~single),
+        pa.array(content[at].view(np.int64), mask=~single),
         pa.array(b.doc_id[doc], mask=~b.has_id[doc]), pa.array(b.key[doc]), pa.array((whole[at] - b.first[doc]).astype(np.int32)),
         pa.array(np.r_[np.zeros(n, np.int32), mask[mask > 0].astype(np.int32)])], schema=_ARROW)
 
 
 def _mark(batches: Iterator[pa.RecordBatch], hold: int = 300_000) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by seed, content and place: marks of all windows but the first of each content.
+    """Of rows sorted by content and place: marks of all windows but the first of each content.
 
     Of earlier rows only the last one's window is held; at most ``hold`` rows are worked on at a time.
     """
@@ -188,13 +217,13 @@ def _mark(batches: Iterator[pa.RecordBatch], hold: int = 300_000) -> Iterator[pa
     for whole in batches:
         for i in range(0, len(whole), hold):
             b = whole.slice(i, hold)
-            col = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("seed", "key", "start", "mask")}
+            col = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("key", "start", "mask")}
             single = b.column("content").is_valid().to_numpy(zero_copy_only=False)
-            seed, content = col["seed"], b.column("content").fill_null(0).to_numpy()
+            content = b.column("content").fill_null(0).to_numpy()
             again = np.zeros(len(b), bool)
-            again[1:] = single[1:] & single[:-1] & (content[1:] == content[:-1]) & (seed[1:] == seed[:-1])
-            again[0] = single[0] and last == (seed[0], content[0])
-            last = (seed[-1], content[-1]) if single[-1] else None
+            again[1:] = single[1:] & single[:-1] & (content[1:] == content[:-1])
+            again[0] = single[0] and last == content[0]
+            last = content[-1] if single[-1] else None
             mask = np.where(again, np.int32(1), col["mask"])
             out = mask > 0
             yield pa.RecordBatch.from_arrays([pa.array(col["key"][out]), pa.array(col["start"][out]), pa.array(mask[out])],
@@ -247,8 +276,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     document and get the same result.  Input columns named like an output are
     replaced.  An empty table gives no rows.
 
-    Windows are compared by 64-bit hashes within the group of their seed's
-    64-bit hash.  Text is shuffled once (both block steps read the same
+    Windows are compared by 64-bit hashes.  Text is shuffled once (both block steps read the same
     exchange); seeds, about one for every seven words, one row for each block
     and different window with a recurring seed, and the marks are the other
     shuffles.
@@ -258,13 +286,12 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     n_blocks = max(1, total // block_bytes)
     keyed = base.withColumn(_KEY, _block_key()).withColumn(_BLOCK, F.pmod(F.col(_KEY), F.lit(n_blocks)).cast("int"))
     counted = keyed.select("text", _BLOCK).mapInArrow(_seed_rows, "seed long, block int, n int").repartition("seed")
-    # In each seed's task: seeds that occur twice or more, and in which blocks.
-    recurring = (counted.withColumn("all", F.sum("n").over(Window.partitionBy("seed"))).where("all > 1")
-                 .select("seed", F.col("block").alias(_BLOCK)))
+    # In each seed's task, as a stream: the blocks of the seeds that occur twice or more.
+    recurring = counted.sortWithinPartitions("seed", "block").mapInArrow(_recurring, f"seed long, {_BLOCK} int, many boolean")
     segments = (keyed.groupBy(_BLOCK).cogroup(recurring.groupBy(_BLOCK)).applyInArrow(_segments, _SEGMENT))
     # A window's task gets at most one row of it from each block, however many documents share its seed.
-    spread = F.when(F.col("content").isNull(), F.xxhash64("key", "start")).otherwise(F.xxhash64("seed", "content"))
-    marks = (segments.repartition(spread).sortWithinPartitions("seed", "content", F.col("doc_id").asc_nulls_last(), "key", "start")
+    spread = F.when(F.col("content").isNull(), F.xxhash64("key", "start")).otherwise(F.col("content"))
+    marks = (segments.repartition(spread).sortWithinPartitions("content", F.col("doc_id").asc_nulls_last(), "key", "start")
              .mapInArrow(_mark, "key long, start int, mask int")
              .withColumn(_BLOCK, F.pmod(F.col("key"), F.lit(n_blocks)).cast("int")))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()),
