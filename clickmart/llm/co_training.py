@@ -3,10 +3,12 @@
 Two logistic classifiers see different views of a document: the words of its
 text, and its metadata (source, language, recorded length, and the page's
 layout in counts, without its words).  A word counts by its evidence, the
-standard score of its shares in good and other labelled documents.  Starting from the labelled rows, each
-round lets each view label the rows of an unlabelled pool of which it is most
-sure, and hands them to the other view to learn from.  The views' outputs are
-then calibrated together on labelled rows set aside, and score every document.
+standard score of its shares in good and other documents.  In each round both
+views score all unlabelled documents; the surest of them, by quantiles over
+all, are pseudo-labelled for the other view.  Word evidence is counted anew
+over the labelled and all pseudo-labelled documents, so that a view can teach
+the other words that no label has shown.  The views' outputs are then
+calibrated together on labelled rows set aside, and score every document.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmart.llm._store import without
+from clickmart.llm._store import materialize, without
 from clickmart.llm._words import LOWER, SPACED, hashes, slices, utf8, words
 
 OUT = ("text_score", "meta_score", "score", "kept")
 DIMS = 1 << 20  # hashed words: a rare word seldom falls on a telling one
 #: Standard scores below this are chance; a word needs more to count for the text view.
 MIN_EVIDENCE = 3.0
+#: What a pseudo-label weighs at most, and all together against the labels.
+PSEUDO_WEIGHT = 0.1
 N_SOURCES, N_LANGS, N_LAYOUT = 64, 32, 12
 META = ("source", "lang", "n_chars")
 
@@ -83,6 +87,14 @@ def dampen(n: np.ndarray) -> np.ndarray:
     return 1 / np.log(np.e + n)
 
 
+def word_evidence(bad: np.ndarray, good: np.ndarray, all_bad: float, all_good: float) -> np.ndarray:
+    """Evidence of words from the weights of the documents of each class that have them, and of all documents of the class."""
+    all_bad, all_good = max(all_bad, 1e-9), max(all_good, 1e-9)
+    p = (bad + good) / (all_bad + all_good)
+    spread = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / all_bad + 1 / all_good))
+    return np.maximum(np.abs(bad / all_bad - good / all_good) / spread - MIN_EVIDENCE, 0) / 4
+
+
 class Sparse:
     """Rows of binary features.  Each counts by its evidence: how far its shares of the two classes are apart.
 
@@ -91,14 +103,12 @@ class Sparse:
     out, so that a few telling words are not lost among thousands of others.
     """
 
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray):
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, evidence: np.ndarray | None = None):
         n = np.array([len(r) for r in rows], np.int64)
         at, row = np.concatenate([np.zeros(0, np.int64), *rows]), np.repeat(np.arange(len(rows)), n)
-        total = [max((weight * side).sum(), 1e-9) for side in (1 - y, y)]
-        count = [np.bincount(at, (weight * side)[row], minlength=DIMS) for side in (1 - y, y)]
-        p = (count[0] + count[1]) / (total[0] + total[1])
-        spread = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / total[0] + 1 / total[1]))
-        evidence = np.maximum(np.abs(count[0] / total[0] - count[1] / total[1]) / spread - MIN_EVIDENCE, 0) / 4
+        if evidence is None:
+            total = [(weight * side).sum() for side in (1 - y, y)]
+            evidence = word_evidence(*(np.bincount(at, (weight * side)[row], minlength=DIMS) for side in (1 - y, y)), *total)
         told = evidence[at] > 0
         self.ids, self.at = np.unique(at[told], return_inverse=True)
         self.row, self.n, self.evidence = row[told], len(rows), evidence[self.ids]
@@ -168,36 +178,117 @@ def _calibrate(logits: np.ndarray, y: np.ndarray, steps: int = 2000) -> np.ndarr
     return w
 
 
-def co_train(text: Sparse, meta: Dense, y: np.ndarray, kind: np.ndarray, rounds: int = 4, per_round: float = 0.05) -> Model:
-    """``kind``: 0 labelled, 1 set aside for calibration, 2 unlabelled pool; ``y`` counts for the first two."""
-    views = (text, meta)
-    decay = (1e-4, 1e-4)
-    share = float(y[kind == 0].mean()) if (kind == 0).any() else 0.5
-    pool = np.flatnonzero(kind == 2)
-    labels = [np.where(kind == 0, y, 0.0) for _ in views]
-    weight = [(kind == 0).astype(float) for _ in views]
-    models = [(np.zeros(v.dims), 0.0) for v in views]
+def _rows_of(binary: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all rows one after the other, and the row of each."""
+    parts = [np.frombuffer(x, kind) for x in binary.to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *parts]), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+
+
+def _logits(text: tuple[np.ndarray, float], meta: tuple[np.ndarray, float]):
+    """Both views' logits of feature rows (text, meta binary)."""
+    def run(words: pa.Array, dense: pa.Array) -> pa.Array:
+        at, row = _rows_of(words, np.int32)
+        n = np.bincount(row, minlength=len(words))
+        z = np.bincount(row, text[0][at], minlength=len(words)) * dampen(n) + text[1]
+        x = _rows_of(dense, np.float32)[0].reshape(len(words), -1)
+        return pa.StructArray.from_arrays([pa.array(z), pa.array(x @ meta[0] + meta[1])], ["text", "meta"])
+    return F.arrow_udf(run, "struct<text: double, meta: double>")
+
+
+def _class_counts(batches):
+    """(feature, bad, good): weights of the rows (text, y, weight) that have a word, summed over a task."""
+    count = np.zeros((2, DIMS))
+    for b in batches:
+        at, row = _rows_of(b.column(0), np.int32)
+        y, weight = (b.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (1, 2))
+        for k, side in enumerate((1 - y, y)):
+            count[k] += np.bincount(at, (weight * side)[row], minlength=DIMS)
+    told = np.flatnonzero(count.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(count[0][told]), pa.array(count[1][told])], names=["feature", "bad", "good"])
+
+
+def counted_evidence(rows: DataFrame) -> np.ndarray:
+    """Evidence of all hashed words over the training rows (text, y, weight), counted on all of them."""
+    totals = rows.agg(F.sum(F.col("weight") * (1 - F.col("y"))).alias("bad"), F.sum(F.col("weight") * F.col("y")).alias("good")).first()
+    out = np.zeros(DIMS)
+    if totals["bad"] is None:
+        return out
+    counts = (rows.select("text", F.col("y").cast("double"), F.col("weight").cast("double")).mapInArrow(_class_counts, "feature long, bad double, good double")
+              .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
+    got = counts.toArrow()  # at most one row for each of the DIMS hashed words
+    feature = got.column("feature").to_numpy()
+    out[feature] = word_evidence(got.column("bad").to_numpy(), got.column("good").to_numpy(), totals["bad"], totals["good"])
+    return out
+
+
+def pseudo_labels(scored: DataFrame, by: str, share_good: float, share: float) -> DataFrame:
+    """Of the pool rows of ``scored`` (kind, text_z, meta_z) those of which view ``by`` is surest, with y.
+
+    ``share`` of all pool rows is asked for, divided as the labels are; cut-offs are quantiles over all pool rows.
+    """
+    z = F.col(f"{by}_z")
+    pool = scored.where("kind = 2")
+    cuts = pool.agg(F.percentile_approx(z, [share * (1 - share_good), 1 - share * share_good], 10_000)).first()[0]
+    if cuts is None:
+        return pool.withColumn("y", F.lit(0)).limit(0)
+    low, high = cuts
+    sure = F.when((z >= high) & (z > 0), 1).when((z <= low) & (z < 0), 0)
+    return pool.withColumn("y", sure).where("y is not null")
+
+
+def co_train(rows: DataFrame, rounds: int = 3, per_round: float = 0.05, max_fitted: int = 4000) -> Model | None:
+    """Co-train on feature rows (doc_id, y, kind, text, meta); ``kind``: 0 labelled, 1 set aside for calibration, 2 unlabelled.
+
+    Pseudo-labels together weigh at most ``PSEUDO_WEIGHT`` of what the labels do.  Quantiles
+    and word evidence are taken over all rows; the logistic weights are fitted
+    on the labelled rows and a sample of at most about ``max_fitted``
+    pseudo-labelled ones for a view.
+    """
+    def local(df: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        got = sorted(zip(*(df.select("doc_id", "text", "meta", "y").toArrow().column(n).to_pylist() for n in ("doc_id", "text", "meta", "y"))),
+                     key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        dense = np.stack([np.frombuffer(r[2], np.float32) for r in got]).astype(float) if got else np.zeros((0, N_SOURCES + N_LANGS + N_LAYOUT + 1))
+        return [np.frombuffer(r[1], np.int32).astype(np.int64) for r in got], dense, np.array([r[3] for r in got], float)
+
+    labelled, aside = local(rows.where("kind = 0")), local(rows.where("kind = 1"))  # bounded by max_labelled of ``fit``
+    if any(len({*part[2]}) < 2 for part in (labelled, aside)):
+        return None
+    n_labelled, share_good = len(labelled[2]), float(labelled[2].mean())
+    known = rows.where("kind = 0").select("text", "y", F.lit(1.0).alias("weight"))
+    nothing = ([], labelled[1][:0], labelled[2][:0])
+    lessons, weights, evidence = {"text": nothing, "meta": nothing}, {"text": 0.0, "meta": 0.0}, counted_evidence(known)
+    text, meta = (np.zeros(DIMS), 0.0), (np.zeros(labelled[1].shape[1]), 0.0)
     for r in range(rounds + 1):
-        models = [fit_logistic(views[i], labels[i], weight[i], *models[i], decay[i], 120 if r == 0 else 40) for i in (0, 1)]
-        if r == rounds or not len(pool):
+        steps = 120 if r == 0 else 40
+        words, _, y = (a + b if isinstance(a, list) else np.concatenate([a, b]) for a, b in zip(labelled, lessons["text"]))
+        weight = np.r_[np.ones(n_labelled), np.full(len(y) - n_labelled, weights["text"])]
+        view = Sparse(words, y, weight, evidence)
+        start = text[0][view.ids] / np.where(view.evidence > 0, view.evidence, 1)
+        w, b = fit_logistic(view, y, weight, start, text[1], 1e-4, steps)
+        text = (view.spread_out(w), float(b))
+        _, dense, y = (a + b if isinstance(a, list) else np.concatenate([a, b]) for a, b in zip(labelled, lessons["meta"]))
+        weight = np.r_[np.ones(n_labelled), np.full(len(y) - n_labelled, weights["meta"])]
+        v, c = fit_logistic(Dense(dense), y, weight, *meta, 1e-4, steps)
+        meta = (v, float(c))
+        if r == rounds:
             break
-        for i in (0, 1):
-            p = views[i].dot(models[i][0])[pool] + models[i][1]
-            other = 1 - i
-            free = weight[other][pool] == 0
-            for sure, value, part in ((-p, 1.0, share), (p, 0.0, 1 - share)):
-                n = int(round(per_round * len(pool) * part))
-                pick = np.argsort(np.where(free, sure, np.inf), kind="stable")[:n]
-                pick = pick[free[pick] & (sure[pick] < 0)]
-                labels[other][pool[pick]] = value
-                weight[other][pool[pick]] = 0.5  # a pseudo-label counts for half a label
-                free[pick] = False
-    aside = kind == 1
-    z = np.clip(np.stack([views[i].dot(models[i][0]) + models[i][1] for i in (0, 1)], axis=1)[aside], -MAX_LOGIT, MAX_LOGIT)
-    joint = _calibrate(z, y[aside])
-    own = [tuple(_calibrate(z[:, [i]], y[aside])) for i in (0, 1)]
-    (w, b), (v, c) = models
-    return Model((text.spread_out(w).astype(np.float32), float(b)), (v.astype(np.float32), float(c)), tuple(joint), tuple(own))
+        scored = rows.withColumn("z", _logits(text, meta)("text", "meta")).withColumns({"text_z": F.col("z.text"), "meta_z": F.col("z.meta")})
+        for learner, teacher in (("text", "meta"), ("meta", "text")):
+            taught = materialize(pseudo_labels(scored, teacher, share_good, per_round * (r + 1)).select("doc_id", "text", "meta", "y"), "pseudo-labels")
+            n = taught.count()
+            each = min(PSEUDO_WEIGHT, PSEUDO_WEIGHT * n_labelled / max(n, 1))
+            rate = min(1.0, max_fitted / max(n, 1))
+            lessons[learner] = local(taught.where(_unit(F.col("doc_id"), F.lit("lesson")) < rate))
+            weights[learner] = each / rate if n else 0.0
+            if learner == "text":
+                evidence = counted_evidence(known.unionByName(taught.select("text", "y", F.lit(each).alias("weight"))))
+    words, dense, y = aside
+    n = np.array([len(x) for x in words])
+    z = np.stack([np.array([text[0][x].sum() for x in words]) * dampen(n) + text[1], dense @ meta[0] + meta[1]], axis=1)
+    z = np.clip(z, -MAX_LOGIT, MAX_LOGIT)
+    joint = _calibrate(z, y)
+    own = [tuple(_calibrate(z[:, [i]], y)) for i in (0, 1)]
+    return Model((text[0].astype(np.float32), text[1]), (meta[0].astype(np.float32), meta[1]), tuple(joint), tuple(own))
 
 
 def _views(text: pa.Array, source: pa.Array, lang: pa.Array, n_chars: pa.Array):
@@ -221,13 +312,14 @@ def _unit(*columns) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 4000, held_out: int = 1) -> Model | None:
-    """Co-train on samples of at most about ``max_labelled`` labelled and ``max_pool`` unlabelled documents.
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, held_out: int = 1) -> Model | None:
+    """Co-train on at most about ``max_labelled`` labelled documents and on all others.
 
     A document is good if its quality is 1 and it is not toxic; of repeated
-    labels the worst counts.  Samples are drawn by hashes of the doc_id; the
-    third of the ids with crc32 modulo 3 of ``held_out`` is never labelled
-    training data.  None if there are no labels of both kinds.
+    labels the worst counts.  Labelled rows are drawn by a hash of the doc_id;
+    the third of the ids with crc32 modulo 3 of ``held_out`` is never labelled
+    training data.  Features of all documents are written once.  None if
+    there are no labels of both kinds.
     """
     good = (F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
@@ -236,12 +328,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
     n_known = known.count()
     u = _unit(F.col("doc_id"), F.lit("labelled"))
     sample = known.where(u < min(1.0, max_labelled / max(n_known, 1)))
-    n_docs = docs.count()
-    pool_rate = min(1.0, max_pool / max(n_docs, 1))
     # The labelled sample is bounded by max_labelled rows.
     wanted = (docs.join(F.broadcast(sample), "doc_id", "left")
-              .withColumn("__kind", F.when(F.col("__y").isNull(), 2).when(_unit(F.col("doc_id"), F.lit("aside")) < 0.25, 1).otherwise(0))
-              .where(F.col("__y").isNotNull() | (_unit(F.col("doc_id"), F.lit("pool")) < pool_rate)))
+              .withColumn("__kind", F.when(F.col("__y").isNull(), 2).when(_unit(F.col("doc_id"), F.lit("aside")) < 0.25, 1).otherwise(0)))
 
     def features(batches):
         for b in batches:
@@ -254,15 +343,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool:
                     pa.array([m.astype(np.float32).tobytes() for m in meta], pa.binary())], names=["doc_id", "y", "kind", "text", "meta"])
                 rows += n
 
-    got = (wanted.select(*[c.alias(f"c{i}") for i, c in enumerate(_inputs(docs))], F.col("doc_id").cast("long"),
-                         F.coalesce("__y", F.lit(0)).cast("int").alias("y"), F.col("__kind").cast("int").alias("kind"))
-           .mapInArrow(features, "doc_id long, y int, kind int, text binary, meta binary").toArrow())
-    rows = sorted(zip(*(got.column(n).to_pylist() for n in ("kind", "doc_id", "y", "text", "meta"))), key=lambda r: (r[0], r[1] is None, r[1] or 0, r[3]))
-    y, kind = np.array([r[2] for r in rows], float), np.array([r[0] for r in rows], int)
-    if any(len({*y[kind == k]}) < 2 for k in (0, 1)):
-        return None
-    return co_train(Sparse([np.frombuffer(r[3], np.int32).astype(np.int64) for r in rows], y, (kind == 0).astype(float)),
-                    Dense(np.stack([np.frombuffer(r[4], np.float32) for r in rows]).astype(float)), y, kind)
+    rows = (wanted.select(*[c.alias(f"c{i}") for i, c in enumerate(_inputs(docs))], F.col("doc_id").cast("long"),
+                          F.coalesce("__y", F.lit(0)).cast("int").alias("y"), F.col("__kind").cast("int").alias("kind"))
+            .mapInArrow(features, "doc_id long, y int, kind int, text binary, meta binary"))
+    return co_train(materialize(rows, "view-features"))
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each operator against its plain-Python version on a messy table, an empty one, and sf0.001."""
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -409,6 +410,49 @@ def test_co_training_evidence():
     assert none.dims == 0 and none.dot(np.zeros(0)).tolist() == [0, 0, 0] and not none.spread_out(np.zeros(0)).any()
 
 
+def view_rows(rng, n, words, bad):
+    """Feature rows: words 10 to 19 are noise; the first metadata feature tells the class."""
+    meta = np.zeros(co_training.N_SOURCES + co_training.N_LANGS + co_training.N_LAYOUT + 1, np.float32)
+    meta[0 if bad else 1] = 1
+    return [(np.unique(np.r_[words, rng.integers(10, 20, 3)]).astype(np.int32).tobytes(), meta.tobytes()) for _ in range(n)]
+
+
+VIEW = "doc_id long, y int, kind int, text binary, meta binary"
+
+
+def test_views_teach_each_other_over_all_rows(spark):
+    """Labelled rows show words 1 and 2 only; by the metadata the text view also learns words 3 and 4 of the unlabelled ones."""
+    rng = np.random.default_rng(0)
+    parts = [(0, 0, view_rows(rng, 150, [1], True)), (1, 0, view_rows(rng, 150, [2], False)), (0, 1, view_rows(rng, 60, [1], True)), (1, 1, view_rows(rng, 60, [2], False)),
+             (0, 2, view_rows(rng, 2500, [3], True)), (0, 2, view_rows(rng, 2500, [4], False))]
+    flat = [(y, kind, *views) for y, kind, rows in parts for views in rows]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(flat)], VIEW).repartition(4)
+    model = co_training.co_train(df, max_fitted=300)
+    assert model.text[0][1] < 0 < model.text[0][2] and model.text[0][3] < 0 < model.text[0][4]
+    untaught = co_training.co_train(df, rounds=0)
+    assert untaught.text[0][3] == untaught.text[0][4] == 0
+    assert co_training.co_train(df.where("kind = 2")) is None
+
+
+def test_pseudo_labels_and_evidence_use_every_row(spark):
+    """Against plain Python: the surest rows by quantiles over the whole pool, and word evidence over all training rows."""
+    rng = np.random.default_rng(1)
+    z = rng.normal(size=3000)
+    df = spark.createDataFrame([(i, 2 if i % 10 else 0, float(v)) for i, v in enumerate(z)], "doc_id long, kind int, text_z double").repartition(5)
+    pool = np.array([v for i, v in enumerate(z) if i % 10])
+    got = {r["doc_id"]: r["y"] for r in co_training.pseudo_labels(df, "text", 0.7, 0.1).collect()}
+    low, high = (np.sort(pool)[math.ceil(q * len(pool)) - 1] for q in (0.1 * (1 - 0.7), 1 - 0.1 * 0.7))
+    assert got == {i: int(v >= high) for i, v in enumerate(z) if i % 10 and (v >= high or v <= low)}
+    assert co_training.pseudo_labels(df.where("kind = 0"), "text", 0.7, 0.1).collect() == []
+    rows = [(np.unique(rng.integers(0, 50, 8) if y else rng.integers(20, 90, 8)).astype(np.int32), y, w) for y, w in zip(rng.integers(0, 2, 400).tolist(), rng.choice([1.0, 0.5], 400).tolist())]
+    evidence = co_training.counted_evidence(spark.createDataFrame([(t.tobytes(), y, w) for t, y, w in rows], "text binary, y int, weight double").repartition(3))
+    count, total = np.zeros((2, co_training.DIMS)), [0.0, 0.0]
+    for t, y, w in rows:
+        count[y][t] += w
+        total[y] += w
+    assert np.allclose(evidence, co_training.word_evidence(count[0], count[1], *total)) and (evidence > 0).sum() > 20
+
+
 def test_empty_tables(spark):
     ship_package(spark)
     none = empty(spark)
