@@ -14,19 +14,42 @@ from pyspark.sql import functions as F
 from clickmart.llm import decontaminate, language, packing, phrase_dedup, simhash
 from clickmart.llm._store import materialize, ship_package
 
-#: A prediction of less than this is no known language.  Of the held-out documents of sf0.1, at most 1 % of any
-#: language score less: the smallest of the languages' 1 % quantiles is 0.804.
-MIN_LANGUAGE_SCORE = 0.8
+#: The share of the held-out documents, of each language and of all, that may fall below the limit.
+MAX_LOSS = 0.005
+
+
+def score_limits(docs: DataFrame, model: language.Model, max_loss: float = MAX_LOSS) -> dict[str, float]:
+    """For each language the least score that is taken: the ``max_loss`` quantile of its held-out documents' scores, or that of all if it is larger.
+
+    Held out are the documents that the rule of ``language.training_rows``
+    keeps from the model, all of them.  Where there are few of a language, its
+    own quantile is just their smallest score; that of all then is the limit.
+    The key None has the limit of languages without held-out documents (0 if there are none at all).
+    """
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    held = language.predict(docs.where((fold == 1) & F.col("lang").isNotNull()).select("text", "lang"), model)
+    found = held.where("lang_pred <> 'und'").rollup("lang").agg(F.percentile_approx("score", max_loss, 100_000).alias("limit"))
+    limits = {r["lang"]: r["limit"] or 0.0 for r in found.collect()}  # one row for each language, and one for all
+    of_all = limits.get(None, 0.0)
+    return {None: of_all} | {lang: max(limit, of_all) for lang, limit in limits.items()}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a known language; rejects texts without letters and ones the classifier cannot place."""
+    """Keeps documents in a known language; rejects texts without letters and ones the classifier cannot place.
+
+    A document cannot be placed if its score is below the limit that this run's
+    own held-out documents of the predicted language set.
+    """
     ship_package(spark)
     columns = docs.columns
     model = language.fit(language.training_rows(docs))
+    limits = score_limits(docs, model)
     # The prediction's columns are renamed aside, so that input columns stay as they are.
     judged = language.predict(docs.select(F.struct(*columns).alias("row"), "text"), model)
-    return (judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    limit = F.lit(limits.pop(None))
+    for lang, value in sorted(limits.items()):
+        limit = F.when(F.col("lang_pred") == lang, value).otherwise(limit)
+    return (judged.where((F.col("lang_pred") != "und") & (F.col("score") >= limit))
             .select(*[F.col("row")[c].alias(c) for c in columns]))
 
 
