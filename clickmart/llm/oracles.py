@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickmart.llm import line_quality, url_filter
-from clickmart.llm.queries import SPAM_LABELS
+from clickmart.llm.queries import KEYWORD_BARS, SPAM_LABELS
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _WORDS = rf"list_filter(regexp_split_to_array({{text}}, '{_SPACE}'), lambda x: x <> '')"
@@ -91,13 +91,16 @@ _ALLOW, _BLOCK = (", ".join(f"'{r}'" for r, v in url_filter.RULES if v == x) for
 _LABELS = "|".join(SPAM_LABELS)
 
 OP9 = rf"""
-WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-part AS (SELECT page_id, {_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM cut),
-ruled AS (SELECT *, CASE {_RULE} END AS rule FROM part)
+WITH cut AS (SELECT page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (SELECT page_id, html, {_lower("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host, regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM cut),
+ruled AS (SELECT *, CASE {_RULE} END AS rule FROM part),
+keywords AS (SELECT DISTINCT host || path AS url FROM part
+             WHERE host <> '' AND path <> '' AND contains(html, '|') AND 100 * (length(html) - length(replace(html, '|', ''))) >= {KEYWORD_BARS} * length(html))
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ({_ALLOW}) THEN 'allow' WHEN rule IN ({_BLOCK}) THEN 'block'
-            WHEN regexp_matches(host, '(^|\.)({_LABELS})(\.|$)') THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled
+            WHEN regexp_matches(host, '(^|\.)({_LABELS})(\.|$)') THEN 'block'
+            WHEN host <> '' AND path <> '' AND keywords.url IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN keywords ON host || path = keywords.url
 """
 
 #: All pairs of vectors; components by reachability.

@@ -13,8 +13,10 @@ from clickmart.llm import (co_training, decontaminate, language, line_quality, p
                            spelling, token_count, url_filter, vector_dedup)
 from clickmart.llm._store import ship_package
 
-#: Domains that advertise in their name; with the pages' own hosts they make the block list.
+#: Names of domains that advertise in their name.
 SPAM_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: A page is a keyword list if it has at least this many ``|`` for 100 characters.
+KEYWORD_BARS = 1
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -59,16 +61,21 @@ def op8_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-def spam_domains(pages: DataFrame) -> DataFrame:
-    """The pages' own domains whose first label is a spam label."""
-    host, _ = url_filter.host_and_path(F.col("__url"))
-    domains = pages.select(F.col("url").alias("__url")).select(F.explode(url_filter.domains_of(host)).alias("domain"))
-    return domains.where(F.substring_index("domain", ".", 1).isin(*SPAM_LABELS)).distinct()
+def block_list(pages: DataFrame) -> DataFrame:
+    """The list of op9, from all ``pages`` (url, html): their domains whose first label is a spam label,
+    and the urls (host + path) of pages that are keyword lists.  Null html is none."""
+    host, path = url_filter.host_and_path(F.col("__url"))
+    parts = pages.select(F.col("url").alias("__url"), "html").select("html", host.alias("host"), path.alias("path"))
+    domains = parts.select("host").distinct().select(F.explode(url_filter.domains_of(F.col("host"))).alias("domain"))
+    bars = F.length("html") - F.length(F.replace("html", F.lit("|")))
+    urls = parts.where((F.col("host") != "") & (F.col("path") != "") & (100 * bars >= KEYWORD_BARS * F.length("html")) & (bars > 0))
+    return domains.where(F.substring_index("domain", ".", 1).isin(*SPAM_LABELS)).unionByName(
+        urls.select(F.concat("host", "path").alias("domain"))).distinct()
 
 
 def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages", "page_id", "url")
-    return url_filter.judge(pages, spam_domains(pages)).drop("url")
+    return url_filter.judge(_table(spark, sf_dir, "pages", "page_id", "url"),
+                            block_list(_table(spark, sf_dir, "pages", "url", "html"))).drop("url")
 
 
 def op10_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Operator 9: URL verdicts from rules and a Bloom filter cascade.
 
-The cascade answers membership in a list of domains exactly, for every key of
-a known universe, from a few bits per listed key.  Level 1 encodes the listed
-keys; level 2 encodes the unlisted keys of the universe that pass level 1;
-level 3 the listed keys that pass level 2; and so on until no false positive
-is left.  A key's first failing level tells whether it is listed.  Pages are
-then judged in their own tasks: no join.
+The cascade answers membership in a list of domains and urls exactly, for
+every key of a known universe, from a few bits per listed key.  Level 1
+encodes the list itself; level 2 encodes the unlisted keys of the universe
+that pass level 1 (only keys that pass are compared with the list); level 3
+the listed keys that pass level 2; and so on until no false positive is left.
+A key's first failing level tells whether it is listed.  Pages are then judged
+in their own tasks: no join.
 """
 
 from __future__ import annotations
@@ -54,6 +55,11 @@ def domains_of(host: Column) -> Column:
                     lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
 
+def keys_of(host: Column, path: Column) -> Column:
+    """All keys that may be listed: the host, its parent domains, and host + path if there is a path."""
+    return F.when((host == "") | (path == ""), domains_of(host)).otherwise(F.array_append(domains_of(host), F.concat(host, path)))
+
+
 @dataclass(frozen=True)
 class Level:
     bits: np.ndarray  # uint64 words
@@ -107,17 +113,18 @@ def _filter(keys: DataFrame, level: int, n_bits: int, n_hashes: int) -> Level:
     return Level(words, n_bits, n_hashes)
 
 
-def build_cascade(universe: DataFrame, max_filter_bytes: int = 64 << 20, max_levels: int = 64) -> list[Level]:
-    """Cascade over ``universe`` (h long: a distinct key's hash; member boolean).
+def build_cascade(listing: DataFrame, universe: DataFrame, max_filter_bytes: int = 64 << 20, max_levels: int = 64) -> list[Level]:
+    """Cascade of a list over a universe (both: h long, a distinct key's hash).
 
-    The first level's false-positive rate is sqrt(1/2) * members / others, all
-    later ones' 1/2, which makes the whole about 2 to 3 bits per member plus
-    its logarithm.  Raises if a level would exceed ``max_filter_bytes`` on the
-    driver; then build per slice (see ``judge``).
+    Listed keys outside the universe do no harm.  The first level's
+    false-positive rate is sqrt(1/2) * listed / others, all later ones' 1/2,
+    which makes the whole about 2 to 3 bits per listed key plus the logarithm
+    of others / listed.  Raises if a level would exceed ``max_filter_bytes``
+    on the driver; then build per slice (see ``judge``).
     """
     levels: list[Level] = []
-    sides = {True: universe.where("member").select("h"), False: universe.where("not member").select("h")}
-    left = {k: v.count() for k, v in sides.items()}
+    left = {True: listing.count(), False: universe.count()}
+    sides = {True: listing, False: universe}
     while left[side := len(levels) % 2 == 0] or not levels:
         rate = 0.5 if levels else min(0.5, math.sqrt(0.5) * max(left[True], 1) / max(left[False], 1))
         n_hashes = max(1, round(-math.log2(rate)))
@@ -130,11 +137,14 @@ def build_cascade(universe: DataFrame, max_filter_bytes: int = 64 << 20, max_lev
             raise RuntimeError("the cascade does not end: two keys have the same 64-bit hash")
 
         @F.pandas_udf("boolean")
-        def false_hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def hits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for h in batches:
                 yield pd.Series(passes(h.to_numpy().astype(np.int64).view(np.uint64), i, f))
 
-        sides[not side] = materialize(sides[not side].where(false_hit("h")), f"cascade-{i}")
+        passed = sides[not side].where(hits("h"))
+        if not i:  # the universe still holds the listed keys; those that passed are told apart here
+            passed = passed.join(listing, "h", "left_anti")
+        sides[not side] = materialize(passed, f"cascade-{i}")
         left[not side] = sides[not side].count()
     return levels
 
@@ -144,35 +154,44 @@ def judge(pages: DataFrame, listing: DataFrame, rules=RULES, n_slices: int = 1,
     """Every row of ``pages`` (page_id, url, any others) with host, path, rule and verdict.
 
     The longest fitting rule decides.  Without one the verdict is 'block' if
-    the host or a parent of it is in ``listing`` (domain string), else
-    'allow'.  Null url or one without ``://``: empty host and path, no rule,
-    'allow'.  Null and repeated listing entries are ignored; repeated page
-    rows are judged alike; input columns named like an output are replaced.
-
-    The key universe is every domain of every page's host, so membership is
-    exact for each of them.  A list whose filters would not fit
-    ``max_filter_bytes`` is cut into ``n_slices`` by the host's last two
-    labels; each slice has its own cascade and its own pass over its pages.
+    ``listing`` (domain string) has the host, a parent of it, or host + path,
+    else 'allow'.  An entry with a ``/`` is a url (host + path, the path as it
+    stands), one without is a domain; A-Z in an entry's host are lower-cased.
+    Null url or one without ``://``: empty host and path, no rule, 'allow'.
+    Null, empty and repeated entries are ignored; repeated page rows are judged
+    alike; input columns named like an output are replaced.  An empty table
+    gives no rows, an empty list lists nothing.
+
+    The key universe is every domain and every host + path of the pages, so
+    membership is exact for each of them.  A list whose filters would not fit
+    ``max_filter_bytes`` is cut into ``n_slices``: pages and urls by a hash of
+    host + path, so that a hot host is spread; domains are in every slice.
+    Each slice has its own cascade and its own pass over its pages.
     """
     spark = pages.sparkSession
     base = without(pages, *OUT).withColumn("__url", F.col("url"))
     host, path = host_and_path(F.col("__url"))
     base = base.withColumn("host", host).withColumn("path", path).withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
 
-    def slice_of(domain: Column) -> Column:
-        return F.pmod(F.xxhash64(F.substring_index(domain, ".", -2)), F.lit(n_slices))
-
-    # A short domain such as ``net`` belongs to every slice that has a host below it.
-    keys = (base.select("host").distinct().select(slice_of(F.col("host")).alias("slice"), F.explode(domains_of(F.col("host"))).alias("d"))
-            .distinct())
-    names = listing.select(F.translate(F.col("domain"), UPPER, LOWER).alias("d")).where("d is not null").distinct()
-    universe = materialize(keys.join(names.withColumn("member", F.lit(True)), "d", "left")
-                           .select(F.xxhash64("d").alias("h"), F.coalesce("member", F.lit(False)).alias("member"), "slice"),
-                           "url-universe")
+    def slice_of(url: Column) -> Column:
+        return F.pmod(F.xxhash64(url), F.lit(n_slices))
+
+    page = F.concat("host", "path")
+    universe = materialize(
+        base.select("host", "path").distinct().select(slice_of(page).alias("slice"), F.explode(keys_of(F.col("host"), F.col("path"))).alias("d"))
+        .select("slice", F.xxhash64("d").alias("h")).distinct(), "url-universe")
+    cut = F.instr("domain", "/")
+    entry = F.when(cut == 0, F.translate("domain", UPPER, LOWER)).otherwise(
+        F.concat(F.translate(F.substring_index("domain", "/", 1), UPPER, LOWER), F.expr("substring(domain, instr(domain, '/'))")))
+    slices = F.when(cut == 0, F.sequence(F.lit(0), F.lit(n_slices - 1)).cast("array<long>")).otherwise(F.array(slice_of(entry)))
+    names = materialize(listing.where("domain <> ''").select(F.explode(slices).alias("slice"), F.xxhash64(entry).alias("h")).distinct(),
+                        "url-list")
     verdicts = {v: [r for r, x in rules if x == v] for v in ("allow", "block")}
     parts = []
     for s in range(n_slices):
-        shared = spark.sparkContext.broadcast(build_cascade(universe.where(F.col("slice") == s), max_filter_bytes))
+        of_slice = F.col("slice") == s
+        shared = spark.sparkContext.broadcast(
+            build_cascade(names.where(of_slice).select("h"), universe.where(of_slice).select("h"), max_filter_bytes))
 
         @F.pandas_udf("boolean")
         def any_listed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -183,8 +202,8 @@ def judge(pages: DataFrame, listing: DataFrame, rules=RULES, n_slices: int = 1,
                 end = np.cumsum(n)
                 yield pd.Series(hit[end] > hit[end - n])
 
-        part = base if n_slices == 1 else base.where(slice_of(F.col("host")) == s)
-        hashes = F.transform(domains_of(F.col("host")), lambda d: F.xxhash64(d))
+        part = base if n_slices == 1 else base.where(slice_of(page) == s)
+        hashes = F.transform(keys_of(F.col("host"), F.col("path")), lambda d: F.xxhash64(d))
         parts.append(part.withColumn("verdict", F.when(F.col("rule").isin(verdicts["allow"]), "allow")
                                      .when(F.col("rule").isin(verdicts["block"]), "block")
                                      .when(any_listed(hashes), "block").otherwise("allow")))

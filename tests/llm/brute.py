@@ -137,7 +137,7 @@ def judge_url(url, listed):
         rule = max(fits, key=len)
         return host, path, rule, RULES[rule]
     labels = host.split(".")
-    bad = any(".".join(labels[i:]) in listed for i in range(len(labels))) if host else False
+    bad = (any(".".join(labels[i:]) in listed for i in range(len(labels))) or path != "" and host + path in listed) if host else False
     return host, path, None, "block" if bad else "allow"
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickmart.llm import (_words, co_training, decontaminate, language, line_quality, packing, phrase_dedup, sharding, simhash,
                            token_count, url_filter)
 from clickmart.llm._store import ship_package
+from clickmart.llm.queries import block_list
 from tests.llm import brute
 from tests.llm.fixtures import CLASHING, empty, messy, messy_rows, same_rows
 
@@ -350,8 +351,9 @@ URLS = ["http://a.com/x", "https://EXAMPLE.com/en/1", "http://www.example.com/en
 def test_url_verdicts(spark, n_slices):
     ship_package(spark)
     urls = URLS + [f"http://h{i % 211}.org/p{i}" for i in range(600)] + URLS[:3]
-    listed = {"bad-domain.net", "u.org", *[f"h{i}.org" for i in range(0, 211, 3)]}
-    listing = spark.createDataFrame([(x,) for x in [*listed, "u.org", None, "not-seen.org"]], "domain string")
+    listed = {"bad-domain.net", "u.org", "a.com/x", "example.com/en/1", "a/", *[f"h{i}.org" for i in range(0, 211, 3)],
+              *[f"h{i % 211}.org/p{i}" for i in range(0, 600, 4)]}
+    listing = spark.createDataFrame([(x,) for x in [*listed, "u.org", "A.com/x", "a.com/X", "/path/only", "", None, "not-seen.org"]], "domain string")
     pages = spark.createDataFrame([(i if i else None, u, "<p>") for i, u in enumerate(urls)], "page_id long, url string, html string").withColumn("rule", F.lit("clash"))
     out = url_filter.judge(pages, listing, n_slices=n_slices)
     same_rows(out.select("page_id", "host", "path", "rule", "verdict").collect(),
@@ -360,16 +362,26 @@ def test_url_verdicts(spark, n_slices):
 
 def test_cascade_is_exact(spark):
     ship_package(spark)
-    universe = spark.range(3000).select(F.xxhash64("id").alias("h"), (F.col("id") % 7 == 0).alias("member"))
-    cascade = url_filter.build_cascade(universe)
-    rows = universe.toPandas()
-    assert (url_filter.listed(rows["h"].to_numpy().view(np.uint64), cascade) == rows["member"].to_numpy()).all()
-    assert sum(f.n_bits for f in cascade) < 10 * rows["member"].sum()
-    for side in ("true", "false"):
-        one = universe.withColumn("member", F.expr(side))
-        assert set(url_filter.listed(rows["h"].to_numpy().view(np.uint64), url_filter.build_cascade(one)).tolist()) == {side == "true"}
+    universe = spark.range(3000).select(F.xxhash64("id").alias("h"))
+    hashes = universe.toPandas()["h"].to_numpy()
+    # Every seventh key is listed, as are keys that the universe does not have.
+    listing = spark.range(0, 3500, 7).select(F.xxhash64("id").alias("h"))
+    cascade = url_filter.build_cascade(listing, universe)
+    members = np.isin(hashes, listing.toPandas()["h"].to_numpy())
+    assert (url_filter.listed(hashes.view(np.uint64), cascade) == members).all()
+    assert len(cascade) >= 3 and sum(f.n_bits for f in cascade) < 10 * members.sum()
+    for one, expected in ((universe, True), (universe.limit(0), False)):
+        assert set(url_filter.listed(hashes.view(np.uint64), url_filter.build_cascade(one, universe)).tolist()) == {expected}
     with pytest.raises(ValueError):
-        url_filter.build_cascade(universe, max_filter_bytes=4)
+        url_filter.build_cascade(listing, universe, max_filter_bytes=4)
+
+
+def test_block_list(spark):
+    bar, prose = "a | b | c " * 20, "no list | here " + "word " * 100
+    rows = [("http://x.ads-track.Com/p", prose), ("https://K.org/list?page=1", bar), ("http://k.org/none", prose), ("http://root.org", bar),
+            ("none", bar), (None, bar), ("http://n.org/x", None), ("http://e.org/x", ""), ("https://k.org/list#2", bar)]
+    got = block_list(spark.createDataFrame(rows, "url string, html string").withColumn("host", F.lit("clash"))).collect()
+    assert sorted(r["domain"] for r in got) == ["ads-track.com", "k.org/list"]
 
 
 def test_co_training(spark, docs):
