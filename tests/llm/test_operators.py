@@ -331,6 +331,8 @@ def test_contamination(spark, docs, rows):
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("n_hit", F.lit(1))
     expected = [(r[0], *c) for r, c in zip(rows, brute.contamination([r[1] for r in rows], items))]
     assert len({e[-1] for e in expected}) == 2
+    blocks = list(decontaminate.benchmark_blocks(benchmark, 50))
+    assert len(blocks) > 3 and sum(len(b.items) for b in blocks) == len(set(items))
     for block in (8 << 20, 50):
         out = decontaminate.contamination(docs, benchmark, block_bytes=block)
         same_rows(out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect(), expected)
