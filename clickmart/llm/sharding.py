@@ -22,6 +22,7 @@ from clickmart.llm._store import materialize, without
 
 OUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 _KEY, _SPLIT, _CELL = "__shard_key", "__shard_split", "__shard_cell"
+CELL_GROUP = 4096
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -45,6 +46,23 @@ def splitters(keys: DataFrame, n_ranges: int, samples_per_range: int, total: int
     return np.unique(sample[np.arange(1, n_ranges) * len(sample) // n_ranges])
 
 
+def _running(sizes: DataFrame) -> DataFrame:
+    """Bytes and rows of all cells before each one, of a table of cells with their bytes b and rows n.
+
+    Sums in groups of neighbouring cells, then over the groups' totals.
+    """
+    sizes = materialize(sizes.withColumn("g", F.expr(f"{_CELL} div {CELL_GROUP}")), "shard-cell-sizes")
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy("g").agg(F.sum("b").alias("b"), F.sum("n").alias("n"))
+    # One row for each CELL_GROUP cells.
+    over = so_far.orderBy("g")
+    groups = groups.select("g", F.coalesce(F.sum("b").over(over), F.lit(0)).alias("gb"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("gn"))
+    inside = so_far.partitionBy("g").orderBy(_CELL)
+    return sizes.join(groups, "g").select(
+        _CELL, (F.col("gb") + F.coalesce(F.sum("b").over(inside), F.lit(0))).alias("__cell_bytes"),
+        (F.col("gn") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("__cell_rows"))
+
+
 def shard(docs: DataFrame, n_shards: int = 24, range_bytes: int = 32 << 20, min_ranges: int = 96,
           max_ranges: int = 4096, samples_per_range: int = 32) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, any others) with its shard and slot.
@@ -59,7 +77,10 @@ def shard(docs: DataFrame, n_shards: int = 24, range_bytes: int = 32 << 20, min_
 
     Driver state: a sample of at most about max_ranges * samples_per_range
     keys and one number per range.  The cell table has at most max_ranges +
-    total / range_bytes rows.
+    total / range_bytes rows; it is joined without a hint, on the cells'
+    own partitioning, and its running sums are taken in groups of
+    ``CELL_GROUP`` cells, so one task sees a row for each group.  Rows equal
+    in doc_id and text are never split over cells.
     """
     rows = _keyed(docs)
     keys = materialize(rows.select("doc_id", "size", _KEY, _SPLIT), "shard-keys")
@@ -91,16 +112,13 @@ def shard(docs: DataFrame, n_shards: int = 24, range_bytes: int = 32 << 20, min_
         return (df.withColumn(_CELL, cell_of(_KEY, _SPLIT))
                 .withColumn("__shard_before", F.coalesce(F.sum("size").over(upto), F.lit(0)))
                 .withColumn("__shard_rank", F.row_number().over(inside) - 1)
-                .join(F.broadcast(cells), _CELL, "left")
+                .join(cells, _CELL, "left")
                 .withColumn("__shard_rank", F.col("__shard_rank") + F.col("__cell_rows"))
                 .withColumn("shard", F.least(F.lit(n_shards - 1), F.expr(
                     f"((2 * (__shard_before + __cell_bytes) + size) * {n_shards}) div {2 * max(total, 1)}")).cast("int")))
 
-    before = Window.orderBy(_CELL).rowsBetween(Window.unboundedPreceding, -1)
-    cells = materialize(
-        keys.groupBy(cell_of(_KEY, _SPLIT).alias(_CELL)).agg(F.sum("size").alias("b"), F.count("*").alias("n"))
-        .select(_CELL, F.coalesce(F.sum("b").over(before), F.lit(0)).alias("__cell_bytes"),
-                F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__cell_rows")), "shard-cells")
+    cells = materialize(_running(keys.groupBy(cell_of(_KEY, _SPLIT).alias(_CELL)).agg(F.sum("size").alias("b"), F.count("*").alias("n"))),
+                        "shard-cells")
     firsts = materialize(placed(keys).groupBy("shard").agg(F.min("__shard_rank").alias("__shard_first")), "shard-firsts")
     return (placed(rows).join(F.broadcast(firsts), "shard", "left")
             .withColumn("slot", (F.col("__shard_rank") - F.col("__shard_first")).cast("long"))

@@ -63,7 +63,8 @@ def check_shards(out, rows, n_shards):
     return size
 
 
-def test_shards(docs, rows):
+def test_shards(docs, rows, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_GROUP", 3)
     rows = [r for r in rows if r[0] != 108]  # its longest text alone is larger than a shard
     few = docs.where("doc_id is null or doc_id <> 108")
     for options in ({}, {"range_bytes": 500, "min_ranges": 4, "samples_per_range": 4}, {"min_ranges": 1}):
