@@ -2,17 +2,19 @@
 
 1. Every window of ``WINDOW`` words has a seed: the run of ``SEED`` words in
    it with the smallest hash.  Equal windows have equal seeds at the same
-   place, so only windows whose seed recurs can recur.  Seeds are counted over
-   all documents.
-2. Documents are dealt into blocks by a hash.  A block gets the hashes of the
-   recurring seeds that it holds; their phrases are compiled into one
-   Aho-Corasick automaton for the block, which streams the block's documents
-   and locates every occurrence.  The automata are thus sharded by block, each
-   bounded by the block's text, and every document is streamed once.
-3. Of the windows around the located phrases a block marks all but its first
-   of each content.  That one goes, as hashes, to the task of its seed and
-   content, where all but the first occurrence over all blocks are marked.
-4. Marks return to the block, and the words under marked windows go.
+   place, so only windows whose seed recurs can recur.  Documents are dealt
+   into blocks by a hash, and seeds are counted by block over all documents.
+2. A seed of two or more blocks recurs.  Its first block gives the phrase: the
+   seed's words.  A join by seed brings each phrase to the blocks that may hold it.
+3. Each block compiles the phrases it was sent into one Aho-Corasick automaton
+   and streams its documents through it.  The words decide: a phrase that
+   shares only its hash with a place in the block is not found there.  The
+   automata are thus sharded by block, each bounded by the block's text.
+4. Of the windows around the located phrases, the first of each content in the
+   block goes, as a hash, to the task of its content, where all but the first
+   occurrence over all blocks are marked.
+5. Marks return to the block, which adds its own repeats (all but the first of
+   each content in it), and the words under marked windows go.
 """
 
 from __future__ import annotations
@@ -68,7 +70,7 @@ def seed_positions(g: np.ndarray, whole: np.ndarray, smallest: np.ndarray, n: in
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(seed, block, n): seeds of a batch's documents, counted by block."""
+    """(seed, block): seeds of a batch's documents, one row for each block."""
     for b in batches:
         data, offsets = utf8(b.column(0))
         block = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -83,44 +85,38 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((of, seed))
             seed, of = seed[order], of[order]
             new = np.flatnonzero(np.r_[True, (seed[1:] != seed[:-1]) | (of[1:] != of[:-1])]) if len(seed) else np.zeros(0, np.int64)
-            n = np.diff(np.r_[new, len(seed)])
-            yield pa.RecordBatch.from_arrays([pa.array(seed[new]), pa.array(of[new].astype(np.int32)), pa.array(n.astype(np.int32))],
-                                             names=["seed", "block", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(seed[new]), pa.array(of[new].astype(np.int32))], names=["seed", "block"])
 
 
-def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (seed, block, n) sorted by seed and block: one row for each block of the seeds that occur twice or more.
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (seed, block) sorted by both: each seed of two or more blocks with its first block.
 
-    ``many`` tells seeds of several blocks from those of one.  Nothing but the last seed's first block is held.
+    Nothing but the last seed, its first block and whether it went out is held.
     """
-    held = None  # seed, block, n, whether a row of it went out
+    held = None
     for b in batches:
-        seed, block, n = (b.column(k).to_numpy().astype(np.int64) for k in range(3))
+        seed, block = (b.column(k).to_numpy().astype(np.int64) for k in range(2))
+        if not len(seed):
+            continue
+        sent = False
         if held is not None:
-            seed, block, n = (np.r_[h, x] for h, x in zip(held, (seed, block, n)))
-        new_block = np.flatnonzero(np.r_[True, (seed[1:] != seed[:-1]) | (block[1:] != block[:-1])])
-        total = np.add.reduceat(n, new_block)
-        seed, block = seed[new_block], block[new_block]
-        same_before = np.r_[held is not None and held[3], seed[1:] == seed[:-1]]
-        same_after = np.r_[seed[1:] == seed[:-1], False]
-        many = same_before | same_after
-        # The last row waits for the next batch, which may go on with its block or its seed.
-        out = (many | (total > 1))[:-1]
-        held = (seed[-1], block[-1], total[-1], bool(same_before[-1]))
-        yield _recurring_rows(seed[:-1][out], block[:-1][out], many[:-1][out])
-    if held is not None and (held[2] > 1 or held[3]):
-        yield _recurring_rows(*(np.array([x]) for x in (held[0], held[1], held[3])))
-
-
-def _recurring_rows(seed: np.ndarray, block: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(seed), pa.array(block.astype(np.int32)), pa.array(many.astype(bool))], names=["seed", _BLOCK, "many"])
+            seed, block, sent = np.r_[held[0], seed], np.r_[held[1], block], held[2]
+        new = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]])
+        several = np.maximum.reduceat(block, new) > block[new]
+        out = several.copy()
+        out[0] &= not sent
+        yield pa.RecordBatch.from_arrays([pa.array(seed[new][out]), pa.array(block[new][out].astype(np.int32))], names=["seed", _BLOCK])
+        held = seed[new[-1]], block[new[-1]], bool(several[-1]) or (sent and len(new) == 1)
 
 
 class Block:
     """The distinct documents of a block, their words and word hashes."""
 
     def __init__(self, docs: pa.Table):
-        rows = dict(zip(zip(docs.column("doc_id").to_pylist(), docs.column(_KEY).to_pylist()), docs.column("text").to_pylist()))
+        ids = list(zip(docs.column("doc_id").to_pylist(), docs.column(_KEY).to_pylist()))
+        rows = dict(zip(ids, docs.column("text").to_pylist()))
+        number = {k: i for i, k in enumerate(rows)}
+        self.row_doc = np.array([number[k] for k in ids], np.int64)  # document of each row
         self.has_id = np.array([i is not None for i, _ in rows], bool)
         self.doc_id = np.array([i or 0 for i, _ in rows], np.int64)
         self.key = np.array([k for _, k in rows], np.int64)
@@ -132,25 +128,50 @@ class Block:
         self.h = hashes(buf, self.starts, self.ends)
         self.doc = np.repeat(np.arange(len(parts)), np.diff(self.first))
 
-    def locate(self, recurring: np.ndarray) -> np.ndarray:
-        """For each word whether a recurring phrase starts there, by one automaton over the block."""
-        found = np.zeros(len(self.h) + 1, bool)
+    def phrases(self, seeds_: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """The seeds that stand in the block, and the words of each one's first place, joined by one space."""
         g = grams(self.h, SEED)
         same = self.doc[:len(g)] == self.doc[SEED - 1:] if len(g) else np.zeros(0, bool)
-        at = np.flatnonzero(same & np.isin(g, recurring))
-        if not len(at):
+        at = np.flatnonzero(same & np.isin(g, seeds_))
+        found, first = np.unique(g[at], return_index=True)
+        at = at[first]
+        return found, [self.text[a:b] for a, b in zip(self.starts[at].tolist(), self.ends[at + SEED - 1].tolist())]
+
+    def locate(self, phrases: list[bytes]) -> np.ndarray:
+        """For each word whether one of ``phrases`` starts there, by one automaton over the block."""
+        found = np.zeros(len(self.h) + 1, bool)
+        if not phrases:
             return found
-        at = at[np.unique(g[at], return_index=True)[1]]
-        text = self.text.decode("latin-1")
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for a, b in zip((self.starts[at] - 1).tolist(), (self.ends[at + SEED - 1] + 1).tolist()):
-            automaton.add_word(text[a:b])
+        for phrase in phrases:
+            automaton.add_word(f" {phrase.decode('latin-1')} ")
         automaton.make_automaton()
         # A phrase has a space before and after it; the match ends at the latter.
-        hits = np.fromiter((end for end, _ in automaton.iter(text)), np.int64)
+        hits = np.fromiter((end for end, _ in automaton.iter(self.text.decode("latin-1"))), np.int64)
         found[np.searchsorted(self.ends, hits) - SEED + 1] = True
         return found
 
+    def later(self, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Contents of the windows that start at ``whole``, and whether each repeats one before it (by doc_id, key and start) in the block."""
+        content = grams(self.h, WINDOW)[whole]
+        again = np.zeros(len(whole), bool)
+        order = np.argsort(content)
+        equal = content[order][1:] == content[order][:-1]
+        some = order[np.r_[equal, False] | np.r_[False, equal]] if len(whole) else order
+        rank = np.empty(len(self.key), np.int64)
+        rank[np.lexsort((self.key, self.doc_id, ~self.has_id))] = np.arange(len(self.key))
+        some = some[np.lexsort((whole[some], rank[self.doc[whole[some]]], content[some]))]
+        again[some[1:]] = content[some[1:]] == content[some[:-1]]
+        return content, again
+
+
+def _phrases(block_docs: pa.Table, homes: pa.Table) -> pa.Table:
+    """(seed, phrase): the words of the seeds whose first block this is."""
+    found, phrases = np.zeros(0, np.uint64), []
+    if len(block_docs) and len(homes):
+        found, phrases = Block(block_docs).phrases(homes.column("seed").to_numpy().view(np.uint64))
+    return pa.table({"seed": pa.array(found.view(np.int64)), "phrase": pa.array(phrases, pa.binary())})
+
 
 def _first_smallest(g: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """Position of each window's smallest seed, the first of equal ones."""
@@ -161,100 +182,74 @@ def _first_smallest(g: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return best
 
 
-#: Rows to the windows' tasks.  With ``content``: one window.  Without: windows start, start + 1, ... that are
-#: marked already (bits of mask from 0).
-_SEGMENT = "content long, doc_id long, key long, start int, mask int"
-_ARROW = pa.schema([("content", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("mask", pa.int32())])
-
+#: Rows to the windows' tasks.
+_SEGMENT = "content long, doc_id long, key long, start int"
+_ARROW = pa.schema([("content", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
 
-def _segments(block_docs: pa.Table, recurring: pa.Table) -> pa.Table:
-    """Windows with a recurring seed, of a block's documents.
 
-    The first of each content in the block is a row of its own, if its seed
-    occurs in other blocks too; the others come marked, by runs of windows with the same seed.
-    """
+def _segments(block_docs: pa.Table, routed: pa.Table) -> pa.Table:
+    """The windows of a block whose seed is one of the phrases sent to it, the first of each content in the block."""
     empty = _ARROW.empty_table()
-    if not len(block_docs) or not len(recurring):
+    if not len(block_docs) or not len(routed):
         return empty
     b = Block(block_docs)
     g, whole, _ = seeds(b.h, b.first)
-    seed_of = recurring.column("seed").to_numpy().view(np.uint64)
-    located = b.locate(np.unique(seed_of))
-    elsewhere = np.unique(seed_of[recurring.column("many").to_numpy(zero_copy_only=False)])
-    # A window's seed is one of its positions with a located phrase, or it cannot recur.
+    located = b.locate(routed.column("phrase").to_pylist())
+    # A window's seed is one of its positions with a located phrase, or it cannot recur elsewhere.
     near = np.concatenate([[0], np.cumsum(located)])
     whole = whole[near[whole + _WIDTH] > near[whole]]
-    anchor = _first_smallest(g, whole)
-    keep = located[anchor]
-    whole, anchor = whole[keep], anchor[keep]
-    if not len(whole):
-        return empty
-    content, seed = grams(b.h, WINDOW)[whole], g[anchor]
-    rank = np.empty(len(b.key), np.int64)
-    rank[np.lexsort((b.key, b.doc_id, ~b.has_id))] = np.arange(len(b.key))
-    order = np.lexsort((whole, rank[b.doc[whole]], content, seed))
-    x, y = order[1:], order[:-1]
-    again = np.zeros(len(whole), bool)
-    again[x] = (content[x] == content[y]) & (seed[x] == seed[y])
-    new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1] + 1)])
-    place = np.arange(len(whole)) - np.repeat(new, np.diff(np.r_[new, len(whole)]))
-    mask = np.add.reduceat(again.astype(np.int64) << place, new)
-    sent = np.flatnonzero(~again & np.isin(seed, elsewhere))
-    at, n = np.r_[sent, new[mask > 0]], len(sent)
-    doc, single = b.doc[whole[at]], np.arange(len(at)) < n
+    whole = whole[located[_first_smallest(g, whole)]]
+    content, again = b.later(whole)
+    whole, content = whole[~again], content[~again]
+    doc = b.doc[whole]
     return pa.Table.from_arrays([
-        pa.array(content[at].view(np.int64), mask=~single),
-        pa.array(b.doc_id[doc], mask=~b.has_id[doc]), pa.array(b.key[doc]), pa.array((whole[at] - b.first[doc]).astype(np.int32)),
-        pa.array(np.r_[np.zeros(n, np.int32), mask[mask > 0].astype(np.int32)])], schema=_ARROW)
+        pa.array(content.view(np.int64)), pa.array(b.doc_id[doc], mask=~b.has_id[doc]), pa.array(b.key[doc]),
+        pa.array((whole - b.first[doc]).astype(np.int32))], schema=_ARROW)
 
 
-def _mark(batches: Iterator[pa.RecordBatch], hold: int = 300_000) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by content and place: marks of all windows but the first of each content.
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by content and place: all windows but the first of each content.
 
-    Of earlier rows only the last one's window is held; at most ``hold`` rows are worked on at a time.
+    Of earlier rows only the last one's content is held.
     """
     last = None
-    for whole in batches:
-        for i in range(0, len(whole), hold):
-            b = whole.slice(i, hold)
-            col = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("key", "start", "mask")}
-            single = b.column("content").is_valid().to_numpy(zero_copy_only=False)
-            content = b.column("content").fill_null(0).to_numpy()
-            again = np.zeros(len(b), bool)
-            again[1:] = single[1:] & single[:-1] & (content[1:] == content[:-1])
-            again[0] = single[0] and last == content[0]
-            last = content[-1] if single[-1] else None
-            mask = np.where(again, np.int32(1), col["mask"])
-            out = mask > 0
-            yield pa.RecordBatch.from_arrays([pa.array(col["key"][out]), pa.array(col["start"][out]), pa.array(mask[out])],
-                                             names=["key", "start", "mask"])
+    for b in batches:
+        if not len(b):
+            continue
+        content = b.column("content").to_numpy()
+        again = np.r_[last == content[0], content[1:] == content[:-1]]
+        last = content[-1]
+        yield b.select(["key", "start"]).filter(pa.array(again))
 
 
 def _strip(block_docs: pa.Table, marks: pa.Table) -> pa.Table:
-    """The block's rows with counts and kept words."""
-    of, starts, masks = (marks.column(n).to_numpy() for n in ("key", "start", "mask"))
-    order = np.argsort(of, kind="stable")
-    of, starts, masks = of[order], starts[order].astype(np.int64), masks[order]
-    keys = block_docs.column(_KEY).to_numpy()
-    low, high = np.searchsorted(of, keys), np.searchsorted(of, keys, side="right")
-    n_words, n_removed, kept = [], [], []
-    for i, j, text in zip(low.tolist(), high.tolist(), block_docs.column("text").to_pylist()):
-        w = (text or "").encode().split()
-        cover = np.zeros(len(w) + 1, np.int64)
-        if i < j:
-            start, mask = starts[i:j], masks[i:j]
-            for k in range(_WIDTH):
-                s = start[mask >> k & 1 == 1] + k
-                np.add.at(cover, s, 1)
-                np.add.at(cover, s + WINDOW, -1)
-        gone = np.cumsum(cover)[:len(w)] > 0
-        n_words.append(len(w))
-        n_removed.append(int(gone.sum()))
-        if gone.any():
-            w = [x for x, g in zip(w, gone.tolist()) if not g]
-        kept.append(b" ".join(w).decode())
+    """The block's rows with counts and kept words; marked are ``marks`` and the windows that repeat an earlier one of the block."""
     out = block_docs.drop_columns([_BLOCK, _KEY])
-    for name, values, kind in (("n_words", n_words, pa.int64()), ("n_removed", n_removed, pa.int64()), ("kept_text", kept, pa.string())):
+    b = Block(block_docs)
+    _, whole, _ = seeds(b.h, b.first)
+    _, again = b.later(whole)
+    # Documents by key; equal keys of different documents would need a collision of 64 bits within the block.
+    by_key = np.argsort(b.key)
+    sent = by_key[np.searchsorted(b.key[by_key], marks.column("key").to_numpy())] if len(marks) else np.zeros(0, np.int64)
+    start = np.r_[whole[again], b.first[sent] + marks.column("start").to_numpy()]
+    cover = np.zeros(len(b.h) + 1, np.int64)
+    np.add.at(cover, start, 1)
+    np.add.at(cover, start + WINDOW, -1)
+    gone = np.cumsum(cover)[:-1] > 0
+    before = np.concatenate([[0], np.cumsum(gone)])
+    n_words, n_removed = np.diff(b.first), np.diff(before[b.first])
+    kept = []
+    for d, (i, j) in enumerate(zip(b.first[:-1].tolist(), b.first[1:].tolist())):
+        if i == j:
+            kept.append("")
+        elif not n_removed[d]:
+            kept.append(b.text[b.starts[i]:b.ends[j - 1]].decode())
+        else:
+            stay = np.flatnonzero(~gone[i:j]) + i
+            kept.append(b" ".join([b.text[x:y] for x, y in zip(b.starts[stay].tolist(), b.ends[stay].tolist())]).decode())
+    of = b.row_doc
+    for name, values, kind in (("n_words", n_words[of], pa.int64()), ("n_removed", n_removed[of], pa.int64()),
+                               ("kept_text", [kept[d] for d in of.tolist()], pa.string())):
         out = out.append_column(name, pa.array(values, kind))
     return out
 
@@ -276,24 +271,28 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     document and get the same result.  Input columns named like an output are
     replaced.  An empty table gives no rows.
 
-    Windows are compared by 64-bit hashes.  Text is shuffled once (both block steps read the same
-    exchange); seeds, about one for every seven words, one row for each block
-    and different window with a recurring seed, and the marks are the other
-    shuffles.
+    Windows are compared by 64-bit hashes, phrases by their words.  Text is
+    shuffled once (the three block steps read the same exchange); seeds, about
+    one for every seven words, the phrases of those of several blocks, one row
+    for each block and different window around such a phrase, and the marks
+    are the other shuffles.
     """
     base = without(docs, *OUT).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, total // block_bytes)
     keyed = base.withColumn(_KEY, _block_key()).withColumn(_BLOCK, F.pmod(F.col(_KEY), F.lit(n_blocks)).cast("int"))
-    counted = keyed.select("text", _BLOCK).mapInArrow(_seed_rows, "seed long, block int, n int").repartition("seed")
-    # In each seed's task, as a stream: the blocks of the seeds that occur twice or more.
-    recurring = counted.sortWithinPartitions("seed", "block").mapInArrow(_recurring, f"seed long, {_BLOCK} int, many boolean")
-    segments = (keyed.groupBy(_BLOCK).cogroup(recurring.groupBy(_BLOCK)).applyInArrow(_segments, _SEGMENT))
+    texts = keyed.groupBy(_BLOCK)
+    counted = keyed.select("text", _BLOCK).mapInArrow(_seed_rows, "seed long, block int").repartition("seed")
+    # In each seed's task, as a stream: the seeds of two or more blocks, with the first of these.
+    homes = counted.sortWithinPartitions("seed", "block").mapInArrow(_homes, f"seed long, {_BLOCK} int")
+    phrases = texts.cogroup(homes.groupBy(_BLOCK)).applyInArrow(_phrases, "seed long, phrase binary")
+    routed = (counted.join(phrases, "seed").groupBy("seed", "block").agg(F.first("phrase").alias("phrase"))
+              .select(F.col("block").alias(_BLOCK), "phrase"))
+    segments = texts.cogroup(routed.groupBy(_BLOCK)).applyInArrow(_segments, _SEGMENT)
     # A window's task gets at most one row of it from each block, however many documents share its seed.
-    spread = F.when(F.col("content").isNull(), F.xxhash64("key", "start")).otherwise(F.col("content"))
-    marks = (segments.repartition(spread).sortWithinPartitions("content", F.col("doc_id").asc_nulls_last(), "key", "start")
-             .mapInArrow(_mark, "key long, start int, mask int")
+    marks = (segments.repartition("content").sortWithinPartitions("content", F.col("doc_id").asc_nulls_last(), "key", "start")
+             .mapInArrow(_mark, "key long, start int")
              .withColumn(_BLOCK, F.pmod(F.col("key"), F.lit(n_blocks)).cast("int")))
     schema = T.StructType([*base.schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return keyed.groupBy(_BLOCK).cogroup(marks.groupBy(_BLOCK)).applyInArrow(_strip, schema)
+    return texts.cogroup(marks.groupBy(_BLOCK)).applyInArrow(_strip, schema)

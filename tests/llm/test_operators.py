@@ -118,38 +118,56 @@ def test_repeated_phrases(docs, rows):
               [(r[0], r[1], *result[r[0], r[1]]) for r in rows])
 
 
-def everywhere(seeds):
-    """Seeds as rows that occur in other blocks too."""
-    return pa.table({"seed": seeds, "many": [True] * len(seeds)})
+def one_block(rows):
+    """Rows (doc_id, text) as one block, and the phrases of all its seeds, as if each occurred in other blocks too."""
+    texts = [r[1] or "" for r in rows]
+    block = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": texts,
+                      phrase_dedup._KEY: pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
+                      phrase_dedup._BLOCK: pa.array([0] * len(rows), pa.int32())})
+    seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
+        block.select(["text", phrase_dedup._BLOCK]).to_batches())))
+    return block, phrase_dedup._phrases(block, seeds)
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 10**6])
-def test_recurring_seeds_as_a_stream(size):
-    """Seeds that occur twice, their blocks, and whether there are several, however the rows come in batches."""
+def test_first_blocks_of_seeds_as_a_stream(size):
+    """Seeds of two or more blocks with the first of them, however the rows come in batches."""
     rng = np.random.default_rng(size)
-    rows = sorted(zip(rng.integers(-20, 20, 150).tolist(), rng.integers(0, 4, 150).tolist(), rng.choice([1, 1, 1, 2], 150).tolist()))
+    rows = sorted(zip(rng.integers(-20, 20, 150).tolist(), rng.integers(0, 4, 150).tolist()))
     rows = [r for r in rows if r[0] % 3 or r[1] == r[0] % 4]  # some seeds with one block
     rows = [r for i, r in enumerate(rows) if r[0] % 5 or rows[i - 1][0] != r[0]]  # some with one row
-    blocks, total = defaultdict(set), Counter()
-    for seed, block, n in rows:
+    blocks = defaultdict(set)
+    for seed, block in rows:
         blocks[seed].add(block)
-        total[seed] += n
-    table = pa.table({"seed": [r[0] for r in rows], "block": pa.array([r[1] for r in rows], pa.int32()), "n": pa.array([r[2] for r in rows], pa.int32())})
-    got = [tuple(r.values()) for b in phrase_dedup._recurring(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
-    assert sorted(got) == sorted((s, b, len(blocks[s]) > 1) for s in blocks if total[s] > 1 for b in blocks[s])
-    assert {m for _, _, m in got} == {True, False}
+    table = pa.table({"seed": [r[0] for r in rows], "block": pa.array([r[1] for r in rows], pa.int32())})
+    got = [tuple(r.values()) for b in phrase_dedup._homes(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    assert sorted(got) == sorted((s, min(b)) for s, b in blocks.items() if len(b) > 1) and 0 < len(got) < len(blocks)
+
+
+def test_the_automaton_finds_every_occurrence(rows):
+    """Phrases of other documents are found at each place where their words stand, and nowhere else."""
+    texts = [r[1] or "" for r in rows]
+    half = rows[::2] + [(None, "  ".join(f"q{i}" for i in range(30)))]
+    phrases = one_block(half)[1].column("phrase").to_pylist()
+    b = phrase_dedup.Block(one_block(rows)[0])
+    located = b.locate(phrases)
+    of = {tuple(p.split()) for p in phrases}
+    expected = set()
+    for d, (doc_id, text) in enumerate(dict.fromkeys((r[0], t) for r, t in zip(rows, texts))):
+        w = text.encode().split()
+        expected |= {(doc_id, text, i) for i in range(len(w) - 7) if tuple(w[i:i + 8]) in of}
+    docs_in_order = list(dict.fromkeys((r[0], t) for r, t in zip(rows, texts)))
+    got = {(*docs_in_order[b.doc[i]], i - b.first[b.doc[i]]) for i in np.flatnonzero(located).tolist()}
+    assert got == expected and len(got) > len(phrases) // 2
+    assert not b.locate([]).any() and not b.locate([b"none of these eight words stands there anywhere"]).any()
 
 
 def test_repeated_phrases_hold_in_small_steps(rows):
     """Marks do not depend on how segments come in batches."""
-    texts = [r[1] or "" for r in rows]
-    block = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": texts,
-                      phrase_dedup._KEY: pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
-                      phrase_dedup._BLOCK: pa.array([0] * len(rows), pa.int32())})
-    seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
-        block.select(["text", phrase_dedup._BLOCK]).to_batches())))
-    segments = phrase_dedup._segments(block, everywhere(seeds.column("seed"))).sort_by("content")
-    whole, parts = ([b.to_pylist() for b in phrase_dedup._mark(iter(segments.to_batches(max_chunksize=n)), hold=n)] for n in (10**6, 3))
+    block, phrases = one_block(rows)
+    segments = phrase_dedup._segments(block, phrases)
+    segments = pa.concat_tables([segments, segments.set_column(1, "doc_id", pa.array([10**6] * len(segments), pa.int64()))]).sort_by("content")
+    whole, parts = ([b.to_pylist() for b in phrase_dedup._mark(iter(segments.to_batches(max_chunksize=n)))] for n in (10**6, 3))
     flat = [sorted(tuple(r.values()) for b in x for r in b) for x in (whole, parts)]
     assert flat[0] == flat[1] and flat[0]
 
@@ -159,14 +177,7 @@ def test_repeated_phrases_of_a_hot_seed(spark):
     ship_package(spark)
     passage = " ".join(f"p{i}" for i in range(40))
     rows = [(i, " ".join([*(f"a{i}x{k}" for k in range(25)), passage, *(f"b{i}x{k}" for k in range(25))])) for i in range(300)]
-    block = pa.table({"doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows],
-                      phrase_dedup._KEY: pa.array([zlib.crc32(t.encode()) for _, t in rows], pa.int64()),
-                      phrase_dedup._BLOCK: pa.array([0] * len(rows), pa.int32())})
-    seeds = pa.concat_tables(pa.Table.from_batches([b]) for b in phrase_dedup._seed_rows(iter(
-        block.select(["text", phrase_dedup._BLOCK]).to_batches())))
-    counts = Counter(seeds.column("seed").to_pylist())
-    segments = phrase_dedup._segments(block, everywhere(list(counts))).to_pylist()
-    windows = [r["content"] for r in segments if r["content"] is not None]
+    windows = phrase_dedup._segments(*one_block(rows)).column("content").to_pylist()
     assert len(windows) == len(set(windows)) > 300
     got = phrase_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), block_bytes=4000)
     same_rows(got.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256)).collect(),
