@@ -282,10 +282,10 @@ def remove_repeats(docs: DataFrame, block_bytes: int = 2 << 20) -> DataFrame:
     n_blocks = max(1, total // block_bytes)
     keyed = base.withColumn(_KEY, _block_key()).withColumn(_BLOCK, F.pmod(F.col(_KEY), F.lit(n_blocks)).cast("int"))
     texts = keyed.groupBy(_BLOCK)
-    counted = keyed.select("text", _BLOCK).mapInArrow(_seed_rows, "seed long, block int").repartition("seed")
+    counted = keyed.select("text", _BLOCK).mapInArrow(_seed_rows, "seed long not null, block int not null").repartition("seed")
     # In each seed's task, as a stream: the seeds of two or more blocks, with the first of these.
     homes = counted.sortWithinPartitions("seed", "block").mapInArrow(_homes, f"seed long, {_BLOCK} int")
-    phrases = texts.cogroup(homes.groupBy(_BLOCK)).applyInArrow(_phrases, "seed long, phrase binary")
+    phrases = texts.cogroup(homes.groupBy(_BLOCK)).applyInArrow(_phrases, "seed long not null, phrase binary not null")
     routed = (counted.join(phrases, "seed").groupBy("seed", "block").agg(F.first("phrase").alias("phrase"))
               .select(F.col("block").alias(_BLOCK), "phrase"))
     segments = texts.cogroup(routed.groupBy(_BLOCK)).applyInArrow(_segments, _SEGMENT)
