@@ -184,6 +184,15 @@ def test_repeated_phrases_of_a_hot_seed(spark):
               [(i, *v) for (i, _), v in zip(rows, brute.remove_repeats(rows))])
 
 
+def test_repeated_phrases_shuffle_texts_and_seeds_once(spark):
+    ship_package(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    out = phrase_dedup.remove_repeats(docs, block_bytes=20_000)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInArrow _seed_rows") == 1 and plan.count("ReusedExchange") == 3
+
+
 def test_token_counts(docs, rows):
     model = token_count.load_model(public_tokenizers.path("piece_bpe_32k.model"))
     expected = [len(x) for x in model.encode([r[1] or "" for r in rows])]
@@ -217,6 +226,19 @@ def test_language(spark, docs):
     same_rows(blind.select("doc_id", "text", "lang_pred", "score").collect(), language.predict(docs, model).select("doc_id", "text", "lang_pred", "score").collect())
 
 
+def test_language_equals_a_plain_version(spark):
+    """Training rows, features, family and language votes and scores, with the same solver."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()] + [(10**6, None, "en"), (10**6 + 1, "", "de"), (10**6 + 2, "12 34 !", "fr"), (None, "le chat et la souris", "fr")]
+    expected = brute.languages(rows, language.FAMILIES, lambda x, y: language.fit_svm(np.array(x), np.array(y, float)))
+    got = language.identify(spark.createDataFrame(rows, docs.schema)).select("doc_id", "text", "lang_pred", "score").collect()
+    found = {(r["doc_id"], r["text"]): (r["lang_pred"], r["score"]) for r in got}
+    assert len(got) == len(rows) and len({lang for lang, _ in expected}) >= 4
+    for (doc_id, text, _), (lang, score) in zip(rows, expected):
+        assert found[doc_id, text][0] == lang
+        assert found[doc_id, text][1] == pytest.approx(score, abs=2e-4)
+
+
 def test_language_needs_whole_texts_apart():
     """A text's score does not depend on its neighbours in the batch."""
     rng = np.random.default_rng(1)

@@ -55,6 +55,14 @@ def test_pipeline_rejects_unknown_languages(spark):
     assert len(all_of) == 4 and all(kept_of[x] >= 0.95 * n for x, n in all_of.items())
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stage_of_an_empty_table(spark, name):
+    """No rows; all but the last stage keep the columns."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, "/root/testdata/sf0.001")
+    assert out.count() == 0 and (name == "sequence_packing" or out.columns == docs.columns)
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage on its own input; texts, kept documents and pieces as by plain Python."""
     rows = [r for r in messy_rows() if r[0] is not None and (r[0], r[1]) != (113, messy_rows()[1][1])]
