@@ -53,7 +53,7 @@ def main():
            f"Generated by `tools/plan_report.py` on `{sf_dir}`: the plans that ran, after adaptive execution.",
            "Scans list `table(columns read)`: the materialised staged table (`stg_events`), the fused session",
            "table (`session_features`) or a driver table.  `1-part` lists what feeds each single-partition",
-           "exchange: only global aggregates of already-aggregated rows and the score histogram appear there.", "",
+           "exchange: only global aggregates of already-aggregated rows and the histograms of scores and prices appear there.", "",
            "| query | shuffles | broadcasts | 1-part (fed by) | aggregates | joins | scans | python |",
            "|---|---|---|---|---|---|---|---|"]
     for name, fn in registry.QUERIES.items():
