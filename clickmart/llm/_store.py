@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _SHIPPED: set[str] = set()
+#: (application id, path) of the tables written.
+_WRITTEN: set[tuple[str, str]] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -54,10 +56,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     read the files instead of repeating the work, and all see the same rows.
     """
     path = f"{shared_dir(df.sparkSession)}/llm-tables/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.add((df.sparkSession.sparkContext.applicationId, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's written tables; DataFrames that read them must not be used afterwards."""
+    app = spark.sparkContext.applicationId
+    for written in [w for w in _WRITTEN if w[0] == app]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(written[1])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _WRITTEN.discard(written)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` minus the columns whose names an operator is about to add."""
     taken = {n.lower() for n in names}

@@ -1,6 +1,7 @@
 """Each operator against its plain-Python version on a messy table, an empty one, and sf0.001."""
 
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clickmart.llm import (_words, co_training, decontaminate, language, line_quality, packing, phrase_dedup, sharding, simhash,
+from clickmart.llm import (_store, _words, co_training, decontaminate, language, line_quality, packing, phrase_dedup, sharding, simhash,
                            token_count, url_filter)
 from clickmart.llm._store import ship_package
 from clickmart.llm.queries import block_list
@@ -184,9 +185,20 @@ def test_repeated_phrases_of_a_hot_seed(spark):
               [(i, *v) for (i, _), v in zip(rows, brute.remove_repeats(rows))])
 
 
+def test_written_tables_can_be_dropped(spark, monkeypatch):
+    """Only the tables that are recorded go; those of other tests are left."""
+    monkeypatch.setattr(_store, "_WRITTEN", set())
+    first, second = (_store.materialize(spark.range(5), name) for name in ("a", "b"))
+    paths = [df.inputFiles()[0].removeprefix("file:").removeprefix("//") for df in (first, second)]
+    assert first.count() == 5 and all(os.path.exists(p) for p in paths)
+    _store.drop_tables(spark)
+    assert not any(os.path.exists(os.path.dirname(p)) for p in paths) and not _store._WRITTEN
+    _store.drop_tables(spark)
+
+
 def test_repeated_phrases_shuffle_texts_and_seeds_once(spark):
     ship_package(spark)
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     out = phrase_dedup.remove_repeats(docs, block_bytes=20_000)
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
@@ -228,7 +240,7 @@ def test_language(spark, docs):
 
 def test_language_equals_a_plain_version(spark):
     """Training rows, features, family and language votes and scores, with the same solver."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     rows = [tuple(r) for r in docs.collect()] + [(10**6, None, "en"), (10**6 + 1, "", "de"), (10**6 + 2, "12 34 !", "fr"), (None, "le chat et la souris", "fr")]
     expected = brute.languages(rows, language.FAMILIES, lambda x, y: language.fit_svm(np.array(x), np.array(y, float)))
     got = language.identify(spark.createDataFrame(rows, docs.schema)).select("doc_id", "text", "lang_pred", "score").collect()
