@@ -13,8 +13,8 @@ import itertools
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +27,7 @@ FAMILIES = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germani
 OUT = ("lang_pred", "score")
 DIMS = 4096  # half for pairs, half for triples
 _HALF = DIMS // 2
+_BLOCK = 128  # rows or columns worked on at a time, where a whole copy would be large
 
 #: Digits count as 0, other ASCII signs as a space.
 _CLASS = LOWER.copy()
@@ -54,16 +55,24 @@ def features(data: bytes) -> np.ndarray:
     return ((np.bincount(pair, minlength=DIMS) + np.bincount(triple, minlength=DIMS)) / len(buf)).astype(np.float32)
 
 
+def deviations(x: np.ndarray) -> np.ndarray:
+    """``x.std(axis=0)``, some columns at a time, so that no copy of ``x`` is made."""
+    return np.concatenate([x[:, i:i + _BLOCK].std(axis=0) for i in range(0, x.shape[1], _BLOCK)])
+
+
 def fit_svm(x: np.ndarray, y: np.ndarray, steps: int = 150, decay: float = 1e-3) -> tuple[np.ndarray, float, float]:
     """Squared-hinge linear SVM by accelerated gradient descent on scaled features.
 
     Returns weights and bias for unscaled features, and the slope that makes a
-    margin a probability (logistic, fitted on the training margins).
+    margin a probability (logistic, fitted on the training margins).  ``x`` is
+    overwritten: a machine's worker holds its rows once.
     """
-    scale = 1.0 / (x.std(axis=0) + 1e-4)
+    scale = 1.0 / (deviations(x) + 1e-4)
     mean = x.mean(axis=0)
-    z = (x - mean) * scale
-    norm = np.sqrt((z * z).sum(axis=1).mean()) or 1.0
+    z = x  # scaled in place
+    z -= mean
+    z *= scale
+    norm = np.sqrt(np.concatenate([(z[i:i + _BLOCK] ** 2).sum(axis=1) for i in range(0, len(z), _BLOCK)]).mean()) or 1.0
     z /= norm
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
     w, b, vw, vb = np.zeros(z.shape[1]), 0.0, np.zeros(z.shape[1]), 0.0
@@ -136,6 +145,22 @@ def predict_batch(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray
     return langs, np.array(scores)
 
 
+def training_matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sides and features of a machine's rows (side, x), in the order of both, so that a fit does not hang on the rows' order.
+
+    The features go from the Arrow buffers to their places; there is no copy beside the result.
+    """
+    order = pc.sort_indices(table.select(["side", "x"]), sort_keys=[("side", "ascending"), ("x", "ascending")]).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    x, i = np.empty((len(order), DIMS)), 0
+    for chunk in table["x"].chunks:
+        data, offsets = utf8(chunk)
+        x[place[i:i + len(chunk)]] = data[offsets[0]:offsets[-1]].view(np.float32).reshape(len(chunk), DIMS)
+        i += len(chunk)
+    return table["side"].to_numpy().astype(np.float64)[order], x
+
+
 def fit(labelled: DataFrame, per_language: int = 600, families: dict[str, str] = FAMILIES) -> Model:
     """Fit on (text, lang, key): about ``per_language`` rows for each language.
 
@@ -166,18 +191,20 @@ def fit(labelled: DataFrame, per_language: int = 600, families: dict[str, str] =
         per_lang.setdefault(lang, []).append((machine, side))
 
     def spread(batches):
-        for frame in batches:
-            out = [(m, side, features(t.encode()).tobytes()) for t, lang in zip(frame["text"], frame["lang"]) for m, side in per_lang[lang]]
-            yield pd.DataFrame(out, columns=["machine", "side", "x"])
-
-    def train(frame):
-        frame = frame.sort_values(["side", "x"])
-        x = np.stack([np.frombuffer(v, np.float32) for v in frame["x"]]).astype(np.float64)
-        w, b, slope = fit_svm(x, frame["side"].to_numpy(np.float64))
-        return pd.DataFrame({"machine": [frame["machine"].iloc[0]], "w": [w.tobytes()], "b": [b], "slope": [slope]})
-
-    fitted = (rows.where(u < rate).select("text", "lang").mapInPandas(spread, "machine string, side int, x binary")
-              .groupBy("machine").applyInPandas(train, "machine string, w binary, b double, slope double"))
+        for batch in batches:
+            for i in range(0, len(batch), _BLOCK):
+                texts, langs = batch.slice(i, _BLOCK).to_pydict().values()
+                out = [(m, side, features(t.encode()).tobytes()) for t, lang in zip(texts, langs) for m, side in per_lang[lang]]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.binary()))], ["machine", "side", "x"])
+
+    def train(table):
+        side, x = training_matrix(table)
+        w, b, slope = fit_svm(x, side)
+        return pa.table({"machine": table["machine"][:1], "w": pa.array([w.tobytes()], pa.binary()), "b": [b], "slope": [slope]})
+
+    fitted = (rows.where(u < rate).select("text", "lang").mapInArrow(spread, "machine string, side int, x binary")
+              .groupBy("machine").applyInArrow(train, "machine string, w binary, b double, slope double"))
     for r in fitted.collect():  # one row for each pair of families or of languages in a family
         a, b = r["machine"].split("|")
         model.machines[a, b] = (np.frombuffer(r["w"], np.float32), r["b"], r["slope"])
