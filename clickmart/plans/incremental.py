@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators.sessions import _MERGE, FUNNEL_FLAGS, SESSION, session_features
+from clickmart.operators.sessions import _MERGE, FUNNEL_FLAGS, SESSION, session_features, session_funnel, session_level
 
 DAY, LAST, USER = "event_date", "last_date", "user_pseudo_id"
 _KEY = [SESSION, USER]
@@ -141,3 +141,15 @@ class SessionFacts:
         rows = self._read("facts", LAST).drop(LAST)
         unkeyed = merge_partials(rows.where(F.col(SESSION).isNull()))
         return rows.where(F.col(SESSION).isNotNull()).unionByName(unkeyed.select(*rows.columns))
+
+
+def facts_in_halves(stg: DataFrame, path: str) -> DataFrame:
+    """The session facts built under ``path`` from two halves of the days, the second as an update; A02 and the sums of each session."""
+    days = sorted(r[0] for r in stg.select("event_date").distinct().collect())  # one for each day
+    facts = SessionFacts(stg.sparkSession, path)
+    for half in (days[:len(days) // 2], days[len(days) // 2:]):
+        facts.update(stg.where(F.col("event_date").isin(half)))
+    level = session_level(facts.read())
+    return session_funnel(sessions=level).join(
+        level.select(F.col(SESSION).alias("_sid"), "path_length", "total_items_viewed", F.size("viewed_categories").cast("bigint").alias("categories"),
+                     "purchased_at", "total_revenue"), F.col(SESSION).eqNullSafe(F.col("_sid"))).drop("_sid")
